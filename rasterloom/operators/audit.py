@@ -78,32 +78,29 @@ def matched(tagged: DataFrame) -> DataFrame:
     return tagged.filter("in_left and in_right").select("value")
 
 
-def _counts(tagged: DataFrame, names: dict[str, str]) -> DataFrame:
-    return tagged.agg(*[F.count_if(F.expr(test)).alias(name) for name, test in names.items()])
-
-
 def audit_summary(ids: DataFrame, files: DataFrame) -> DataFrame:
     """One row with the four id counts and the five file counts."""
-    by_id = _counts(
-        ids,
-        {
-            "ids_mapping": "in_left",
-            "ids_typicality": "in_right",
-            "ids_only_mapping": "in_left and not in_right",
-            "ids_only_typicality": "in_right and not in_left",
-        },
+    tags = ids.select(F.lit("ids").alias("kind"), "in_left", "in_right").unionByName(
+        files.select(F.lit("files").alias("kind"), "in_left", "in_right")
     )
-    by_file = _counts(
-        files,
-        {
-            "files_expected": "in_left",
-            "files_on_disk": "in_right",
-            "files_matched": "in_left and in_right",
-            "files_missing": "in_left and not in_right",
-            "files_extra": "in_right and not in_left",
-        },
+    only_left, only_right = "in_left and not in_right", "in_right and not in_left"
+    counts = {
+        "ids_mapping": ("ids", "in_left"),
+        "ids_typicality": ("ids", "in_right"),
+        "ids_only_mapping": ("ids", only_left),
+        "ids_only_typicality": ("ids", only_right),
+        "files_expected": ("files", "in_left"),
+        "files_on_disk": ("files", "in_right"),
+        "files_matched": ("files", "in_left and in_right"),
+        "files_missing": ("files", only_left),
+        "files_extra": ("files", only_right),
+    }
+    return tags.agg(
+        *[
+            F.count_if((F.col("kind") == kind) & F.expr(test)).alias(name)
+            for name, (kind, test) in counts.items()
+        ]
     )
-    return by_id.join(F.broadcast(by_file))  # one row each
 
 
 def audit_report(ids: DataFrame, files: DataFrame) -> DataFrame:

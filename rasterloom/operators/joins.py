@@ -129,10 +129,9 @@ def chunk_plan(
     """Add ``chunk``: near-equal contiguous split of the list, ceil(n / chunks) rows each."""
     if chunks < 1:
         raise ValueError("chunks must be positive")
+    size = df.agg(F.ceil(F.count("*") / F.lit(chunks)).cast("long").alias("size")).scalar()
     placed = with_position(df, order, blocks)
-    size = df.agg(F.ceil(F.count("*") / F.lit(chunks)).cast("long").alias("_size"))
-    sized = placed.join(F.broadcast(size))  # one row, whatever the data
-    return sized.withColumn("chunk", F.floor(F.col("position") / F.col("_size"))).drop("_size")
+    return placed.withColumn("chunk", F.floor(F.col("position") / size))
 
 
 def cap(df: DataFrame, max_samples: int | None, order: Sequence[Column]) -> DataFrame:

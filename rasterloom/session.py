@@ -38,6 +38,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder, visible to all executors, below ``spark.checkpoint.dir``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,36 +39,36 @@ def scan_images(
 
 
 def list_files(
-    spark: SparkSession, folders: Sequence[str], suffixes: Sequence[str] | None = None
+    spark: SparkSession, folders: Mapping[str, str], suffixes: Sequence[str] | None = None
 ) -> DataFrame:
-    """All plain files directly inside ``folders``, empty ones included (audits need them).
+    """All plain files directly inside ``folders`` (label -> path), empty ones included.
 
     Each folder is listed by one task, which streams the entries instead of holding them.
     """
     ship(spark)
-    uris = [qualified(spark, f) for f in folders]
-    source = spark.createDataFrame([(u,) for u in uris], "uri string").repartition(len(uris) or 1)
+    places = [(label, qualified(spark, path)) for label, path in folders.items()]
+    source = spark.createDataFrame(places, "dir string, uri string").repartition(len(places) or 1)
 
     def listing(batches):
         for batch in batches:
-            for uri in batch.column("uri").to_pylist():
+            for label, uri in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
-                for name, size, modified in storage.list_folder(uri):
-                    rows.append((name, size, modified))
+                for row in storage.list_folder(uri):
+                    rows.append(row)
                     if len(rows) == _LISTING_ROWS:
-                        yield _listing_batch(uri, rows)
+                        yield _listing_batch(label, uri, rows)
                         rows = []
-                yield _listing_batch(uri, rows)
+                yield _listing_batch(label, uri, rows)
 
     found = source.mapInArrow(listing, INVENTORY_SCHEMA)
     return found.filter(has_suffix(F.col("name"), suffixes)) if suffixes else found
 
 
-def _listing_batch(uri: str, rows: list) -> pa.RecordBatch:
+def _listing_batch(label: str, uri: str, rows: list) -> pa.RecordBatch:
     names = [r[0] for r in rows]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([uri.rstrip("/").rsplit("/", 1)[-1]] * len(rows), pa.string()),
+            pa.array([label] * len(rows), pa.string()),
             pa.array(names, pa.string()),
             pa.array([r[1] for r in rows], pa.int64()),
             pa.array([int(r[2] * 1e6) for r in rows], pa.timestamp("us", tz="UTC")),
