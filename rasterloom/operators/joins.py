@@ -68,23 +68,19 @@ def inner_pairs(
         return left.join(right, key)
     width = salt_width(left)
 
-    def salted(df, scattered, copied, ids):
-        if scattered:
-            df = df.withColumn("_s", _scattered(key, scattered, width, [F.col(c) for c in ids]))
-        else:
-            df = df.withColumn("_s", F.lit(0).cast("long"))
-        if copied:
-            df = df.withColumn("_c", _copied(key, copied, width))
-        else:
-            df = df.withColumn("_c", F.lit(0).cast("long"))
-        return df
-
-    a = salted(left, hot_left, hot_right, left_id)
-    b = salted(right, hot_right, hot_left, right_id)
-    b = b.withColumnsRenamed({"_s": "_c", "_c": "_s"})
+    a = _salted(left, key, hot_left, hot_right, ("_s", "_c"), left_id, width)
+    b = _salted(right, key, hot_right, hot_left, ("_c", "_s"), right_id, width)
     return a.join(b, [key, "_s", "_c"]).drop("_s", "_c")
 
 
+def _salted(df, key, scattered, copied, names, ids, width) -> DataFrame:
+    """Two salts: one scatters this side's own hot keys, one copies rows for the other side's."""
+    zero = F.lit(0).cast("long")
+    own = _scattered(key, scattered, width, [F.col(c) for c in ids]) if scattered else zero
+    other = _copied(key, copied, width) if copied else zero
+    return df.withColumn(names[0], own).withColumn(names[1], other)
+
+
 def first_per(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """First row of each key; the planner limits each group to one row before the shuffle."""
     ranked = Window.partitionBy(key).orderBy(*order)
