@@ -12,7 +12,7 @@ from rasterloom.checks import views
 from rasterloom.checks.views import FOLDERS, load, rasters
 from rasterloom.functions import codec, raster
 from rasterloom.functions.names import default_ext_image
-from rasterloom.operators import audit, images, metrics
+from rasterloom.operators import audit, images, metadata, metrics
 from rasterloom.operators.joins import cap, chunk_plan, with_position
 from rasterloom.operators.metadata import clean_mapping, master_table, merge_metadata
 from rasterloom.operators.sampling import eval_sample
@@ -180,7 +180,8 @@ def local_samples(spark, sf):
 
 
 def _marked(spark, sf):
-    return audit.mark_existing(_master(spark, sf), _disk(spark, sf), ["src_ord", "typicality_ord"])
+    scores = drop_artifact_columns(_typicality(spark, sf))
+    return metadata.master_table(_mapping(spark, sf), scores, _disk(spark, sf))
 
 
 def mark_existing(spark, sf):
@@ -438,7 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_mapping": lambda spark, sf: clean_mapping(_mapping(spark, sf)),
     "format_names": format_names,
     "audit_expected": lambda spark, sf: audit.expected_names(_mapping(spark, sf)),
-    "missing_rows": lambda spark, sf: audit.missing_rows(_marked(spark, sf)),
+    "missing_rows": lambda spark, sf: metadata.missing_rows(_marked(spark, sf)),
     "work_plan": _plan,
     "merge_metadata": _merged,
     "merge_metadata_literal": merged_literal,
@@ -449,7 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "locate_inputs": locate_inputs,
     "missing_inputs": missing_inputs,
     "audit_summary": lambda spark, sf: audit.audit_summary(_ids(spark, sf), _files(spark, sf)),
-    "existence_summary": lambda spark, sf: audit.existence_summary(
+    "existence_summary": lambda spark, sf: metadata.existence_summary(
         _mapping(spark, sf), _typicality(spark, sf), _disk(spark, sf)
     ),
     "run_counters": run_counters,

@@ -12,7 +12,6 @@ from rasterloom.functions.names import (
     is_junk,
     strip,
 )
-from rasterloom.operators.joins import attach
 from rasterloom.operators.metadata import KEY
 
 # Report categories.
@@ -46,11 +45,6 @@ def expected_names(mapping: DataFrame) -> DataFrame:
     return rows.select(default_ext_image(F.col("image_name")).alias("image_name")).distinct()
 
 
-def disk_names(inventory: DataFrame) -> DataFrame:
-    """Distinct names with an audit suffix; empty files count."""
-    return inventory.filter(has_suffix(F.col("name"), AUDIT_SUFFIXES)).select("name").distinct()
-
-
 def tagged_ids(mapping: DataFrame, typicality: DataFrame, strip_keys: bool = False) -> DataFrame:
     def ids(df):
         key = F.col(KEY).cast("string")
@@ -105,51 +99,11 @@ def audit_summary(ids: DataFrame, files: DataFrame) -> DataFrame:
 
 def audit_report(ids: DataFrame, files: DataFrame) -> DataFrame:
     """(category, value) rows of all four discrepancy lists."""
-    parts = {
-        "files_missing": left_only(files),
-        "files_extra": right_only(files),
-        "ids_only_mapping": left_only(ids),
-        "ids_only_typicality": right_only(ids),
-    }
-    report = None
-    for name, values in parts.items():
-        part = values.select(F.lit(REPORTS[name]).alias("category"), "value")
-        report = part if report is None else report.unionByName(part)
-    return report
-
-
-def mark_existing(table: DataFrame, inventory: DataFrame, spread_by: list[str]) -> DataFrame:
-    """Add ``image_name_formatted`` and ``existe_en_disco``."""
-    named = table.withColumn("image_name_formatted", default_ext_image(F.col("image_name")))
-    names = disk_names(inventory).select(
-        F.col("name").alias("image_name_formatted"), F.lit(True).alias("_found")
-    )
-    flagged = attach(named, names, "image_name_formatted", spread_by)
-    return flagged.withColumn("existe_en_disco", F.col("_found").isNotNull()).drop("_found")
-
 
-def missing_rows(marked: DataFrame) -> DataFrame:
-    return marked.filter("not existe_en_disco").select(KEY, "image_name", "typicality")
+    def one_sided(tagged, left_name, right_name):
+        category = F.when(F.col("in_left"), REPORTS[left_name]).otherwise(REPORTS[right_name])
+        one = tagged.filter("in_left <> in_right")
+        return one.select(category.alias("category"), "value")
 
-
-def existence_summary(mapping: DataFrame, typicality: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(total, found, missing) over the master table, from counts per key instead of its rows."""
-    keys = typicality.select(strip(F.col(KEY)).alias(KEY)).dropna()
-    copies = keys.groupBy(KEY).agg(F.count("*").alias("copies"))
-    wanted = (
-        mapping.withColumn(KEY, strip(F.col(KEY)))
-        .dropna(subset=[KEY])
-        .groupBy(KEY, default_ext_image(F.col("image_name")).alias("name"))
-        .agg(F.count("*").alias("rows"))
-    )
-    asked = (
-        attach(wanted, copies, KEY, ["name"], "inner")
-        .groupBy("name")
-        .agg(F.sum(F.col("rows") * F.col("copies")).alias("rows"))
-    )
-    found = asked.join(disk_names(inventory).withColumn("hit", F.lit(True)), "name", "left")
-    return found.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("hit"), F.col("rows"))), F.lit(0)).alias("found"),
-        F.coalesce(F.sum(F.when(F.col("hit").isNull(), F.col("rows"))), F.lit(0)).alias("missing"),
-    )
+    by_file = one_sided(files, "files_missing", "files_extra")
+    return by_file.unionByName(one_sided(ids, "ids_only_mapping", "ids_only_typicality"))

@@ -11,12 +11,13 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import raster
-from rasterloom.session import ship
+from rasterloom.session import qualified, ship, stored
+from rasterloom.sources import storage
 
 IMAGE_FIELDS = "origin: string, height: int, width: int, nChannels: int, mode: int, data: binary"
 IMAGE_SCHEMA = f"image struct<{IMAGE_FIELDS}>"
@@ -100,10 +101,13 @@ def _image_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if df.schema[n].dataType.typeName() == "struct"]
 
 
-def map_images(df: DataFrame, step: Callable, args: Sequence[str] = ("image",)) -> DataFrame:
+def map_images(
+    df: DataFrame, step: Callable, args: Sequence[str] = ("image",), origin: str | None = None
+) -> DataFrame:
     """Replace ``image`` by ``step(**args)``, where image columns arrive as rasters.
 
-    Rows that failed before are carried along untouched.
+    Rows that failed before are carried along untouched. The origin of the result is that of the
+    old image, or the value of the ``origin`` argument.
     """
     ship(df.sparkSession)
     images = _image_columns(df, args)
@@ -119,8 +123,8 @@ def map_images(df: DataFrame, step: Callable, args: Sequence[str] = ("image",))
             out, status, error = [], [], []
             for row, earlier in zip(rows, before):
                 result, state, problem = _attempt(step, row, images, earlier)
-                origin = (row.get("image") or {}).get("origin")
-                out.append(None if result is None else pack(result, origin))
+                source = row[origin] if origin else (row.get("image") or {}).get("origin")
+                out.append(None if result is None else pack(result, source))
                 status.append(state)
                 error.append(problem)
             arrays = [batch.column(c) for c in keep]
@@ -218,8 +222,7 @@ def _model(token: str, make_fn: Callable) -> Callable:
     return _models[token]
 
 
-def standardize(
-    images: DataFrame,
+def image_step(
     make_fn: Callable | None = None,
     prompt: str = DEFAULT_PROMPT,
     guidance_scale: float = GUIDANCE_SCALE,
@@ -230,9 +233,8 @@ def standardize(
     low: int = 100,
     high: int = 200,
     whiten_above: int | None = None,
-    orientation: str | None = None,
-) -> DataFrame:
-    """The whole image stage in one pass: orient, RGB, snap, resample, edges, model, whiten.
+) -> Callable:
+    """``step(image, tag) -> raster``: orient, RGB, snap, resample, edges, model, whiten.
 
     ``make_fn()`` is called once per worker and returns ``fn(rgb, **params) -> rgb``; the seed is
     the same for every image. ``use_edges`` passes the edge map as ``control``. Without ``make_fn``
@@ -241,21 +243,81 @@ def standardize(
     token = hashlib.md5(cloudpickle.dumps(make_fn)).hexdigest()
     params = {"prompt": prompt, "guidance_scale": guidance_scale, "steps": steps, "seed": seed}
 
-    def step(image, **row):
-        upright = raster.orient(image, row[orientation]) if orientation else image
+    def step(image, tag=None):
+        upright = raster.orient(image, tag)
         if make_fn is None:
             result = raster.grayscale(upright)
         else:
             rgb = snapped(upright)
+            extra = {}
             if use_edges:
                 control = raster.edge_map(rgb, low, high)
                 extra = {"control": control, "control_scale": control_scale}
-            else:
-                extra = {}
             result = _model(token, make_fn)(rgb, **params, **extra)
         return result if whiten_above is None else raster.whiten(result, upright, whiten_above)
 
-    return map_images(images, step, ("image", orientation) if orientation else ("image",))
+    return step
+
+
+def standardize(
+    images: DataFrame, make_fn: Callable | None = None, orientation: str | None = None, **options
+) -> DataFrame:
+    """The whole image stage in one pass over the table; ``options`` as in ``image_step``."""
+    step = image_step(make_fn, **options)
+    if orientation is None:
+        return map_images(images, step)
+    return map_images(
+        images, lambda image, **row: step(image, row[orientation]), ("image", orientation)
+    )
+
+
+def standardize_files(files: DataFrame, step: Callable, decode: Callable, path: str) -> DataFrame:
+    """Read, decode and transform the files named by ``path`` in one pass: rows with ``image``."""
+
+    def from_file(**row):
+        return step(_decoded(storage.read_bytes(row[path]), decode))
+
+    return map_images(files, from_file, (path,), origin=path)
+
+
+def process_files(
+    files: DataFrame, step: Callable, decode: Callable, encode: Callable, folder: str, path: str
+) -> DataFrame:
+    """Read, decode, transform, encode and write to ``folder/name`` in one pass.
+
+    Pixels never leave the Python worker. Returns the stored manifest: the other columns with
+    ``size_bytes``, ``status`` and ``error``.
+    """
+    spark = files.sparkSession
+    ship(spark)
+    root = qualified(spark, folder)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema]
+
+    def one(**row):
+        data = encode(step(_decoded(storage.read_bytes(row[path]), decode)), row["name"])
+        stream, finish = storage.open_replacing(f"{root}/{row['name']}", str(TaskContext.get().taskAttemptId()))
+        stream.write(data)
+        finish()
+        return len(data)
+
+    def run(batches):
+        for batch in batches:
+            tried = [_attempt(one, row, (), None) for row in _columns_of(batch, ("name", path))]
+            added = [
+                pa.array([t[place] for t in tried], kind)
+                for place, kind in enumerate((pa.int64(), pa.string(), pa.string()))
+            ]
+            names = batch.schema.names + ["size_bytes", "status", "error"]
+            yield pa.RecordBatch.from_arrays(batch.columns + added, names=names)
+
+    schema = ", ".join(fields + ["size_bytes long, status string, error string"])
+    return stored(files.mapInArrow(run, schema), "manifest")
+
+
+def _decoded(content: bytes, decode: Callable) -> np.ndarray:
+    if not content:
+        raise ValueError("empty_file")
+    return decode(content)
 
 
 def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,32 +8,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A key is hot if it may hold more than 1/HOT_KEYS of the rows, so there are at most HOT_KEYS of them.
+from rasterloom.session import stored
+
+# A key is hot if it holds more than 1/HOT_KEYS of the rows, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 256
 
 
-def hot_keys(df: DataFrame, key: str) -> list[str]:
-    """All keys holding more than 1/HOT_KEYS of the rows, and possibly a few more; bounded.
+def hot_keys(df: DataFrame, key: str) -> dict[str, int]:
+    """Salts per hot key: the number of average shuffle partitions that its rows would fill.
 
-    One pass with a bounded sketch per task. The list only steers how rows are spread: results
-    do not depend on it.
+    A bounded sketch per task names the candidates, a second pass counts just those; nothing is
+    shuffled but a few hundred counts. The answer steers how rows are spread, never the result.
     """
     keyed = df.select(F.col(key).cast("string").alias("key")).filter("key is not null")
-    row = keyed.stat.freqItems(["key"], 1.0 / HOT_KEYS).first()
-    return list(row[0] or []) if row else []
-
-
-def salt_width(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _scattered(key: str, hot: Sequence[str], width: int, spread_by: Sequence[Column]) -> Column:
-    return F.when(F.col(key).isin(*hot), F.pmod(F.xxhash64(*spread_by), F.lit(width))).otherwise(0)
+    sketch = keyed.stat.freqItems(["key"], 1.0 / HOT_KEYS).first()
+    candidates = sketch[0] if sketch else None
+    if not candidates:
+        return {}
+    group = F.when(F.col("key").isin(*candidates), F.col("key"))
+    counts = {r[0]: r[1] for r in keyed.groupBy(group).count().collect()}
+    total = sum(counts.values())
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {
+        k: max(2, min(n, -(-n * width // total)))
+        for k, n in counts.items()
+        if k is not None and n * HOT_KEYS > total
+    }
+
+
+def _salts(key: str, hot: dict[str, int]) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))
+
+
+def _scattered(key: str, hot: dict[str, int], spread_by: Sequence[str]) -> Column:
+    if not hot:
+        return F.lit(0).cast("long")
+    return F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), _salts(key, hot).cast("long"))
 
 
-def _copied(key: str, hot: Sequence[str], width: int) -> Column:
-    every = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
-    return F.explode(F.when(F.col(key).isin(*hot), every).otherwise(F.array(F.lit(0).cast("long"))))
+def _copied(key: str, hot: dict[str, int]) -> Column:
+    if not hot:
+        return F.lit(0).cast("long")
+    return F.explode(F.sequence(F.lit(0).cast("long"), _salts(key, hot).cast("long") - 1))
 
 
 def attach(
@@ -42,45 +59,48 @@ def attach(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot: Sequence[str] | None = None,
+    hot: dict[str, int] | None = None,
 ) -> DataFrame:
     """Join ``rows`` with a ``lookup`` that is unique on ``key``.
 
     Rows of hot keys are scattered over salts by ``spread_by``; the few lookup rows they need are
-    copied to each salt. Joins with a computed lookup are outside the adaptive skew rule, hence this.
+    copied to each salt. Joins with a computed lookup are outside the adaptive skew rule, hence
+    this. ``hot`` saves the search when it was made on a cheaper table.
     """
     hot = hot_keys(rows, key) if hot is None else hot
     if not hot:
         return rows.join(lookup, key, how)
-    width = salt_width(rows)
-    left = rows.withColumn("_salt", _scattered(key, hot, width, [F.col(c) for c in spread_by]))
-    right = lookup.withColumn("_salt", _copied(key, hot, width))
+    left = rows.withColumn("_salt", _scattered(key, hot, spread_by))
+    right = lookup.withColumn("_salt", _copied(key, hot))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def inner_pairs(
-    left: DataFrame, right: DataFrame, key: str, left_id: Sequence[str], right_id: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_id: Sequence[str],
+    right_id: Sequence[str],
+    hot_left: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Inner join with multiplicity; keys hot on either side are split over many tasks."""
-    hot_left = hot_keys(left, key)
-    hot_right = [k for k in hot_keys(right, key) if k not in set(hot_left)]
-    if not hot_left and not hot_right:
-        return left.join(right, key)
-    width = salt_width(left)
+    """Inner join with multiplicity; keys hot on either side are split over many tasks.
 
-    a = _salted(left, key, hot_left, hot_right, ("_s", "_c"), left_id, width)
-    b = _salted(right, key, hot_right, hot_left, ("_c", "_s"), right_id, width)
+    The side with more of a hot key is scattered and the other copied. A key gets no more salts
+    than it has rows on the scattered side, so the copies never outnumber the joined rows.
+    """
+    hot_left = hot_keys(left, key) if hot_left is None else hot_left
+    hot_right = hot_keys(right, key)
+    by_left = {k: n for k, n in hot_left.items() if n >= hot_right.get(k, 0)}
+    by_right = {k: n for k, n in hot_right.items() if k not in by_left}
+    if not by_left and not by_right:
+        return left.join(right, key)
+    a = left.withColumn("_s", _scattered(key, by_left, left_id))
+    a = a.withColumn("_c", _copied(key, by_right))
+    b = right.withColumn("_c", _scattered(key, by_right, right_id))
+    b = b.withColumn("_s", _copied(key, by_left))
     return a.join(b, [key, "_s", "_c"]).drop("_s", "_c")
 
 
-def _salted(df, key, scattered, copied, names, ids, width) -> DataFrame:
-    """Two salts: one scatters this side's own hot keys, one copies rows for the other side's."""
-    zero = F.lit(0).cast("long")
-    own = _scattered(key, scattered, width, [F.col(c) for c in ids]) if scattered else zero
-    other = _copied(key, copied, width) if copied else zero
-    return df.withColumn(names[0], own).withColumn(names[1], other)
-
-
 def first_per(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """First row of each key; the planner limits each group to one row before the shuffle."""
     ranked = Window.partitionBy(key).orderBy(*order)
@@ -94,18 +114,26 @@ def with_position(
 
     ``blocks`` are (coarse, fine) expressions that rise with the order and bound the rows per
     (coarse, fine) block. The default cuts a unique long ordinal into blocks of 65,536 values.
-    Rows are ranked per block; counts of blocks are summed first within each coarse block, then
-    over the coarse blocks.
     """
+    return _placed(df, order, blocks).drop("_total")
+
+
+def _placed(df: DataFrame, order: Sequence[Column], blocks) -> DataFrame:
+    """``position`` and ``_total``: rows are ranked per block, and counts of blocks are summed
+    first within each coarse block, then over the coarse blocks."""
+    table = stored(df, "positions")
     if blocks is None:
         blocks = (F.shiftright(order[0], 32), F.shiftright(order[0], 16))
-    cut = df.withColumn("_coarse", blocks[0]).withColumn("_fine", blocks[1])
+    cut = table.withColumn("_coarse", blocks[0]).withColumn("_fine", blocks[1])
     counts = cut.groupBy("_coarse", "_fine").agg(F.count("*").alias("_n"))
     within = Window.partitionBy("_coarse").orderBy("_fine")
     fine = counts.withColumn("_before", F.sum("_n").over(within) - F.col("_n"))
     totals = counts.groupBy("_coarse").agg(F.sum("_n").alias("_n"))
-    over_all = Window.orderBy("_coarse")
-    coarse = totals.select("_coarse", (F.sum("_n").over(over_all) - F.col("_n")).alias("_base"))
+    so_far = F.sum("_n").over(Window.orderBy("_coarse"))
+    everything = F.sum("_n").over(Window.partitionBy())
+    coarse = totals.select(
+        "_coarse", (so_far - F.col("_n")).alias("_base"), everything.alias("_total")
+    )
     offsets = fine.join(coarse, "_coarse").drop("_n")
     rank = F.row_number().over(Window.partitionBy("_coarse", "_fine").orderBy(*order))
     ranked = cut.withColumn("_rank", rank)
@@ -125,9 +153,9 @@ def chunk_plan(
     """Add ``chunk``: near-equal contiguous split of the list, ceil(n / chunks) rows each."""
     if chunks < 1:
         raise ValueError("chunks must be positive")
-    size = df.agg(F.ceil(F.count("*") / F.lit(chunks)).cast("long").alias("size")).scalar()
-    placed = with_position(df, order, blocks)
-    return placed.withColumn("chunk", F.floor(F.col("position") / size))
+    size = F.ceil(F.col("_total") / F.lit(chunks))
+    placed = _placed(df, order, blocks)
+    return placed.withColumn("chunk", F.floor(F.col("position") / size)).drop("_total")
 
 
 def cap(df: DataFrame, max_samples: int | None, order: Sequence[Column]) -> DataFrame:

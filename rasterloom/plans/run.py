@@ -15,7 +15,7 @@ from rasterloom.operators import images as stage
 from rasterloom.operators.joins import cap
 from rasterloom.operators.metadata import merge_metadata
 from rasterloom.plans.work import local_samples, missing_inputs, run_counters, work_plan
-from rasterloom.session import path_exists, qualified, shared_dir
+from rasterloom.session import path_exists, qualified, stored
 from rasterloom.sinks.files import write_archives, write_files
 from rasterloom.sinks.tables import append_dead_letters
 from rasterloom.sources.archives import read_zip
@@ -41,6 +41,7 @@ class RunOptions:
     steps: int = stage.STEPS
     use_edges: bool = False
     control_scale: float = stage.CONTROL_SCALE
+    whiten_above: int | None = None
     max_samples: int | None = None
     samples_only: bool = False
     skip_zip: bool = False
@@ -58,34 +59,34 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     output = f"{base}/{OUTPUT_FOLDER}"
     run_id = uuid.uuid4().hex
     work, input_dir = _work_list(spark, base, options)
-    plan = _stored(spark, _plan(spark, base, output, work, input_dir), "plan")
+    plan = stored(_plan(spark, base, output, work, input_dir), "plan")
 
     todo = plan.filter("status = 'todo'").withColumnRenamed("image_name", "name")
     tasks = _tasks(spark, todo)
-    content = read_content(todo.drop("status").repartition(tasks), "input_path")
-    results = stage.standardize(
-        stage.decode_content(content, options.decode),
+    step = stage.image_step(
         options.make_fn,
         guidance_scale=options.guidance_scale,
         steps=options.steps,
         use_edges=options.use_edges,
         control_scale=options.control_scale,
+        whiten_above=options.whiten_above,
     )
-    encoded = _stored(spark, stage.encode_images(results, options.encode), "encoded")
-    write_files(encoded.filter("status = 'ok'"), output)
-
-    failed = encoded.filter("status <> 'ok'").select(
+    spread = todo.select("name", "artikelnummer", "input_path").repartition(tasks)
+    results = stage.process_files(
+        spread, step, options.decode, options.encode, output, "input_path"
+    )
+    failed = results.filter("status <> 'ok'").select(
         F.col("name").alias("image_name"), "artikelnummer", F.lit("process").alias("stage"), "error"
     )
     letters = missing_inputs(plan).unionByName(failed)
     append_dead_letters(letters, f"{base}/generation_errors", run_id)
-    if not options.skip_zip:
-        finished = list_files(spark, {"out": output}).filter("size_bytes > 0")
+    if not options.skip_zip and path_exists(spark, output):
+        finished = list_files(spark, {"out": output})
         archived = read_content(finished.select("name", "path").repartition(tasks), "path")
         write_archives(archived, f"{base}/{options.output_zip}")
 
     outcome = F.when(F.col("status") == "ok", "processed").otherwise("failed")
-    outcomes = encoded.select(outcome.alias("status")).unionByName(
+    outcomes = results.select(outcome.alias("status")).unionByName(
         plan.filter("status <> 'todo'").select(
             F.when(F.col("status") == "missing", "failed").otherwise("skipped").alias("status")
         )
@@ -93,13 +94,6 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     return run_counters(outcomes)
 
 
-def _stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Write once to the shared folder and continue from there."""
-    where = shared_dir(spark, purpose)
-    df.write.parquet(where)
-    return spark.read.schema(df.schema).parquet(where)
-
-
 def _tasks(spark: SparkSession, todo: DataFrame) -> int:
     total = todo.agg(F.sum("input_bytes")).first()[0] or 0
     return max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))

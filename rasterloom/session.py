@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Arrow batches are bounded by bytes, so a batch of large images cannot outgrow a Python worker.
 DEFAULTS = {
@@ -56,6 +56,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from there, so it is computed only once."""
+    spark = df.sparkSession
+    where = shared_dir(spark, purpose)
+    df.write.parquet(where)
+    return spark.read.schema(df.schema).parquet(where)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per Spark context)."""
     context = spark.sparkContext

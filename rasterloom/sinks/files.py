@@ -14,19 +14,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from rasterloom.session import qualified, shared_dir, ship
+from rasterloom.session import qualified, ship, stored
 from rasterloom.sources import storage
 
 ARCHIVE_BYTES = 1 << 30
 
 
-def _stored(spark, manifest: DataFrame) -> DataFrame:
-    """Run the write once and hand back its manifest from the shared folder."""
-    where = shared_dir(spark, "manifest")
-    manifest.write.parquet(where)
-    return spark.read.schema(manifest.schema).parquet(where)
-
-
 def _token() -> str:
     return str(TaskContext.get().taskAttemptId())
 
@@ -50,7 +43,7 @@ def write_files(files: DataFrame, folder: str) -> DataFrame:
             yield _manifest(names, sizes, [f"{root}/{n}" for n in names])
 
     rows = files.select("name", "content")
-    return _stored(spark, rows.mapInArrow(write, "name string, size_bytes long, path string"))
+    return stored(rows.mapInArrow(write, "name string, size_bytes long, path string"), "manifest")
 
 
 def _manifest(names, sizes, paths) -> pa.RecordBatch:
@@ -101,7 +94,7 @@ def write_archives(
 
     columns = ["name", "content"] + ([archive] if archive else [])
     rows = files.select(*columns)
-    return _stored(spark, rows.mapInArrow(write, "name string, size_bytes long, path string"))
+    return stored(rows.mapInArrow(write, "name string, size_bytes long, path string"), "manifest")
 
 
 def _close(opened) -> None:
@@ -139,7 +132,7 @@ def copy_files(files: DataFrame, folder: str) -> DataFrame:
 
     rows = files.select("name", "path")
     schema = "name string, size_bytes long, path string, status string"
-    return _stored(spark, rows.mapInArrow(copy, schema))
+    return stored(rows.mapInArrow(copy, schema), "manifest")
 
 
 def _copy(source: str, target: str) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix, raw_unsafe
-from rasterloom.session import ship
+from rasterloom.session import ship, stored
 from rasterloom.sources import storage
 
 INDEX_SCHEMA = (
@@ -117,13 +117,15 @@ def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame
     """Add ``content``, ``status`` and ``error`` by reading each member at its offset.
 
     Members are spread over tasks by (archive, offset), so one huge archive is read by many tasks.
+    The list of members is stored first: it is needed for sizing, for sampling and for reading.
     """
     spark = members.sparkSession
     ship(spark)
+    members = stored(members.drop("error"), "zip-index")
     if partitions is None:
         total = members.agg(F.sum("packed_bytes")).first()[0] or 0
         partitions = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
-    spread = members.drop("error").repartitionByRange(partitions, "path", "offset")
+    spread = members.repartitionByRange(partitions, "path", "offset")
     spread = spread.sortWithinPartitions("path", "offset")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in spread.schema]
     return spread.mapInArrow(
@@ -196,5 +198,5 @@ def read_zip(
 ) -> DataFrame:
     """Images of the archives, one per base name, without those already on disk."""
     index = index_archives(spark, paths).filter("error is null")
-    chosen = first_non_empty(new_members(ingestable(index, suffixes), existing))
+    chosen = new_members(first_non_empty(ingestable(index, suffixes)), existing)
     return read_members(chosen, partitions)

@@ -10,10 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rasterloom.functions import codec
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix
-from rasterloom.operators.images import decode_content, standardize
+from rasterloom.operators.images import image_step, standardize_files
 from rasterloom.operators.joins import first_per
 from rasterloom.session import path_exists
-from rasterloom.sources.images import read_content
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 _TASK_BYTES = 64 << 20
@@ -35,7 +34,7 @@ def stream_standardize(
     source: DataFrame,
     output: str,
     checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame] = standardize,
+    step: Callable | None = None,
     decode: Callable = codec.decode,
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop; ``output`` is a Parquet image table.
@@ -43,6 +42,7 @@ def stream_standardize(
     The checkpoint remembers the files seen. Each batch first settles, on names alone, what is
     still to be done, then reads the bytes. A batch that is repeated overwrites its own folder.
     """
+    step = step or image_step()
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -51,8 +51,7 @@ def stream_standardize(
             fresh = fresh.join(finished(spark, output, batch_id), "name", "left_anti")
         total = batch.agg(F.sum("bytes")).first()[0] or 0
         tasks = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
-        content = read_content(fresh.drop("bytes").repartition(tasks), "path")
-        results = transform(decode_content(content, decode))
+        results = standardize_files(fresh.drop("bytes").repartition(tasks), step, decode, "path")
         sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)))
         sized.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
