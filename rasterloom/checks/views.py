@@ -124,8 +124,10 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
                 names=["image_id", "orientation", "image"],
             )
 
-    chosen = vectors.select("vec_id", "embedding")
-    return chosen.mapInArrow(build, f"image_id long, orientation int, {IMAGE_SCHEMA}")
+    # A short vector becomes a whole image to be worked on, so the rows are spread over all cores.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = vectors.select("vec_id", "embedding").repartition(tasks, "vec_id")
+    return spread.mapInArrow(build, f"image_id long, orientation int, {IMAGE_SCHEMA}")
 
 
 def draw(image_id: int, vector: np.ndarray) -> np.ndarray:

@@ -62,10 +62,17 @@ def lanczos_taps(n_in: int, n_out: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _resample_rows(img: np.ndarray, n_out: int) -> np.ndarray:
     index, weight = lanczos_taps(img.shape[0], n_out)
-    total = np.full((n_out,) + img.shape[1:], 1 << (RESAMPLE_BITS - 1), dtype=np.int32)
-    for tap in range(index.shape[1]):
-        total += img[index[:, tap]] * weight[:, tap, None, None]
-    return np.clip(total >> RESAMPLE_BITS, 0, 255).astype(np.uint8)
+    rows = np.ascontiguousarray(img).reshape(img.shape[0], -1)
+    out = np.empty((n_out, rows.shape[1]), dtype=np.uint8)
+    for start in range(0, n_out, 64):
+        part = slice(start, start + 64)
+        total = np.full(out[part].shape, 1 << (RESAMPLE_BITS - 1), dtype=np.int32)
+        product = np.empty_like(total)
+        for tap in range(index.shape[1]):
+            np.multiply(rows[index[part, tap]], weight[part, tap, None], out=product, dtype=np.int32)
+            total += product
+        out[part] = np.clip(total >> RESAMPLE_BITS, 0, 255)
+    return out.reshape((n_out,) + img.shape[1:])
 
 
 def resample(img: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -134,9 +141,10 @@ def link_edges(classes: np.ndarray) -> np.ndarray:
     keep[frontier] = True
     steps = np.array([-width - 1, -width, -width + 1, -1, 1, width - 1, width, width + 1])
     while frontier.size:
-        near = np.unique(frontier[:, None] + steps)
-        frontier = near[weak[near] & ~keep[near]]
-        keep[frontier] = True
+        near = (frontier[:, None] + steps).ravel()
+        near = near[weak[near] & ~keep[near]]
+        keep[near] = True
+        frontier = np.unique(near)
     return keep.reshape(-1, width)[1:-1, 1:-1]
 
 

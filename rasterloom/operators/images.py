@@ -138,7 +138,10 @@ def map_images(
 def measure_images(
     df: DataFrame, step: Callable, schema: str, keep: Sequence[str], args: Sequence[str] = ("image",)
 ) -> DataFrame:
-    """Rows of numbers instead of images: ``step`` returns a list of dicts for each image."""
+    """Rows of numbers instead of images: ``step`` returns a list of dicts for each image.
+
+    An image that is absent or cannot be measured gives one row of nulls.
+    """
     ship(df.sparkSession)
     images = _image_columns(df, args)
     kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
@@ -150,9 +153,8 @@ def measure_images(
         for batch in batches:
             source, values = [], []
             for i, row in enumerate(_columns_of(batch, args)):
-                found, state, problem = _attempt(step, row, images, None)
-                if state != "ok":
-                    raise ValueError(f"measure failed: {problem}")
+                found, state, _ = _attempt(step, row, images, None)
+                found = found if state == "ok" else [dict.fromkeys(names)]
                 source += [i] * len(found)
                 values += found
             taken = [batch.column(c).take(pa.array(source, pa.int64())) for c in keep]

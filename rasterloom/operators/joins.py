@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 
 from rasterloom.session import stored
 
-# A key is hot if it holds more than 1/HOT_KEYS of the rows, so there are fewer than HOT_KEYS of them.
+# A key is hot if it holds more than 1/HOT_KEYS of the rows and more than an average shuffle
+# partition, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 256
 
 
@@ -30,9 +31,9 @@ def hot_keys(df: DataFrame, key: str) -> dict[str, int]:
     total = sum(counts.values())
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return {
-        k: max(2, min(n, -(-n * width // total)))
+        k: min(n, -(-n * width // total))
         for k, n in counts.items()
-        if k is not None and n * HOT_KEYS > total
+        if k is not None and n * min(width, HOT_KEYS) > total
     }
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
-from urllib.parse import unquote, urlsplit
 
 from pyarrow import fs as arrow_fs
 
 FLUSH_BYTES = 32 << 20
+_PARTS = re.compile(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]+):)?(.*)$")
 
 
 @lru_cache(maxsize=64)
@@ -19,13 +20,14 @@ def _filesystem(scheme: str, netloc: str):
 
 
 def locate(uri: str):
-    """(file system, path on it) of a URI as Spark or Hadoop writes it."""
-    parts = urlsplit(uri.replace("#", "%23").replace("?", "%3F"))
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    path = unquote(parts.path)
-    if scheme in ("s3", "gs"):
-        path = parts.netloc + path
-    return _filesystem(scheme, parts.netloc), path
+    """(file system, path on it) of a Hadoop path text, in which nothing is percent-encoded."""
+    scheme, rest = _PARTS.match(uri).groups()
+    scheme = {None: "", "s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    netloc, path = "", rest
+    if rest.startswith("//"):
+        netloc, _, tail = rest[2:].partition("/")
+        path = f"{netloc}/{tail}" if scheme in ("s3", "gs") else f"/{tail}"
+    return _filesystem(scheme, netloc), path
 
 
 def read_bytes(uri: str) -> bytes:
