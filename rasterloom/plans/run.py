@@ -44,6 +44,7 @@ class RunOptions:
     whiten_above: int | None = None
     max_samples: int | None = None
     samples_only: bool = False
+    samples_if_no_images: bool = False
     skip_zip: bool = False
     process_all_zip: bool = False
     zip_file: str = "images.zip"
@@ -126,7 +127,11 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
         options.null_key,
     )
     input_dir = options.input_dir
-    if options.samples_only:
+    wanted = options.samples_only
+    if options.samples_if_no_images and not wanted:
+        folder = _folders(spark, base, ("images",))
+        wanted = not folder or list_files(spark, folder).isEmpty()
+    if wanted:
         place = next(iter(_folders(spark, base, ("samples", "Samples")).items()), None)
         inventory = list_files(spark, dict([place])) if place else None
         table = local_samples(table, inventory)

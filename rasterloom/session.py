@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -69,12 +70,18 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(context, "_rasterloom_shipped", False):
         return
+    from rasterloom.sources import storage
+
     root = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="rasterloom-"), "rasterloom_package.zip")
-    with zipfile.ZipFile(archive, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for folder, _, files in os.walk(root):
             for name in sorted(f for f in files if f.endswith(".py")):
                 full = os.path.join(folder, name)
                 out.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(archive)
+    where = f"{shared_dir(spark, 'package')}/rasterloom_package.zip"
+    stream, finish = storage.open_replacing(where, "driver")
+    stream.write(packed.getvalue())
+    finish()
+    context.addPyFile(where)
     context._rasterloom_shipped = True

@@ -1,15 +1,15 @@
 import os
+import struct
 import zipfile
 
+import numpy as np
 import pytest
 
 from rasterloom.functions import codec
 from rasterloom.functions.names import AUDIT_SUFFIXES
 from rasterloom.sinks.files import copy_files, write_archives, write_files
 from rasterloom.sources import archives, files
-from rasterloom.sources.images import decode_images, read_content
-
-import numpy as np
+from rasterloom.sources.images import decode_images, read_content, read_orientation
 
 
 def folder(tmp_path, **contents):
@@ -152,3 +152,19 @@ def test_decoding_keeps_broken_files_as_rows(spark, tmp_path):
     good = rows["ok  1.bmp"]["image"]
     assert (good["height"], good["width"]) == (2, 4)
     assert bytes(good["data"]) == img[:, :, ::-1].tobytes()
+
+
+def test_camera_orientation_is_read_from_the_header(spark, tmp_path):
+    def photo(order, tag):
+        exif = struct.pack(order + "HI", 42, 8) + struct.pack(order + "H", 2)
+        exif += struct.pack(order + "HHII", 0x010F, 2, 1, 0)
+        exif += struct.pack(order + "HHIHH", 0x0112, 3, 1, tag, 0)
+        body = b"Exif\0\0" + (b"II" if order == "<" else b"MM") + exif
+        other = b"\xff\xe0" + struct.pack(">H", 6) + b"JFIF"
+        return b"\xff\xd8" + other + b"\xff\xe1" + struct.pack(">H", len(body) + 2) + body + b"\xff\xda"
+
+    where = folder(tmp_path / "p", a__jpg=photo("<", 6), b__jpg=photo(">", 3), c__jpg=b"\xff\xd8\xff\xda", d__png=b"x", e__jpg=b"")
+    got = read_orientation(files.list_files(spark, {"p": where}))
+    assert {r["name"]: r["orientation"] for r in got.collect()} == {
+        "a.jpg": 6, "b.jpg": 3, "c.jpg": None, "d.png": None, "e.jpg": None,
+    }

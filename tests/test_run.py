@@ -83,6 +83,11 @@ def test_samples_only(spark, with_csv):
     assert made.shape == (16, 32, 3) and set(np.unique(made)) <= {0, 255}
 
 
+def test_samples_are_used_when_there_are_no_images(spark, with_csv):
+    os.remove(with_csv / "images" / "i0.bmp")
+    assert counts(spark, with_csv, samples_if_no_images=True) == {"processed": 1}
+
+
 def test_stream_processes_each_file_once(spark, tmp_path):
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
 
