@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rasterloom.operators.images import IMAGE_SCHEMA, _struct_type, pack
+from rasterloom.operators.images import IMAGE_SCHEMA, struct_type, pack
 from rasterloom.session import ship
 
 # Fixed value: folder order of the fixture inventory.
@@ -106,7 +106,7 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image_id, orientation, image): one image per embedding, of varying size and channels."""
     ship(spark)
     vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
-    struct = _struct_type()
+    struct = struct_type()
 
     def build(batches):
         for batch in batches:

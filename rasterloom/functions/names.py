@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 AUDIT_SUFFIXES = (".jpg", ".jpeg", ".png")
 INGEST_SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp")
 
-# Unicode white space plus the four separator control characters.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Fixed value: the white space characters of Unicode, with the four separator controls.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(col: Column) -> Column:
-    """Remove white space of any kind at both ends (``trim`` only removes U+0020)."""
-    return F.regexp_replace(col.cast("string"), _EDGE_SPACE, "")
+    """Remove white space of any kind at both ends (plain ``trim`` only removes U+0020)."""
+    return F.btrim(col.cast("string"), F.lit(WHITE_SPACE))
 
 
 def normalize_key(col: Column, null_key: str = "drop") -> Column:
@@ -32,12 +35,16 @@ def normalize_key(col: Column, null_key: str = "drop") -> Column:
 
 def basename(path: Column) -> Column:
     """Last path component; trailing slashes and ``/.`` parts do not count."""
-    return F.substring_index(F.regexp_replace(path, r"(/\.?)+$", ""), "/", -1)
+    inner = F.substring_index(F.regexp_replace(path, r"(/\.?)+$", ""), "/", -1)
+    return F.when(path.contains("/"), inner).otherwise(path)
 
 
 def suffix(path: Column) -> Column:
     """Suffix of the last component with its dot, or ``''``; leading and trailing dots make none."""
-    return F.regexp_extract(basename(path), r"(?s)^.+(\.[^.]+)$", 1)
+    name = basename(path)
+    ending = F.substring_index(name, ".", -1)
+    has_stem = F.length(name) > F.length(ending) + 1
+    return F.when(has_stem & (ending != ""), F.concat(F.lit("."), ending)).otherwise("")
 
 
 def has_suffix(path: Column, allowed: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ A failing image becomes a row with status ``failed``; the job goes on.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions import raster
 from rasterloom.session import qualified, ship, stored
 from rasterloom.sources import storage
+from rasterloom.sources.batches import CONTENT, CONTENT_SCHEMA, emit, read_ahead, schema_of
 
 IMAGE_FIELDS = "origin: string, height: int, width: int, nChannels: int, mode: int, data: binary"
 IMAGE_SCHEMA = f"image struct<{IMAGE_FIELDS}>"
@@ -54,7 +55,7 @@ def pack(img: np.ndarray, origin: str | None) -> dict:
     return {"origin": origin, "height": height, "width": width, "nChannels": channels, "mode": MODES[channels], "data": data}
 
 
-def _struct_type() -> pa.DataType:
+def struct_type() -> pa.DataType:
     return pa.struct(
         [("origin", pa.string())]
         + [(n, pa.int32()) for n in ("height", "width", "nChannels", "mode")]
@@ -62,22 +63,29 @@ def _struct_type() -> pa.DataType:
     )
 
 
-def _columns_of(batch: pa.RecordBatch, names: Sequence[str]) -> list[dict]:
+RESULT = {"image": struct_type(), "status": pa.string(), "error": pa.string()}
+RESULT_SCHEMA = f"{IMAGE_SCHEMA}, status string, error string"
+
+
+def _rows_of(batch: pa.RecordBatch, names: Sequence[str]) -> Iterator[dict]:
     """Rows of the named columns; image bytes are handed over without a copy."""
-    columns = {}
-    for name in names:
-        column = batch.column(name)
-        if pa.types.is_struct(column.type):
-            parts = dict(zip((f.name for f in column.type), column.flatten()))
-            small = {n: v.to_pylist() for n, v in parts.items() if n != "data"}
-            data = [v.as_buffer() for v in parts["data"]]
-            columns[name] = [
-                None if data[i] is None else {n: v[i] for n, v in small.items()} | {"data": data[i]}
-                for i in range(len(data))
-            ]
-        else:
-            columns[name] = column.to_pylist()
-    return [{n: v[i] for n, v in columns.items()} for i in range(batch.num_rows)]
+    columns = [batch.column(n) for n in names]
+    readers = [_image_at if pa.types.is_struct(c.type) else _value_at for c in columns]
+    parts = [c.flatten() if pa.types.is_struct(c.type) else c for c in columns]
+    for i in range(batch.num_rows):
+        yield {n: read(p, i) for n, read, p in zip(names, readers, parts)}
+
+
+def _value_at(column, i: int):
+    return column[i].as_py()
+
+
+def _image_at(parts, i: int) -> dict | None:
+    data = parts[-1][i].as_buffer()
+    if data is None:
+        return None
+    small = {n: p[i].as_py() for n, p in zip(("origin", "height", "width", "nChannels"), parts)}
+    return small | {"data": data}
 
 
 class ModelError(Exception):
@@ -101,38 +109,33 @@ def _image_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if df.schema[n].dataType.typeName() == "struct"]
 
 
-def map_images(
-    df: DataFrame, step: Callable, args: Sequence[str] = ("image",), origin: str | None = None
-) -> DataFrame:
+def map_images(df: DataFrame, step: Callable, args: Sequence[str] = ("image",)) -> DataFrame:
     """Replace ``image`` by ``step(**args)``, where image columns arrive as rasters.
 
-    Rows that failed before are carried along untouched. The origin of the result is that of the
-    old image, or the value of the ``origin`` argument.
+    Rows that failed before are carried along untouched.
     """
     ship(df.sparkSession)
     images = _image_columns(df, args)
     keep = [c for c in df.columns if c not in ("image", "status", "error")]
-    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
-    has_status = "error" in df.columns
-    struct = _struct_type()
+    has_error = "error" in df.columns
+
+    def results(batch):
+        before = batch.column("error").to_pylist() if has_error else [None] * batch.num_rows
+        for row, earlier in zip(_rows_of(batch, args), before):
+            made, status, error = _attempt(step, row, images, earlier)
+            yield _packed(made, (row.get("image") or {}).get("origin"), status, error)
 
     def run(batches):
         for batch in batches:
-            rows = _columns_of(batch, args)
-            before = batch.column("error").to_pylist() if has_status else [None] * len(rows)
-            out, status, error = [], [], []
-            for row, earlier in zip(rows, before):
-                result, state, problem = _attempt(step, row, images, earlier)
-                source = row[origin] if origin else (row.get("image") or {}).get("origin")
-                out.append(None if result is None else pack(result, source))
-                status.append(state)
-                error.append(problem)
-            arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(out, struct), pa.array(status, pa.string()), pa.array(error, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + ["image", "status", "error"])
-
-    schema = ", ".join(fields + [IMAGE_SCHEMA, "status string", "error string"])
-    return df.mapInArrow(run, schema)
+            yield from emit(batch, keep, RESULT, results(batch))
+
+    return df.mapInArrow(run, schema_of(df, keep, RESULT_SCHEMA))
+
+
+def _packed(img: np.ndarray | None, origin: str | None, status: str, error: str | None):
+    if img is None:
+        return (None, status, error), 0
+    return (pack(img, origin), status, error), img.nbytes
 
 
 def measure_images(
@@ -144,7 +147,6 @@ def measure_images(
     """
     ship(df.sparkSession)
     images = _image_columns(df, args)
-    kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
     names = [part.split()[0] for part in schema.split(",")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string()}
     types = [kinds[part.split()[1]] for part in schema.split(",")]
@@ -152,7 +154,7 @@ def measure_images(
     def run(batches):
         for batch in batches:
             source, values = [], []
-            for i, row in enumerate(_columns_of(batch, args)):
+            for i, row in enumerate(_rows_of(batch, args)):
                 found, state, _ = _attempt(step, row, images, None)
                 found = found if state == "ok" else [dict.fromkeys(names)]
                 source += [i] * len(found)
@@ -161,7 +163,7 @@ def measure_images(
             made = [pa.array([v[n] for v in values], t) for n, t in zip(names, types)]
             yield pa.RecordBatch.from_arrays(taken + made, names=list(keep) + names)
 
-    return df.mapInArrow(run, ", ".join(kept + [schema]))
+    return df.mapInArrow(run, schema_of(df, keep, schema))
 
 
 def orient(images: DataFrame, tag: str = "orientation") -> DataFrame:
@@ -275,11 +277,20 @@ def standardize(
 
 def standardize_files(files: DataFrame, step: Callable, decode: Callable, path: str) -> DataFrame:
     """Read, decode and transform the files named by ``path`` in one pass: rows with ``image``."""
+    ship(files.sparkSession)
+    keep = files.columns
 
-    def from_file(**row):
-        return step(_decoded(storage.read_bytes(row[path]), decode))
+    def results(uris):
+        for uri, (content, problem) in zip(uris, read_ahead(uris)):
+            row = {"content": content}
+            made = _attempt(lambda content: step(_decoded(content, decode)), row, (), problem)
+            yield _packed(made[0], uri, *made[1:])
 
-    return map_images(files, from_file, (path,), origin=path)
+    def run(batches):
+        for batch in batches:
+            yield from emit(batch, keep, RESULT, results(batch.column(path).to_pylist()))
+
+    return files.mapInArrow(run, schema_of(files, keep, RESULT_SCHEMA))
 
 
 def process_files(
@@ -293,26 +304,27 @@ def process_files(
     spark = files.sparkSession
     ship(spark)
     root = qualified(spark, folder)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema]
+    keep = files.columns
+    added = {"size_bytes": pa.int64(), "status": pa.string(), "error": pa.string()}
 
-    def one(**row):
-        data = encode(step(_decoded(storage.read_bytes(row[path]), decode)), row["name"])
-        stream, finish = storage.open_replacing(f"{root}/{row['name']}", str(TaskContext.get().taskAttemptId()))
+    def one(content, name):
+        data = encode(step(_decoded(content, decode)), name)
+        attempt = str(TaskContext.get().taskAttemptId())
+        stream, finish = storage.open_replacing(f"{root}/{name}", attempt)
         stream.write(data)
         finish()
         return len(data)
 
+    def results(batch):
+        contents = read_ahead(batch.column(path).to_pylist())
+        for name, (content, problem) in zip(batch.column("name").to_pylist(), contents):
+            yield _attempt(one, {"content": content, "name": name}, (), problem), 0
+
     def run(batches):
         for batch in batches:
-            tried = [_attempt(one, row, (), None) for row in _columns_of(batch, ("name", path))]
-            added = [
-                pa.array([t[place] for t in tried], kind)
-                for place, kind in enumerate((pa.int64(), pa.string(), pa.string()))
-            ]
-            names = batch.schema.names + ["size_bytes", "status", "error"]
-            yield pa.RecordBatch.from_arrays(batch.columns + added, names=names)
-
-    schema = ", ".join(fields + ["size_bytes long, status string, error string"])
+            yield from emit(batch, keep, added, results(batch))
+
+    schema = schema_of(files, keep, "size_bytes long, status string, error string")
     return stored(files.mapInArrow(run, schema), "manifest")
 
 
@@ -341,21 +353,15 @@ def encode_images(images: DataFrame, encode: Callable, name: str = "name") -> Da
     """Add ``content`` made by ``encode(raster, name) -> bytes``; failures become rows."""
     ship(images.sparkSession)
     keep = [c for c in images.columns if c not in ("image", "status", "error")]
-    fields = [f"`{c}` {images.schema[c].dataType.simpleString()}" for c in keep]
 
-    def step(image, **row):
-        return encode(image, row[name])
+    def results(batch):
+        before = batch.column("error").to_pylist()
+        for row, earlier in zip(_rows_of(batch, ("image", name)), before):
+            made = _attempt(lambda image, **r: encode(image, r[name]), row, ("image",), earlier)
+            yield made, len(made[0] or b"")
 
     def run(batches):
         for batch in batches:
-            before = batch.column("error").to_pylist()
-            tried = [
-                _attempt(step, row, ("image",), earlier)
-                for row, earlier in zip(_columns_of(batch, ("image", name)), before)
-            ]
-            arrays = [batch.column(c) for c in keep]
-            for place, kind in enumerate((pa.binary(), pa.string(), pa.string())):
-                arrays.append(pa.array([t[place] for t in tried], kind))
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + ["content", "status", "error"])
-
-    return images.mapInArrow(run, ", ".join(fields + ["content binary", "status string", "error string"]))
+            yield from emit(batch, keep, CONTENT, results(batch))
+
+    return images.mapInArrow(run, schema_of(images, keep, CONTENT_SCHEMA))

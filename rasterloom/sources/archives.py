@@ -15,11 +15,13 @@ from pyspark.sql.window import Window
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix, raw_unsafe
 from rasterloom.session import ship, stored
 from rasterloom.sources import storage
+from rasterloom.sources.batches import CONTENT, CONTENT_SCHEMA, emit, schema_of
 
 INDEX_SCHEMA = (
     "path string, archive string, ord long, member string, is_dir boolean, size_bytes long, "
     "packed_bytes long, method int, offset long, crc long, encrypted boolean, error string"
 )
+_LOCATION = ["member", "packed_bytes", "method", "offset", "crc", "encrypted"]
 _INDEX_ROWS = 10_000
 _TASK_BYTES = 64 << 20
 
@@ -127,48 +129,30 @@ def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame
         partitions = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
     spread = members.repartitionByRange(partitions, "path", "offset")
     spread = spread.sortWithinPartitions("path", "offset")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in spread.schema]
-    return spread.mapInArrow(
-        _content_batches, ", ".join(fields + ["content binary", "status string", "error string"])
-    )
+    keep = spread.columns
+    return spread.mapInArrow(_content_batches, schema_of(spread, keep, CONTENT_SCHEMA))
 
 
 def _content_batches(batches):
-    handle, current = None, None
+    handles = {}
     for batch in batches:
-        content, status, error, start, held = [], [], [], 0, 0
-        columns = {n: batch.column(n).to_pylist() for n in ("path", "offset", "packed_bytes", "method", "crc", "encrypted", "member")}
-        for i, uri in enumerate(columns["path"]):
-            row = {n: values[i] for n, values in columns.items()}
-            try:
-                if uri != current:
-                    if handle is not None:
-                        handle.close()
-                    handle, current = None, uri
-                    files, path = storage.locate(uri)
-                    handle = files.open_input_file(path)
-                data = _member_bytes(handle, row)
-                problem = None
-            except Exception as caught:
-                data, problem = None, f"member_unreadable: {caught}"
-            content.append(data)
-            status.append("ok" if problem is None else "failed")
-            error.append(problem)
-            held += len(data or b"")
-            if held >= storage.FLUSH_BYTES:
-                yield _with_content(batch.slice(start, i + 1 - start), content, status, error)
-                content, status, error, start, held = [], [], [], i + 1, 0
-        if content:
-            yield _with_content(batch.slice(start), content, status, error)
-    if handle is not None:
-        handle.close()
-
-
-def _with_content(batch, content, status, error) -> pa.RecordBatch:
-    added = [pa.array(content, pa.binary()), pa.array(status, pa.string()), pa.array(error, pa.string())]
-    return pa.RecordBatch.from_arrays(
-        batch.columns + added, names=batch.schema.names + ["content", "status", "error"]
-    )
+        rows = batch.select(["path", *_LOCATION]).to_pylist()
+        yield from emit(batch, batch.schema.names, CONTENT, (_content(handles, r) for r in rows))
+
+
+def _content(handles: dict, row: dict):
+    """Result of one member; the handle of the archive at hand is kept open."""
+    try:
+        uri = row["path"]
+        if uri not in handles:
+            while handles:
+                handles.popitem()[1].close()
+            files, path = storage.locate(uri)
+            handles[uri] = files.open_input_file(path)
+        data = _member_bytes(handles[uri], row)
+        return (data, "ok", None), len(data)
+    except Exception as problem:
+        return (None, "failed", f"member_unreadable: {problem}"), 0
 
 
 def _member_bytes(handle, row) -> bytes:

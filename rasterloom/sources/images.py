@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions.names import basename
 from rasterloom.session import ship
 from rasterloom.sources import storage
+from rasterloom.sources.batches import CONTENT, CONTENT_SCHEMA, emit, read_ahead, schema_of
 
 
 def decode_images(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -32,29 +33,15 @@ def read_content(files: DataFrame, path: str = "input_path") -> DataFrame:
     Only names are shuffled before this point; the bytes are read last, where they are used.
     """
     ship(files.sparkSession)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema]
+    keep = files.columns
 
     def read(batches):
         for batch in batches:
-            uris = batch.column(path).to_pylist()
-            start, held, out = 0, 0, []
-            for i, uri in enumerate(uris):
-                try:
-                    out.append((storage.read_bytes(uri), "ok", None))
-                except Exception as problem:
-                    out.append((None, "failed", f"read_failed: {problem}"))
-                held += len(out[-1][0] or b"")
-                if held >= storage.FLUSH_BYTES or i + 1 == len(uris):
-                    part = batch.slice(start, len(out))
-                    added = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.string(), pa.string()))]
-                    yield pa.RecordBatch.from_arrays(
-                        part.columns + added,
-                        names=part.schema.names + ["content", "status", "error"],
-                    )
-                    start, held, out = i + 1, 0, []
-
-    schema = ", ".join(fields + ["content binary", "status string", "error string"])
-    return files.mapInArrow(read, schema)
+            found = read_ahead(batch.column(path).to_pylist())
+            results = (((c, "failed" if e else "ok", e), len(c or b"")) for c, e in found)
+            yield from emit(batch, keep, CONTENT, results)
+
+    return files.mapInArrow(read, schema_of(files, keep, CONTENT_SCHEMA))
 
 
 def read_orientation(files: DataFrame, path: str = "path") -> DataFrame:
@@ -64,17 +51,14 @@ def read_orientation(files: DataFrame, path: str = "path") -> DataFrame:
     ``orient``. Only the header segments of each file are read.
     """
     ship(files.sparkSession)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema]
+    keep = files.columns
 
     def read(batches):
         for batch in batches:
-            tags = [_orientation_of(uri) for uri in batch.column(path).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(tags, pa.int32())],
-                names=batch.schema.names + ["orientation"],
-            )
+            tags = (((_orientation_of(uri),), 0) for uri in batch.column(path).to_pylist())
+            yield from emit(batch, keep, {"orientation": pa.int32()}, tags)
 
-    return files.mapInArrow(read, ", ".join(fields + ["orientation int"]))
+    return files.mapInArrow(read, schema_of(files, keep, "orientation int"))
 
 
 def _orientation_of(uri: str) -> int | None:

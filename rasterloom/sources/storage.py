@@ -8,7 +8,6 @@ from functools import lru_cache
 
 from pyarrow import fs as arrow_fs
 
-FLUSH_BYTES = 32 << 20
 _PARTS = re.compile(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]+):)?(.*)$")
 
 
