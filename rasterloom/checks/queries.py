@@ -125,7 +125,7 @@ def zip_members(spark, sf):
 
 
 def _bitmaps(spark, sf) -> DataFrame:
-    """(name, image_id, content): every raster as a file, some cut short, some empty."""
+    """(name, orientation, content): every raster as a file, some cut short, some empty."""
     rgb = images.to_rgb(rasters(spark, sf)).withColumn("name", _file_name())
     encoded = images.encode_images(rgb, lambda img, name: codec.encode_bmp(img))
     content = (
@@ -133,7 +133,7 @@ def _bitmaps(spark, sf) -> DataFrame:
         .when(F.col("image_id") % 20 == 1, F.lit(b""))
         .otherwise(F.col("content"))
     )
-    return encoded.select("name", "image_id", content.alias("content"))
+    return encoded.select("name", "orientation", content.alias("content"))
 
 
 def _file_name():
@@ -417,9 +417,10 @@ def stream_pending(spark, sf):
     """Files arrive in two waves; three runs leave one output for each file with content."""
     root = shared_dir(spark, "stream")
     files = _bitmaps(spark, sf)
-    for wave in (0, 1, 2):
-        if wave < 2:
-            write_files(files.filter(F.col("image_id") % 2 == wave), f"{root}/in")
+    upright = F.col("orientation") <= 4
+    for wave in (upright, ~upright, None):
+        if wave is not None:
+            write_files(files.filter(wave), f"{root}/in")
         query = stream_standardize(
             file_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/state", decode=codec.decode_bmp
         )
