@@ -168,3 +168,18 @@ def test_camera_orientation_is_read_from_the_header(spark, tmp_path):
     assert {r["name"]: r["orientation"] for r in got.collect()} == {
         "a.jpg": 6, "b.jpg": 3, "c.jpg": None, "d.png": None, "e.jpg": None,
     }
+
+
+def test_jpeg_and_png_decode_with_sparks_image_source(spark, tmp_path):
+    java = spark._jvm
+    picture = java.java.awt.image.BufferedImage(16, 8, 5)
+    for y in range(8):
+        for x in range(16):
+            picture.setRGB(x, y, 0xC86432)
+    for kind in ("jpg", "png"):
+        java.javax.imageio.ImageIO.write(picture, kind, java.java.io.File(str(tmp_path / f"a.{kind}")))
+    for row in decode_images(spark, str(tmp_path)).collect():
+        image = row["image"]
+        assert (row["status"], image["height"], image["width"], image["nChannels"]) == ("ok", 8, 16, 3)
+        pixels = np.frombuffer(image["data"], np.uint8).reshape(8, 16, 3).astype(int)
+        assert np.abs(pixels - [0x32, 0x64, 0xC8]).max() <= 3
