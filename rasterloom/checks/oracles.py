@@ -66,11 +66,11 @@ matched AS (SELECT value FROM expected INTERSECT SELECT value FROM on_disk)"""
 
 RANKED = """,
 folders AS (SELECT * FROM (VALUES ('images', 0), ('samples', 1), ('Samples', 2), ('base', 3)) AS f(dir, rank)),
-best AS (SELECT name, min(rank) AS rank FROM fx_disk JOIN folders USING (dir) GROUP BY name),
+best AS (SELECT name, min(rank) AS rank, arg_min(size_bytes, rank) AS input_bytes FROM fx_disk JOIN folders USING (dir) GROUP BY name),
 finished AS (SELECT DISTINCT name FROM fx_done WHERE size_bytes > 0)"""
 
 PLAN = """,
-plan AS (SELECT merged.*, CASE WHEN dir IS NOT NULL THEN dir || '/' || image_name END AS input_path,
+plan AS (SELECT merged.*, CASE WHEN dir IS NOT NULL THEN dir || '/' || image_name END AS input_path, input_bytes,
    'images_standardized/' || image_name AS target,
    CASE WHEN finished.name IS NOT NULL THEN 'skipped' WHEN dir IS NOT NULL THEN 'todo' ELSE 'missing' END AS status
  FROM merged LEFT JOIN best ON best.name = image_name LEFT JOIN folders USING (rank)

@@ -14,10 +14,16 @@ from rasterloom.functions.names import INGEST_SUFFIXES
 from rasterloom.operators import images as stage
 from rasterloom.operators.joins import cap
 from rasterloom.operators.metadata import merge_metadata
-from rasterloom.plans.work import local_samples, missing_inputs, run_counters, work_plan
+from rasterloom.plans.work import (
+    local_samples,
+    missing_inputs,
+    run_counters,
+    search_order,
+    work_plan,
+)
 from rasterloom.session import path_exists, qualified, stored
 from rasterloom.sinks.files import write_archives, write_files
-from rasterloom.sinks.tables import append_dead_letters
+from rasterloom.sinks.tables import append_dead_letters, write_images
 from rasterloom.sources.archives import read_zip
 from rasterloom.sources.files import INPUT_FOLDERS, choose_input_dir, list_files
 from rasterloom.sources.images import read_content
@@ -27,12 +33,17 @@ from rasterloom.sources.tables import scan_mapping, scan_typicality
 MAPPING_CSV = "data/artikelnummer_to_image.csv"
 TYPICALITY_CSV = "data/article_typicality.csv"
 OUTPUT_FOLDER = "images_standardized"
+OUTPUT_TABLE = "images_standardized_table"
+FALLBACK_FOLDERS = ("samples", "Samples", ".")
 _TASK_BYTES = 64 << 20
 
 
 @dataclass
 class RunOptions:
-    """``make_fn`` None is a dry run (gray renders). ``max_samples`` None or 0 means all."""
+    """``make_fn`` None is a dry run (gray renders). ``max_samples`` None or 0 means all.
+
+    ``as_table`` writes a Parquet image table instead of encoded files and archives.
+    """
 
     data_dir: str = "."
     input_dir: str | None = None
@@ -49,6 +60,7 @@ class RunOptions:
     process_all_zip: bool = False
     zip_file: str = "images.zip"
     output_zip: str = "images_standardized_zip"
+    as_table: bool = False
     null_key: str = "drop"
     decode: Callable = codec.decode
     encode: Callable = codec.encode
@@ -57,10 +69,11 @@ class RunOptions:
 def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     """Process everything still to be done; returns (status, images) counts."""
     base = qualified(spark, options.data_dir)
-    output = f"{base}/{OUTPUT_FOLDER}"
+    output = f"{base}/{OUTPUT_TABLE if options.as_table else OUTPUT_FOLDER}"
     run_id = uuid.uuid4().hex
     work, input_dir = _work_list(spark, base, options)
-    plan = stored(_plan(spark, base, output, work, input_dir), "plan")
+    done = _done(spark, output, options.as_table)
+    plan = stored(_plan(spark, base, done, work, input_dir), "plan")
 
     todo = plan.filter("status = 'todo'").withColumnRenamed("image_name", "name")
     tasks = _tasks(spark, todo)
@@ -73,15 +86,21 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
         whiten_above=options.whiten_above,
     )
     spread = todo.select("name", "artikelnummer", "input_path").repartition(tasks)
-    results = stage.process_files(
-        spread, step, options.decode, options.encode, output, "input_path"
-    )
+    if options.as_table:
+        images = stage.standardize_files(spread, step, options.decode, "input_path")
+        sized = images.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)).cast("long"))
+        write_images(sized.drop("input_path"), f"{output}/run={run_id}", "overwrite")
+        results = spark.read.parquet(f"{output}/run={run_id}").drop("image")
+    else:
+        results = stage.process_files(
+            spread, step, options.decode, options.encode, output, "input_path"
+        )
     failed = results.filter("status <> 'ok'").select(
         F.col("name").alias("image_name"), "artikelnummer", F.lit("process").alias("stage"), "error"
     )
     letters = missing_inputs(plan).unionByName(failed)
     append_dead_letters(letters, f"{base}/generation_errors", run_id)
-    if not options.skip_zip and path_exists(spark, output):
+    if not (options.skip_zip or options.as_table) and path_exists(spark, output):
         finished = list_files(spark, {"out": output})
         archived = read_content(finished.select("name", "path").repartition(tasks), "path")
         write_archives(archived, f"{base}/{options.output_zip}")
@@ -140,20 +159,20 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
     return table.select("image_name", "artikelnummer"), input_dir
 
 
-def _plan(spark: SparkSession, base: str, output: str, work: DataFrame, input_dir: str | None):
+def _plan(spark: SparkSession, base: str, done: DataFrame, work: DataFrame, input_dir: str | None):
     labels = dict.fromkeys([*([input_dir] if input_dir else []), *INPUT_FOLDERS])
-    inventory = list_files(spark, _folders(spark, base, labels))
+    inventory = stored(list_files(spark, _folders(spark, base, labels)), "inventory")
     if input_dir is None:
         existing = list(_folders(spark, base, INPUT_FOLDERS))
         input_dir = choose_input_dir(inventory, INPUT_FOLDERS, existing).first()["dir"]
-    order = list(dict.fromkeys([input_dir, "samples", "Samples", "."]))
-    if path_exists(spark, output):
-        done = list_files(spark, {"out": output}).select("name", "size_bytes")
-    else:
-        done = spark.createDataFrame([], "name string, size_bytes long")
-    plan = work_plan(work, inventory, done, order)
-    sizes = inventory.groupBy("name").agg(F.max("size_bytes").alias("input_bytes"))
-    return (
-        plan.join(sizes.withColumnRenamed("name", "image_name"), "image_name", "left")
-        .withColumn("input_path", F.concat(F.lit(f"{base}/"), F.col("input_path")))
-    )
+    plan = work_plan(work, inventory, done, search_order(input_dir, FALLBACK_FOLDERS))
+    return plan.withColumn("input_path", F.concat(F.lit(f"{base}/"), F.col("input_path")))
+
+
+def _done(spark: SparkSession, output: str, as_table: bool) -> DataFrame:
+    """(name, size_bytes) of the outputs so far."""
+    if not path_exists(spark, output):
+        return spark.createDataFrame([], "name string, size_bytes long")
+    if as_table:
+        return spark.read.parquet(output).select("name", "size_bytes")
+    return list_files(spark, {"out": output}).select("name", "size_bytes")

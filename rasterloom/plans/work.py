@@ -58,21 +58,27 @@ def _input_path(folders: Sequence[str]):
 def work_plan(
     table: DataFrame, inventory: DataFrame, done: DataFrame, folders: Sequence[str]
 ) -> DataFrame:
-    """Add ``input_path``, ``target`` and ``status`` (skipped, todo or missing).
+    """Add ``input_path``, ``input_bytes``, ``target`` and ``status`` (skipped, todo or missing).
 
     Inputs and outputs are reduced to one row per name in a single grouping, and that is joined
     once, on the key by which the metadata is already partitioned.
     """
+    rank = priority_of(F.col("dir"), folders).cast("long")
     inputs = inventory.select(
-        "name", priority_of(F.col("dir"), folders).alias("rank"), F.lit(0).alias("done")
+        "name", rank.alias("rank"), "size_bytes", F.lit(0).alias("done")
     ).filter("rank is not null")
+    unknown = F.lit(None).cast("long")
     outputs = done.filter("size_bytes > 0").select(
-        "name", F.lit(None).cast("int").alias("rank"), F.lit(1).alias("done")
+        "name", unknown.alias("rank"), unknown.alias("size_bytes"), F.lit(1).alias("done")
     )
     files = (
         inputs.unionByName(outputs)
         .groupBy(F.col("name").alias("image_name"))
-        .agg(F.min("rank").alias("rank"), F.max("done").alias("done"))
+        .agg(
+            F.min("rank").alias("rank"),
+            F.min_by("size_bytes", "rank").alias("input_bytes"),
+            F.max("done").alias("done"),
+        )
     )
     status = (
         F.when(F.col("done") == 1, "skipped")

@@ -52,7 +52,7 @@ def stream_standardize(
         total = batch.agg(F.sum("bytes")).first()[0] or 0
         tasks = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
         results = standardize_files(fresh.drop("bytes").repartition(tasks), step, decode, "path")
-        sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)))
+        sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)).cast("long"))
         sized.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return (

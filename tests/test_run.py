@@ -40,6 +40,19 @@ def test_folder_run_resumes(spark, tmp_path):
     assert {r["stage"] for r in letters.collect()} == {"process"}
 
 
+def test_table_output_resumes(spark, tmp_path):
+    put(tmp_path / "images", ["i0.bmp", "i1.bmp"])
+    (tmp_path / "images" / "bad.bmp").write_bytes(b"BM")
+    options = {"skip_zip": True, "as_table": True}
+    assert counts(spark, tmp_path, **options) == {"processed": 2, "failed": 1}
+    put(tmp_path / "images", ["i2.bmp"])
+    assert counts(spark, tmp_path, **options) == {"processed": 1, "failed": 1, "skipped": 2}
+    table = spark.read.parquet(str(tmp_path / "images_standardized_table")).filter("status = 'ok'")
+    made = {r["name"]: r["image"] for r in table.collect()}
+    assert sorted(made) == ["i0.bmp", "i1.bmp", "i2.bmp"]
+    assert bytes(made["i2.bmp"]["data"]) == raster.grayscale(IMAGES["i2.bmp"]).tobytes()
+
+
 def test_archive_run(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "images.zip", "w") as out:
         for name, img in IMAGES.items():
