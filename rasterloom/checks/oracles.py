@@ -383,7 +383,11 @@ SELECT image_id, CAST(sum(m) AS BIGINT) AS gradient, count(*) FILTER (ridge AND
     "transform_control": _images(
         SNAPPED + _edges("src", "snapped") + OUTLINED + _with_failures(_digests("outlined", "v, v, v"))
     ),
-    "export_roundtrip": _master_query("\nSELECT artikelnummer, image_name, typicality FROM master"),
+    "export_roundtrip": _master_query(
+        """
+SELECT row_number() OVER (ORDER BY src_ord, typicality_ord) - 1 AS position, artikelnummer, image_name,
+ typicality FROM master"""
+    ),
     "audit_report": _audit_query(
         """
 SELECT '1_imagenes_faltantes_en_disco' AS category, value FROM missing

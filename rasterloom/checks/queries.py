@@ -70,13 +70,9 @@ def _files(spark, sf):
 # --- sources -------------------------------------------------------------------------------
 
 
-def _in_order(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange("src_ord").sortWithinPartitions("src_ord")
-
-
 def scan_mapping_query(spark, sf):
     where = shared_dir(spark, "mapping-csv")
-    export_csv(_in_order(_mapping(spark, sf)).drop("src_ord"), where)
+    export_csv(_mapping(spark, sf), where, ["src_ord"])
     table = scan_mapping(spark, where)
     source = F.col("src_ord")
     placed = with_position(table, [source], (source["file"], source["block"]))
@@ -85,7 +81,7 @@ def scan_mapping_query(spark, sf):
 
 def drop_artifact(spark, sf):
     where = shared_dir(spark, "typicality-csv")
-    export_csv(_in_order(_typicality(spark, sf)).drop("src_ord"), where)
+    export_csv(_typicality(spark, sf), where, ["src_ord"])
     table = drop_artifact_columns(scan_typicality(spark, where))
     return table.drop("src_ord")
 
@@ -379,8 +375,11 @@ def param_sweep(spark, sf):
 
 def export_roundtrip(spark, sf):
     where = shared_dir(spark, "master-csv")
-    export_csv(_master(spark, sf).drop("src_ord", "typicality_ord"), where)
-    return scan_typicality(spark, where).select("artikelnummer", "image_name", "typicality")
+    export_csv(_master(spark, sf), where, ["src_ord", "typicality_ord"])
+    table = scan_typicality(spark, where)
+    source = F.col("src_ord")
+    placed = with_position(table, [source], (source["file"], source["block"]))
+    return placed.select("position", "artikelnummer", "image_name", "typicality")
 
 
 def audit_report(spark, sf):

@@ -42,7 +42,8 @@ _TASK_BYTES = 64 << 20
 class RunOptions:
     """``make_fn`` None is a dry run (gray renders). ``max_samples`` None or 0 means all.
 
-    ``as_table`` writes a Parquet image table instead of encoded files and archives.
+    ``as_table`` writes a Parquet image table instead of encoded files and archives. ``nested``
+    looks for inputs and outputs below sub-folders too, for names that contain a path.
     """
 
     data_dir: str = "."
@@ -61,6 +62,7 @@ class RunOptions:
     zip_file: str = "images.zip"
     output_zip: str = "images_standardized_zip"
     as_table: bool = False
+    nested: bool = False
     null_key: str = "drop"
     decode: Callable = codec.decode
     encode: Callable = codec.encode
@@ -72,8 +74,8 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     output = f"{base}/{OUTPUT_TABLE if options.as_table else OUTPUT_FOLDER}"
     run_id = uuid.uuid4().hex
     work, input_dir = _work_list(spark, base, options)
-    done = _done(spark, output, options.as_table)
-    plan = stored(_plan(spark, base, done, work, input_dir), "plan")
+    done = _done(spark, output, options)
+    plan = stored(_plan(spark, base, done, work, input_dir, options.nested), "plan")
 
     todo = plan.filter("status = 'todo'").withColumnRenamed("image_name", "name")
     tasks = _tasks(spark, todo)
@@ -101,7 +103,7 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     letters = missing_inputs(plan).unionByName(failed)
     append_dead_letters(letters, f"{base}/generation_errors", run_id)
     if not (options.skip_zip or options.as_table) and path_exists(spark, output):
-        finished = list_files(spark, {"out": output})
+        finished = list_files(spark, {"out": output}, recurse=options.nested)
         archived = read_content(finished.select("name", "path").repartition(tasks), "path")
         write_archives(archived, f"{base}/{options.output_zip}")
 
@@ -135,6 +137,8 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
                 present = list_files(spark, {"images": images}).select("name", "size_bytes")
             members = read_zip(spark, archive, existing=present).filter("status = 'ok'")
             write_files(members, images)
+        if not path_exists(spark, images):
+            raise FileNotFoundError(f"image folder not found: {images}")
         names = list_files(spark, {"images": images}, INGEST_SUFFIXES)
         rows = names.select(
             F.col("name").alias("image_name"), F.lit(None).cast("string").alias("artikelnummer")
@@ -159,9 +163,17 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
     return table.select("image_name", "artikelnummer"), input_dir
 
 
-def _plan(spark: SparkSession, base: str, done: DataFrame, work: DataFrame, input_dir: str | None):
+def _plan(
+    spark: SparkSession,
+    base: str,
+    done: DataFrame,
+    work: DataFrame,
+    input_dir: str | None,
+    nested: bool,
+) -> DataFrame:
     labels = dict.fromkeys([*([input_dir] if input_dir else []), *INPUT_FOLDERS])
-    inventory = stored(list_files(spark, _folders(spark, base, labels)), "inventory")
+    found = list_files(spark, _folders(spark, base, labels), recurse=nested)
+    inventory = stored(found, "inventory")
     if input_dir is None:
         existing = list(_folders(spark, base, INPUT_FOLDERS))
         input_dir = choose_input_dir(inventory, INPUT_FOLDERS, existing).first()["dir"]
@@ -169,10 +181,11 @@ def _plan(spark: SparkSession, base: str, done: DataFrame, work: DataFrame, inpu
     return plan.withColumn("input_path", F.concat(F.lit(f"{base}/"), F.col("input_path")))
 
 
-def _done(spark: SparkSession, output: str, as_table: bool) -> DataFrame:
+def _done(spark: SparkSession, output: str, options: RunOptions) -> DataFrame:
     """(name, size_bytes) of the outputs so far."""
     if not path_exists(spark, output):
         return spark.createDataFrame([], "name string, size_bytes long")
-    if as_table:
+    if options.as_table:
         return spark.read.parquet(output).select("name", "size_bytes")
-    return list_files(spark, {"out": output}).select("name", "size_bytes")
+    found = list_files(spark, {"out": output}, recurse=options.nested)
+    return found.select("name", "size_bytes")

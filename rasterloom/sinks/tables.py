@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header; blanks at the ends of values are kept and quotes are doubled."""
+def export_csv(
+    df: DataFrame, path: str, order: Sequence[str] = (), mode: str = "overwrite"
+) -> None:
+    """CSV with header; blanks at the ends of values are kept and quotes are doubled.
+
+    Rows follow the ``order`` columns across the files; those columns are not written.
+    """
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
     (
         df.write.mode(mode)
         .option("header", True)

@@ -39,11 +39,15 @@ def scan_images(
 
 
 def list_files(
-    spark: SparkSession, folders: Mapping[str, str], suffixes: Sequence[str] | None = None
+    spark: SparkSession,
+    folders: Mapping[str, str],
+    suffixes: Sequence[str] | None = None,
+    recurse: bool = False,
 ) -> DataFrame:
     """All plain files directly inside ``folders`` (label -> path), empty ones included.
 
-    Each folder is listed by one task, which streams the entries instead of holding them.
+    Each folder is listed by one task, which streams the entries of a mounted file system instead
+    of holding them. With ``recurse``, names are paths below the folder.
     """
     ship(spark)
     places = [(label, qualified(spark, path)) for label, path in folders.items()]
@@ -53,7 +57,7 @@ def list_files(
         for batch in batches:
             for label, uri in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
-                for row in storage.list_folder(uri):
+                for row in storage.list_folder(uri, recurse):
                     rows.append(row)
                     if len(rows) == _LISTING_ROWS:
                         yield _listing_batch(label, uri, rows)

@@ -49,16 +49,21 @@ def open_replacing(uri: str, token: str):
     return stream, finish
 
 
-def list_folder(uri: str):
-    """Yield (name, size, modified seconds) of the plain files directly inside a folder."""
+def list_folder(uri: str, recurse: bool = False):
+    """Yield (name, size, modified seconds) of the plain files in a folder.
+
+    With ``recurse`` the name is the path below the folder.
+    """
     files, path = locate(uri)
     if isinstance(files, arrow_fs.LocalFileSystem):
-        with os.scandir(path) as entries:
-            for entry in entries:
-                if entry.is_file():
-                    info = entry.stat()
-                    yield entry.name, info.st_size, info.st_mtime
+        for folder, _, _ in os.walk(path) if recurse else [(path, None, None)]:
+            with os.scandir(folder) as entries:
+                for entry in entries:
+                    if entry.is_file():
+                        info = entry.stat()
+                        yield os.path.relpath(entry.path, path), info.st_size, info.st_mtime
         return
-    for info in files.get_file_info(arrow_fs.FileSelector(path, recursive=False)):
+    for info in files.get_file_info(arrow_fs.FileSelector(path, recursive=recurse)):
         if info.type == arrow_fs.FileType.File:
-            yield info.base_name, info.size, info.mtime.timestamp() if info.mtime else 0.0
+            name = info.path[len(path.rstrip("/")) + 1 :]
+            yield name, info.size, info.mtime.timestamp() if info.mtime else 0.0

@@ -18,8 +18,12 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 _TASK_BYTES = 64 << 20
 
 
-def file_stream(spark: SparkSession, folder: str, max_files: int = 100_000) -> DataFrame:
-    """Names of image files as they arrive in ``folder``; contents are not read here."""
+def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> DataFrame:
+    """Names of image files as they arrive in ``folder``; contents are not read here.
+
+    Every batch is compared with the names finished so far, so batches should be large; a first
+    load of very many files is better done by a batch run.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)

@@ -86,6 +86,22 @@ def test_table_run_looks_in_all_folders(spark, with_csv):
     assert [(r["image_name"], r["artikelnummer"], r["stage"]) for r in letters] == [("gone.jpg", "4", "locate")]
 
 
+def test_names_with_a_path(spark, with_csv):
+    (with_csv / "data" / "artikelnummer_to_image.csv").write_text("artikelnummer,image_name\n1,sub.dir/i4.bmp\n")
+    put(with_csv / "images" / "sub.dir", ["i4.bmp"])
+    assert counts(spark, with_csv, skip_zip=False) == {"failed": 1}
+    assert counts(spark, with_csv, nested=True) == {"processed": 1}
+    assert counts(spark, with_csv, nested=True) == {"skipped": 1}
+    assert (with_csv / "images_standardized" / "sub.dir" / "i4.bmp").exists()
+
+
+def test_missing_folder_and_archive_are_errors(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="image folder"):
+        counts(spark, tmp_path, skip_zip=True)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        counts(spark, tmp_path)
+
+
 def test_samples_only(spark, with_csv):
     def make():
         return lambda rgb, control, **params: control

@@ -79,6 +79,13 @@ def test_export_keeps_blanks_and_quotes(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
 
 
+def test_export_in_order(spark, tmp_path):
+    table = spark.range(100).select((99 - F.col("id")).alias("o"), F.col("id").cast("string").alias("v"))
+    export_csv(table, str(tmp_path / "out"), ["o"])
+    parts = [p.read_text().split()[1:] for p in sorted((tmp_path / "out").glob("part-*"))]
+    assert [v for part in parts for v in part] == [str(i) for i in range(99, -1, -1)]
+
+
 def test_reports_are_sorted_and_only_there_when_needed(spark, tmp_path):
     rows = [("b", str(i)) for i in range(30, 10, -1)] + [("a", "z")]
     write_reports(spark.createDataFrame(rows, "category string, value string"), str(tmp_path / "r"))
