@@ -35,7 +35,7 @@ def hot_keys(df: DataFrame, key: str) -> dict[str, int]:
 
 def _salts(key: str, hot: dict[str, int]) -> Column:
     table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))
+    return F.coalesce(F.try_element_at(table, F.col(key).cast("string")), F.lit(1))
 
 
 def _scattered(key: str, hot: dict[str, int], spread_by: Sequence[str]) -> Column:
