@@ -121,6 +121,12 @@ def _tasks(spark: SparkSession, todo: DataFrame) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
 
 
+def _place(spark: SparkSession, base: str, path: str) -> str:
+    """URI of a path that is absolute or below the data folder."""
+    absolute = path.startswith("/") or ":/" in path
+    return qualified(spark, path) if absolute else f"{base}/{path}"
+
+
 def _folders(spark: SparkSession, base: str, labels) -> dict[str, str]:
     return {f: f"{base}/{f}" for f in labels if path_exists(spark, f"{base}/{f}")}
 
@@ -131,7 +137,7 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
     has_csv = path_exists(spark, f"{base}/{MAPPING_CSV}")
     if options.skip_zip or options.process_all_zip or not has_csv:
         if not options.skip_zip:
-            archive = options.zip_file if "/" in options.zip_file else f"{base}/{options.zip_file}"
+            archive = _place(spark, base, options.zip_file)
             present = None
             if path_exists(spark, images):
                 present = list_files(spark, {"images": images}).select("name", "size_bytes")
@@ -172,13 +178,15 @@ def _plan(
     nested: bool,
 ) -> DataFrame:
     labels = dict.fromkeys([*([input_dir] if input_dir else []), *INPUT_FOLDERS])
-    found = list_files(spark, _folders(spark, base, labels), recurse=nested)
-    inventory = stored(found, "inventory")
+    tried = {label: _place(spark, base, label) for label in labels}
+    present = {uri: uri for uri in tried.values() if path_exists(spark, uri)}
+    inventory = stored(list_files(spark, present, recurse=nested), "inventory")
     if input_dir is None:
-        existing = list(_folders(spark, base, INPUT_FOLDERS))
-        input_dir = choose_input_dir(inventory, INPUT_FOLDERS, existing).first()["dir"]
-    plan = work_plan(work, inventory, done, search_order(input_dir, FALLBACK_FOLDERS))
-    return plan.withColumn("input_path", F.concat(F.lit(f"{base}/"), F.col("input_path")))
+        usual = [tried[label] for label in INPUT_FOLDERS]
+        chosen = choose_input_dir(inventory, usual, list(present)).first()["dir"]
+    else:
+        chosen = tried[input_dir]
+    return work_plan(work, inventory, done, search_order(chosen, [tried[f] for f in FALLBACK_FOLDERS]))
 
 
 def _done(spark: SparkSession, output: str, options: RunOptions) -> DataFrame:

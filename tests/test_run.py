@@ -95,6 +95,18 @@ def test_names_with_a_path(spark, with_csv):
     assert (with_csv / "images_standardized" / "sub.dir" / "i4.bmp").exists()
 
 
+def test_input_folder_elsewhere(spark, with_csv, tmp_path_factory):
+    other = tmp_path_factory.mktemp("other")
+    put(other, ["i0.bmp"])
+    (other / "gone.jpg").write_bytes(codec.encode_bmp(IMAGES["i5.bmp"]))
+    (with_csv / "images" / "i0.bmp").write_bytes(b"not used")
+    encode = {"encode": lambda img, name: codec.encode_bmp(img)}
+    assert counts(spark, with_csv, input_dir=str(other), **encode) == {"processed": 4}
+    put(with_csv / "inner", ["i3.bmp"])
+    (with_csv / "data" / "artikelnummer_to_image.csv").write_text("artikelnummer,image_name\n1,i3.bmp\n")
+    assert counts(spark, with_csv, input_dir="inner") == {"processed": 1}
+
+
 def test_missing_folder_and_archive_are_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="image folder"):
         counts(spark, tmp_path, skip_zip=True)
