@@ -16,8 +16,8 @@ HOT_KEYS = 256
 TRACKED_KEYS = 4096
 
 
-def hot_keys(df: DataFrame, key: str) -> dict[str, int]:
-    """Salts per hot key: the number of average shuffle partitions that its rows would fill.
+def hot_keys(df: DataFrame, key: str) -> dict[str, tuple[int, int]]:
+    """(rows, salts) per hot key; salts are the average shuffle partitions its rows would fill.
 
     One pass over the key column with a sketch of fixed size per task; its error, about one row
     in a thousand, lies well below the share that makes a key hot. The answer steers how rows are
@@ -27,24 +27,24 @@ def hot_keys(df: DataFrame, key: str) -> dict[str, int]:
     found, total = df.agg(top, F.count(key)).first()
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return {
-        k: min(n, -(-n * width // total))
+        k: (n, min(n, -(-n * width // total)))
         for k, n in found
         if k is not None and n * min(width, HOT_KEYS) > total
     }
 
 
-def _salts(key: str, hot: dict[str, int]) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+def _salts(key: str, hot: dict[str, tuple[int, int]]) -> Column:
+    table = F.create_map(*[F.lit(x) for k, (_, salts) in hot.items() for x in (k, salts)])
     return F.coalesce(F.try_element_at(table, F.col(key).cast("string")), F.lit(1))
 
 
-def _scattered(key: str, hot: dict[str, int], spread_by: Sequence[str]) -> Column:
+def _scattered(key: str, hot: dict[str, tuple[int, int]], spread_by: Sequence[str]) -> Column:
     if not hot:
         return F.lit(0).cast("long")
     return F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), _salts(key, hot).cast("long"))
 
 
-def _copied(key: str, hot: dict[str, int]) -> Column:
+def _copied(key: str, hot: dict[str, tuple[int, int]]) -> Column:
     if not hot:
         return F.lit(0).cast("long")
     return F.explode(F.sequence(F.lit(0).cast("long"), _salts(key, hot).cast("long") - 1))
@@ -56,7 +56,7 @@ def attach(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot: dict[str, int] | None = None,
+    hot: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Join ``rows`` with a ``lookup`` that is unique on ``key``.
 
@@ -78,17 +78,17 @@ def inner_pairs(
     key: str,
     left_id: Sequence[str],
     right_id: Sequence[str],
-    hot_left: dict[str, int] | None = None,
+    hot_left: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Inner join with multiplicity; keys hot on either side are split over many tasks.
 
-    The side with more of a hot key is scattered and the other copied. A key gets no more salts
+    Of a key hot on both sides the larger side is scattered and the other copied. A key gets no more salts
     than it has rows on the scattered side, so the copies never outnumber the joined rows.
     """
     hot_left = hot_keys(left, key) if hot_left is None else hot_left
     hot_right = hot_keys(right, key)
-    by_left = {k: n for k, n in hot_left.items() if n >= hot_right.get(k, 0)}
-    by_right = {k: n for k, n in hot_right.items() if k not in by_left}
+    by_left = {k: v for k, v in hot_left.items() if v[0] >= hot_right.get(k, (0, 0))[0]}
+    by_right = {k: v for k, v in hot_right.items() if k not in by_left}
     if not by_left and not by_right:
         return left.join(right, key)
     a = left.withColumn("_s", _scattered(key, by_left, left_id))

@@ -34,6 +34,7 @@ MAPPING_CSV = "data/artikelnummer_to_image.csv"
 TYPICALITY_CSV = "data/article_typicality.csv"
 OUTPUT_FOLDER = "images_standardized"
 OUTPUT_TABLE = "images_standardized_table"
+DEAD_LETTERS = "generation_errors"
 FALLBACK_FOLDERS = ("samples", "Samples", ".")
 _TASK_BYTES = 64 << 20
 
@@ -73,7 +74,7 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
     base = qualified(spark, options.data_dir)
     output = f"{base}/{OUTPUT_TABLE if options.as_table else OUTPUT_FOLDER}"
     run_id = uuid.uuid4().hex
-    work, input_dir = _work_list(spark, base, options)
+    work, input_dir = _work_list(spark, base, options, run_id)
     done = _done(spark, output, options)
     plan = stored(_plan(spark, base, done, work, input_dir, options.nested), "plan")
 
@@ -101,7 +102,7 @@ def run(spark: SparkSession, options: RunOptions) -> DataFrame:
         F.col("name").alias("image_name"), "artikelnummer", F.lit("process").alias("stage"), "error"
     )
     letters = missing_inputs(plan).unionByName(failed)
-    append_dead_letters(letters, f"{base}/generation_errors", run_id)
+    append_dead_letters(letters, f"{base}/{DEAD_LETTERS}", run_id)
     if not (options.skip_zip or options.as_table) and path_exists(spark, output):
         finished = list_files(spark, {"out": output}, recurse=options.nested)
         archived = read_content(finished.select("name", "path").repartition(tasks), "path")
@@ -131,7 +132,7 @@ def _folders(spark: SparkSession, base: str, labels) -> dict[str, str]:
     return {f: f"{base}/{f}" for f in labels if path_exists(spark, f"{base}/{f}")}
 
 
-def _work_list(spark: SparkSession, base: str, options: RunOptions):
+def _work_list(spark: SparkSession, base: str, options: RunOptions, run_id: str):
     """(rows with image_name, artikelnummer and order, input folder or None)."""
     images = f"{base}/images"
     has_csv = path_exists(spark, f"{base}/{MAPPING_CSV}")
@@ -141,8 +142,11 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions):
             present = None
             if path_exists(spark, images):
                 present = list_files(spark, {"images": images}).select("name", "size_bytes")
-            members = read_zip(spark, archive, existing=present).filter("status = 'ok'")
-            write_files(members, images)
+            taken = write_files(read_zip(spark, archive, existing=present), images)
+            lost = taken.filter("error is not null").select(
+                F.col("name").alias("image_name"), F.lit("ingest").alias("stage"), "error"
+            )
+            append_dead_letters(lost, f"{base}/{DEAD_LETTERS}", run_id)
         if not path_exists(spark, images):
             raise FileNotFoundError(f"image folder not found: {images}")
         names = list_files(spark, {"images": images}, INGEST_SUFFIXES)

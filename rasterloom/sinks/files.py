@@ -25,25 +25,35 @@ def _token() -> str:
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:
-    """Write ``content`` of each row to ``folder/name``; manifest (name, size_bytes, path)."""
+    """Write ``content`` of each row to ``folder/name``; manifest (name, size_bytes, path, error).
+
+    Rows that come with an ``error`` are only listed.
+    """
     spark = files.sparkSession
     ship(spark)
     root = qualified(spark, folder)
+    has_error = "error" in files.columns
 
     def write(batches):
         for batch in batches:
             names = batch.column("name").to_pylist()
+            errors = batch.column("error").to_pylist() if has_error else [None] * len(names)
             sizes = []
-            for name, content in zip(names, batch.column("content")):
+            for name, content, error in zip(names, batch.column("content"), errors):
                 data = content.as_py() or b""
-                stream, finish = storage.open_replacing(f"{root}/{name}", _token())
-                stream.write(data)
-                finish()
-                sizes.append(len(data))
-            yield _manifest(names, sizes, [f"{root}/{n}" for n in names])
+                if error is None:
+                    stream, finish = storage.open_replacing(f"{root}/{name}", _token())
+                    stream.write(data)
+                    finish()
+                sizes.append(len(data) if error is None else None)
+            part = _manifest(names, sizes, [f"{root}/{n}" for n in names])
+            yield pa.RecordBatch.from_arrays(
+                part.columns + [pa.array(errors, pa.string())], names=part.schema.names + ["error"]
+            )
 
-    rows = files.select("name", "content")
-    return stored(rows.mapInArrow(write, "name string, size_bytes long, path string"), "manifest")
+    rows = files.select("name", "content", *(["error"] if has_error else []))
+    schema = "name string, size_bytes long, path string, error string"
+    return stored(rows.mapInArrow(write, schema), "manifest")
 
 
 def _manifest(names, sizes, paths) -> pa.RecordBatch:

@@ -118,30 +118,35 @@ def new_members(members: DataFrame, existing: DataFrame | None) -> DataFrame:
 def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``content``, ``status`` and ``error`` by reading each member at its offset.
 
+    Rows that come with an ``error`` keep it.
+
     Members are spread over tasks by (archive, offset), so one huge archive is read by many tasks.
     The list of members is stored first: it is needed for sizing, for sampling and for reading.
     """
     spark = members.sparkSession
     ship(spark)
-    members = stored(members.drop("error"), "zip-index")
+    members = stored(members, "zip-members")
     if partitions is None:
         total = members.agg(F.sum("packed_bytes")).first()[0] or 0
         partitions = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
     spread = members.repartitionByRange(partitions, "path", "offset")
     spread = spread.sortWithinPartitions("path", "offset")
-    keep = spread.columns
+    keep = [c for c in spread.columns if c != "error"]
     return spread.mapInArrow(_content_batches, schema_of(spread, keep, CONTENT_SCHEMA))
 
 
 def _content_batches(batches):
     handles = {}
     for batch in batches:
-        rows = batch.select(["path", *_LOCATION]).to_pylist()
-        yield from emit(batch, batch.schema.names, CONTENT, (_content(handles, r) for r in rows))
+        rows = batch.select(["path", "error", *_LOCATION]).to_pylist()
+        keep = [n for n in batch.schema.names if n != "error"]
+        yield from emit(batch, keep, CONTENT, (_content(handles, r) for r in rows))
 
 
 def _content(handles: dict, row: dict):
     """Result of one member; the handle of the archive at hand is kept open."""
+    if row["error"] is not None:
+        return (None, "failed", row["error"]), 0
     try:
         uri = row["path"]
         if uri not in handles:
@@ -180,7 +185,12 @@ def read_zip(
     existing: DataFrame | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Images of the archives, one per base name, without those already on disk."""
-    index = index_archives(spark, paths).filter("error is null")
-    chosen = new_members(first_non_empty(ingestable(index, suffixes)), existing)
-    return read_members(chosen, partitions)
+    """Images of the archives, one per base name, without those already on disk.
+
+    An archive that cannot be opened is a row of its own with status ``failed``.
+    """
+    index = stored(index_archives(spark, paths), "zip-index")
+    usable = ingestable(index.filter("error is null"), suffixes)
+    chosen = new_members(first_non_empty(usable), existing)
+    broken = index.filter("error is not null").withColumn("name", F.col("archive"))
+    return read_members(chosen.unionByName(broken, allowMissingColumns=True), partitions)

@@ -78,6 +78,8 @@ def archive(tmp_path):
 def test_zip_ingest(spark, archive):
     present = spark.createDataFrame([("here.webp", 5), ("x.jpg", 0)], "name string, size_bytes long")
     found = {r["name"]: r for r in archives.read_zip(spark, archive, existing=present).collect()}
+    broken = found.pop("broken.zip")
+    assert broken["status"] == "failed" and "archive_unreadable" in broken["error"]
     assert {n: bytes(r["content"]) for n, r in found.items()} == {
         "x.jpg": b"first",
         "out.PNG": b"traversal" * 1000,

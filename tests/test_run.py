@@ -57,13 +57,19 @@ def test_archive_run(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "images.zip", "w") as out:
         for name, img in IMAGES.items():
             out.writestr(f"images/{name}", codec.encode_bmp(img))
+    path = tmp_path / "images.zip"
+    data = bytearray(path.read_bytes())
+    data[data.index(b"images/i5.bmp") + 200] ^= 0xFF
+    path.write_bytes(data)
     put(tmp_path / "images", ["i0.bmp"])
-    assert counts(spark, tmp_path) == {"processed": 6}
+    assert counts(spark, tmp_path) == {"processed": 5}
+    letters = spark.read.parquet(str(tmp_path / "generation_errors")).collect()
+    assert [(r["image_name"], r["stage"]) for r in letters] == [("i5.bmp", "ingest")]
     packed = {}
     for path in (tmp_path / "images_standardized_zip").glob("*.zip"):
         with zipfile.ZipFile(path) as opened:
             packed |= {n: opened.read(n) for n in opened.namelist()}
-    assert sorted(packed) == sorted(IMAGES)
+    assert sorted(packed) == sorted(set(IMAGES) - {"i5.bmp"})
     assert (codec.decode_bmp(packed["i3.bmp"]) == raster.grayscale(IMAGES["i3.bmp"])).all()
 
 
