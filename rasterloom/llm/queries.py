@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table
+from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.token_counts import count_tokens
 
 
@@ -26,6 +27,12 @@ def op7_bpe(spark, sf_dir):
     )
 
 
+def op8_decontaminate(spark, sf_dir):
+    """Words of every document that lie in windows of benchmark items."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination(docs, items).drop("key")
+
+
 def op9_token_counts(spark, sf_dir):
     """Bytes and tokens of every text, and which are over the limit."""
     return count_tokens(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
@@ -33,7 +40,29 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op7_bpe": op7_bpe,
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+        g AS (SELECT DISTINCT item_id, n, array_to_string(w[a:a + n - 1], ' ') AS gram
+              FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS a FROM i)),
+        s AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS a
+              FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+        h AS (SELECT doc_id, a, g.n, item_id FROM s JOIN g ON s.n = g.n AND array_to_string(w[a:a + s.n - 1], ' ') = gram),
+        c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS p FROM h) GROUP BY 1),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
+        FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+}
