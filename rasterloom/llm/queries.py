@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table
 from rasterloom.llm.decontaminate import contamination
+from rasterloom.llm.pii import find
 from rasterloom.llm.token_counts import count_tokens
 
 
@@ -38,10 +39,16 @@ def op9_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op10_pii(spark, sf_dir):
+    """Counts and spans of personal data in every text."""
+    return find(table(spark, sf_dir, "documents")).drop("n_context")
+
+
 QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
+    "op10_pii": op10_pii,
 }
 
 _WORDS = (
