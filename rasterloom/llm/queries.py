@@ -9,6 +9,7 @@ from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.pii import find
+from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
 
 
@@ -17,6 +18,11 @@ def _vocabulary(name: str) -> bytes:
         return f.read()
 
 
+def op3_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate group of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark, sf_dir):
     """Encode and decode every text; ids and decoded bytes as digests."""
     coded = encode_decode(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"))
@@ -45,6 +51,7 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
