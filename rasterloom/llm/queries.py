@@ -9,6 +9,7 @@ from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.pii import find
+from rasterloom.llm.quality import score, train
 from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
 
@@ -23,6 +24,12 @@ def op3_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    """Quality score of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_bpe(spark, sf_dir):
     """Encode and decode every text; ids and decoded bytes as digests."""
     coded = encode_decode(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"))
@@ -52,6 +59,7 @@ def op10_pii(spark, sf_dir):
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
