@@ -25,6 +25,8 @@ BUCKETS, DIMS, ENTRIES = 8192, 64, 4
 #: Labelled rows that the network is fitted on, at most: those with the smallest hashes of their ids.
 SAMPLE = 10_000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 128, 0.01
+#: The mean of so few words is drawn halfway to that of the sample; without words a text is as the sample's mean.
+SHRINK = 8
 _TOKENS = 1 << 16
 _KNOWN = 1 << 18
 
@@ -81,13 +83,13 @@ def add_contexts(sums: np.ndarray, words: np.ndarray, shapes: np.ndarray) -> Non
 
 
 def pool(text: str, vectors: np.ndarray, known: Terms) -> np.ndarray:
-    """The mean of the vectors of a text's words and of the index vectors of their shapes, and whether it has words."""
+    """The mean of the vectors of a text's words and of the index vectors of their shapes, and how far to trust it."""
     total, n = np.zeros(2 * DIMS), 0
     for words, shapes in token_terms(text, known):
         total[:DIMS] += vectors[words].sum(axis=0)
         total[DIMS:] += DENSE[shapes].sum(axis=0)
         n += len(words)
-    return np.append(total / max(n, 1), float(n > 0))
+    return np.append(total / max(n, 1), n / (n + SHRINK))
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -149,8 +151,11 @@ class Network:
     def __init__(self, mean, scale, w1, b1, w2, b2, temperature=1.0):
         self.mean, self.scale, self.w1, self.b1, self.w2, self.b2, self.temperature = mean, scale, w1, b1, w2, b2, temperature
 
+    def inputs(self, x: np.ndarray) -> np.ndarray:
+        return (x[:, :-1] - self.mean) / self.scale * x[:, -1:]
+
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
+        return np.tanh(self.inputs(x) @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
@@ -158,11 +163,12 @@ class Network:
 
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
     """Fit on four fifths of the rows, set the temperature on the others. One class only: its share, whatever the text."""
-    scale = x.std(axis=0) if len(x) else np.ones(x.shape[1])
-    mean = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
+    wide = x.shape[1] - 1
+    scale = x[:, :-1].std(axis=0) if len(x) else np.ones(wide)
+    mean = x[:, :-1].mean(axis=0) if len(x) else np.zeros(wide)
     drawn = np.random.default_rng(seed)
     net = Network(
-        mean, np.where(scale > 1e-9, scale, 1.0), drawn.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)),
+        mean, np.where(scale > 1e-9, scale, 1.0), drawn.normal(0, wide**-0.5, (wide, HIDDEN)),
         np.zeros(HIDDEN), drawn.normal(0, HIDDEN**-0.5, HIDDEN), 0.0,
     )
     if len(set(y.tolist())) < 2:
@@ -176,7 +182,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
         drawn.shuffle(used)
         for low in range(0, len(used), BATCH):
             rows = used[low : low + BATCH]
-            z = (x[rows] - net.mean) / net.scale
+            z = net.inputs(x[rows])
             h = np.tanh(z @ net.w1 + net.b1)
             p = 1 / (1 + np.exp(-np.clip(h @ net.w2 + net.b2, -40, 40)))
             d = (p - y[rows]) / len(rows)
@@ -232,7 +238,7 @@ def held_out(key):
 def score(docs: DataFrame, model: tuple[np.ndarray, Network], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) of each row.
 
-    A null text counts as empty; an empty text has the score of a document without words. Repeated rows give repeated
+    A null text counts as empty; an empty text scores as the mean of the sample. Repeated rows give repeated
     results. Other columns are not read. A null id is not held out. Without labels every score is 0.5.
     """
     spark = docs.sparkSession
