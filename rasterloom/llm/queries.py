@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table
 from rasterloom.llm.decontaminate import contamination
+from rasterloom.llm.hnsw import nearest
 from rasterloom.llm.pii import find
 from rasterloom.llm.quality import score, train
 from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
+from rasterloom.llm.toxicity import grade
+from rasterloom.llm.toxicity import train as train_toxicity
+from rasterloom.llm.url_filter import judge
 
 
 def _vocabulary(name: str) -> bytes:
@@ -19,11 +23,27 @@ def _vocabulary(name: str) -> bytes:
         return f.read()
 
 
+def op1_url_filter(spark, sf_dir):
+    """Host, path, rule and verdict of every page."""
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op2_toxicity(spark, sf_dir):
+    """Expected severity and grade of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return grade(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark, sf_dir):
+    """The 20 nearest vectors of every twentieth one."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark, sf_dir):
     """Quality score of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -58,7 +78,10 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_nearest": op4_nearest,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
