@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.session import ship, stored
 
-__all__ = ["blocks", "column", "emit", "lower_ascii", "ship", "stored", "table"]
+__all__ = ["blocks", "column", "emit", "lower_ascii", "ship", "stored", "table", "vocabulary"]
 
 BLOCK_BYTES = 16 << 20
 EMIT_BYTES = 4 << 20
@@ -20,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> bytes:
+    """The content of a public tokenizer's file, read where the plan is made and handed to the tasks."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def column(name: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

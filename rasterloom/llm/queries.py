@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from rasterloom.llm.bpe import encode_decode
-from rasterloom.llm.common import table
+from rasterloom.llm.common import table, vocabulary
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.hnsw import nearest
 from rasterloom.llm.pii import find
 from rasterloom.llm.quality import score, train
+from rasterloom.llm.quotes import conversations, quoting
 from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
 from rasterloom.llm.toxicity import grade
@@ -18,11 +18,6 @@ from rasterloom.llm.toxicity import train as train_toxicity
 from rasterloom.llm.url_filter import judge
 
 
-def _vocabulary(name: str) -> bytes:
-    with open(public_tokenizers.path(name), "rb") as f:
-        return f.read()
-
-
 def op1_url_filter(spark, sf_dir):
     """Host, path, rule and verdict of every page."""
     return judge(table(spark, sf_dir, "pages"))
@@ -44,6 +39,11 @@ def op4_nearest(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_quotes(spark, sf_dir):
+    """The conversations as mail that quotes what it answers, linked and ordered by replies, without the quotes."""
+    return conversations(quoting(table(spark, sf_dir, "conversations"))).drop("n_linked")
+
+
 def op6_quality(spark, sf_dir):
     """Quality score of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -52,7 +52,7 @@ def op6_quality(spark, sf_dir):
 
 def op7_bpe(spark, sf_dir):
     """Encode and decode every text; ids and decoded bytes as digests."""
-    coded = encode_decode(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"))
+    coded = encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
     return coded.select(
         "doc_id",
         "n_tokens",
@@ -69,7 +69,7 @@ def op8_decontaminate(spark, sf_dir):
 
 def op9_token_counts(spark, sf_dir):
     """Bytes and tokens of every text, and which are over the limit."""
-    return count_tokens(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
 def op10_pii(spark, sf_dir):
@@ -82,6 +82,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_nearest": op4_nearest,
+    "op5_quotes": op5_quotes,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
@@ -94,7 +95,17 @@ _WORDS = (
     " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+_LINES = "len(list_filter(string_split_regex(coalesce({}, ''), '\\r\\n|\\r|\\n'), lambda x: trim(x) <> ''))"
+
 ORACLES: dict[str, str] = {
+    "op5_quotes": f"""
+        WITH t AS (SELECT *, lag(turn) OVER c AS up, first(turn) OVER c AS root, row_number() OVER c - 1 AS depth,
+                          lag(text, 1, '') OVER c AS one, lag(text, 2, '') OVER c AS two
+                   FROM conversations WINDOW c AS (PARTITION BY conv_id ORDER BY turn))
+        SELECT conv_id, turn, role, up AS reply_to, depth, root, {_LINES.format("one")} + {_LINES.format("two")} AS n_quoted,
+               CASE WHEN {_LINES.format("two")} > 0 THEN 2 WHEN {_LINES.format("one")} > 0 THEN 1 ELSE 0 END::BIGINT AS deepest,
+               rtrim(coalesce(text, '')) AS text
+        FROM t""",
     "op8_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         i AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
