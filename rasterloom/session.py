@@ -44,6 +44,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder, visible to all executors, below ``spark.checkpoint.dir``.
 

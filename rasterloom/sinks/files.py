@@ -13,9 +13,11 @@ import zipfile
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rasterloom.session import qualified, ship, stored
+from rasterloom.session import path_exists, qualified, ship, stored
 from rasterloom.sources import storage
+from rasterloom.sources.files import list_files
 
 ARCHIVE_BYTES = 1 << 30
 
@@ -68,7 +70,8 @@ def write_archives(
 ) -> DataFrame:
     """Stream rows (name, content) into ZIP files; manifest (name, size_bytes, path).
 
-    Each partition fills archives of its own and starts a new one after ``max_bytes``. With an
+    Each partition fills archives of its own and starts a new one after ``max_bytes``; archives that an
+    earlier, larger number of partitions left there are removed once the new ones are complete. With an
     ``archive`` column, rows are taken in its order and a change of value starts a new archive of
     that name; the caller has to partition and sort by it.
     """
@@ -104,7 +107,26 @@ def write_archives(
 
     columns = ["name", "content"] + ([archive] if archive else [])
     rows = files.select(*columns)
-    return stored(rows.mapInArrow(write, "name string, size_bytes long, path string"), "manifest")
+    manifest = stored(rows.mapInArrow(write, "name string, size_bytes long, path string"), "manifest")
+    if archive is None and path_exists(spark, root):
+        _remove_stale(manifest, root)
+    return manifest
+
+
+def _remove_stale(manifest: DataFrame, root: str) -> None:
+    """Remove this sink's own archives in ``root`` that are not in the manifest."""
+    there = list_files(manifest.sparkSession, {"out": root}).filter(F.col("name").rlike(r"^part-\d{5,}-\d{4,}\.zip$"))
+    stale = there.select("name").join(
+        manifest.select(F.element_at(F.split("path", "/"), -1).alias("name")).distinct(), "name", "left_anti"
+    )
+
+    def remove(batches):
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                storage.remove(f"{root}/{name}")
+            yield batch
+
+    stale.mapInArrow(remove, "name string").write.format("noop").mode("overwrite").save()
 
 
 def _close(opened) -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import bz2
 import struct
 import zipfile
 import zlib
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix, raw_unsafe
-from rasterloom.session import ship, stored
+from rasterloom.session import is_folder, ship, stored
 from rasterloom.sources import storage
 from rasterloom.sources.batches import CONTENT, CONTENT_SCHEMA, emit, schema_of
 
@@ -21,7 +23,7 @@ INDEX_SCHEMA = (
     "path string, archive string, ord long, member string, is_dir boolean, size_bytes long, "
     "packed_bytes long, method int, offset long, crc long, encrypted boolean, error string"
 )
-_LOCATION = ["member", "packed_bytes", "method", "offset", "crc", "encrypted"]
+_LOCATION = ["size_bytes", "packed_bytes", "method", "offset", "crc", "encrypted"]
 _INDEX_ROWS = 10_000
 _TASK_BYTES = 64 << 20
 
@@ -29,12 +31,20 @@ _TASK_BYTES = 64 << 20
 def index_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per member, read from each archive's central directory only.
 
-    The archives themselves are listed without their content, so their size does not matter.
+    The archives themselves are listed without their content, so their size does not matter. Of a
+    folder the ``.zip`` files in any case are taken; a file that is named is opened whatever it is called.
     An archive that cannot be opened gives one row with ``error`` set.
     """
     ship(spark)
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths)
-    return archives.select("path").mapInArrow(_index_batches, INDEX_SCHEMA)
+    paths = [paths] if isinstance(paths, str) else paths
+    folders = [p for p in paths if is_folder(spark, p)]
+    named = [p for p in paths if p not in folders]
+    reader = spark.read.format("binaryFile")
+    parts = [reader.load(named).select("path")] if named else []
+    if folders:
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
+        parts.append(reader.load(folders).select("path"))
+    return reduce(DataFrame.unionAll, parts).mapInArrow(_index_batches, INDEX_SCHEMA)
 
 
 def _index_batches(batches):
@@ -120,16 +130,19 @@ def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame
 
     Rows that come with an ``error`` keep it.
 
-    Members are spread over tasks by (archive, offset), so one huge archive is read by many tasks.
+    Members are spread over tasks by their place in the archive, a fixed number of bytes together, so
+    one huge archive is read by many tasks and large members do not meet in one.
     The list of members is stored first: it is needed for sizing, for sampling and for reading.
     """
     spark = members.sparkSession
     ship(spark)
     members = stored(members, "zip-members")
+    total = members.agg(F.sum("packed_bytes")).first()[0] or 0
     if partitions is None:
-        total = members.agg(F.sum("packed_bytes")).first()[0] or 0
         partitions = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
-    spread = members.repartitionByRange(partitions, "path", "offset")
+    piece = max(1, min(_TASK_BYTES, total // (8 * partitions)))
+    spread = members.withColumn("_piece", F.floor(F.col("offset") / piece))
+    spread = spread.repartition(partitions, "path", "_piece").drop("_piece")
     spread = spread.sortWithinPartitions("path", "offset")
     keep = [c for c in spread.columns if c != "error"]
     return spread.mapInArrow(_content_batches, schema_of(spread, keep, CONTENT_SCHEMA))
@@ -163,21 +176,42 @@ def _content(handles: dict, row: dict):
 def _member_bytes(handle, row) -> bytes:
     if row["encrypted"]:
         raise ValueError("encrypted member")
-    if row["method"] not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
-        with zipfile.ZipFile(handle) as opened:
-            return opened.read(row["member"])
+    if row["method"] not in _METHODS:
+        data = _by_library(handle, row["offset"])
+        if len(data) != row["size_bytes"]:
+            raise ValueError("unexpected size")
+        return data
     handle.seek(row["offset"])
     header = handle.read(30)
     name_size, extra_size = struct.unpack("<HH", header[26:30])
     handle.seek(row["offset"] + 30 + name_size + extra_size)
-    data = handle.read(row["packed_bytes"])
-    if row["method"] == zipfile.ZIP_DEFLATED:
-        data = zlib.decompress(data, -15)
-    if zlib.crc32(data) != row["crc"]:
-        raise ValueError("checksum mismatch")
+    data = _METHODS[row["method"]](handle.read(row["packed_bytes"]))
+    if len(data) != row["size_bytes"] or zlib.crc32(data) != row["crc"]:
+        raise ValueError("size or checksum mismatch")
     return data
 
 
+_METHODS = {
+    zipfile.ZIP_STORED: bytes,
+    zipfile.ZIP_DEFLATED: lambda data: zlib.decompress(data, -15),
+    zipfile.ZIP_BZIP2: bz2.decompress,
+}
+
+
+def _by_library(handle, offset: int) -> bytes:
+    """The member at ``offset``; names may repeat. The directory is read once per open archive."""
+    key = id(handle)
+    if _DIRECTORY.get("key") != key:
+        opened = zipfile.ZipFile(handle)
+        _DIRECTORY.update(key=key, handle=handle, opened=opened, members={m.header_offset: m for m in opened.infolist()})
+    with _DIRECTORY["opened"].open(_DIRECTORY["members"][offset]) as member:
+        return member.read()
+
+
+# The directory of the archive at hand; the handle is kept, so its id stays its own.
+_DIRECTORY: dict = {}
+
+
 def read_zip(
     spark: SparkSession,
     paths: str | list[str],

@@ -8,6 +8,8 @@ from functools import lru_cache
 
 from pyarrow import fs as arrow_fs
 
+#: Names of files that are not complete begin so.
+PARTIAL = "._partial."
 _PARTS = re.compile(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]+):)?(.*)$")
 
 
@@ -36,10 +38,11 @@ def read_bytes(uri: str) -> bytes:
 
 
 def open_replacing(uri: str, token: str):
-    """(stream, finish): write to a temporary name; ``finish`` moves it over ``uri``."""
+    """(stream, finish): write under a name that listings skip; ``finish`` moves the file over ``uri``."""
     files, path = locate(uri)
-    files.create_dir(os.path.dirname(path), recursive=True)
-    partial = f"{path}.{token}.tmp"
+    folder, name = os.path.split(path)
+    files.create_dir(folder, recursive=True)
+    partial = f"{folder}/{PARTIAL}{name}.{token}"
     stream = files.open_output_stream(partial)
 
     def finish():
@@ -49,6 +52,11 @@ def open_replacing(uri: str, token: str):
     return stream, finish
 
 
+def remove(uri: str) -> None:
+    files, path = locate(uri)
+    files.delete_file(path)
+
+
 def list_folder(uri: str, recurse: bool = False):
     """Yield (name, size, modified seconds) of the plain files in a folder.
 
@@ -59,11 +67,11 @@ def list_folder(uri: str, recurse: bool = False):
         for folder, _, _ in os.walk(path) if recurse else [(path, None, None)]:
             with os.scandir(folder) as entries:
                 for entry in entries:
-                    if entry.is_file():
+                    if entry.is_file() and not entry.name.startswith(PARTIAL):
                         info = entry.stat()
                         yield os.path.relpath(entry.path, path), info.st_size, info.st_mtime
         return
     for info in files.get_file_info(arrow_fs.FileSelector(path, recursive=recurse)):
-        if info.type == arrow_fs.FileType.File:
+        if info.type == arrow_fs.FileType.File and f"/{PARTIAL}" not in info.path:
             name = info.path[len(path.rstrip("/")) + 1 :]
             yield name, info.size, info.mtime.timestamp() if info.mtime else 0.0

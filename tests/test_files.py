@@ -185,3 +185,46 @@ def test_jpeg_and_png_decode_with_sparks_image_source(spark, tmp_path):
         assert (row["status"], image["height"], image["width"], image["nChannels"]) == ("ok", 8, 16, 3)
         pixels = np.frombuffer(image["data"], np.uint8).reshape(8, 16, 3).astype(int)
         assert np.abs(pixels - [0x32, 0x64, 0xC8]).max() <= 3
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA])
+def test_the_first_of_two_equal_members_wins(spark, tmp_path, method):
+    with zipfile.ZipFile(tmp_path / "UPPER.ZIP", "w", method) as out, pytest.warns(UserWarning):
+        out.writestr("images/a.jpg", b"first" * 99)
+        out.writestr("images/b.jpg", b"")
+        out.writestr("images/a.jpg", b"SECOND" * 99)
+    for where in (tmp_path, tmp_path / "UPPER.ZIP"):
+        rows = {r["name"]: r for r in archives.read_zip(spark, str(where)).collect()}
+        assert bytes(rows["a.jpg"]["content"]) == b"first" * 99 and rows["a.jpg"]["ord"] == 0
+        assert bytes(rows["b.jpg"]["content"]) == b"" and len(rows) == 2
+
+
+def test_a_named_archive_is_opened_whatever_it_is_called(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "images.bundle", "w") as out:
+        out.writestr("a.jpg", b"x")
+    (tmp_path / "text.txt").write_bytes(b"no archive")
+    found = archives.read_zip(spark, [str(tmp_path / "images.bundle"), str(tmp_path / "text.txt")]).collect()
+    assert {(r["name"], r["status"]) for r in found} == {("a.jpg", "ok"), ("text.txt", "failed")}
+
+
+def test_fewer_archives_leave_no_stale_ones(spark, tmp_path):
+    rows = [(f"{i}.jpg", bytearray([i])) for i in range(40)]
+    (tmp_path / "part-of-something.zip").write_bytes(b"not ours")
+    for parts in (8, 3):
+        table = spark.createDataFrame(rows, "name string, content binary").repartition(parts)
+        write_archives(table, str(tmp_path))
+    members = [n for p in tmp_path.glob("part-0*.zip") for n in zipfile.ZipFile(p).namelist()]
+    assert sorted(members) == sorted(n for n, _ in rows) and (tmp_path / "part-of-something.zip").exists()
+
+
+def test_files_that_are_not_complete_are_not_listed(spark, tmp_path):
+    from rasterloom.sources import storage
+
+    stream, finish = storage.open_replacing(f"file:{tmp_path}/sub/a.jpg", "7")
+    stream.write(b"x")
+    (tmp_path / "b.jpg").write_bytes(b"y")
+    for recurse in (False, True):
+        found = files.list_files(spark, {"f": str(tmp_path)}, recurse=recurse).collect()
+        assert [r["name"] for r in found] == ["b.jpg"]
+    finish()
+    assert {r["name"] for r in files.list_files(spark, {"f": str(tmp_path)}, recurse=True).collect()} == {"b.jpg", "sub/a.jpg"}
