@@ -44,7 +44,8 @@ class RunOptions:
     """``make_fn`` None is a dry run (gray renders). ``max_samples`` None or 0 means all.
 
     ``as_table`` writes a Parquet image table instead of encoded files and archives. ``nested``
-    looks for inputs and outputs below sub-folders too, for names that contain a path.
+    looks for inputs and outputs below sub-folders too, for names that contain a path. ``multi_line`` and
+    ``inferred_key`` go to the CSV scans; ``multi_line`` None decides by the files.
     """
 
     data_dir: str = "."
@@ -65,6 +66,8 @@ class RunOptions:
     as_table: bool = False
     nested: bool = False
     null_key: str = "drop"
+    multi_line: bool | None = None
+    inferred_key: str | None = None
     decode: Callable = codec.decode
     encode: Callable = codec.encode
 
@@ -154,9 +157,10 @@ def _work_list(spark: SparkSession, base: str, options: RunOptions, run_id: str)
             F.col("name").alias("image_name"), F.lit(None).cast("string").alias("artikelnummer")
         )
         return cap(rows, options.max_samples, [F.col("image_name")]), options.input_dir
+    reading = {"multi_line": options.multi_line, "inferred_key": options.inferred_key}
     table = merge_metadata(
-        scan_mapping(spark, f"{base}/{MAPPING_CSV}"),
-        scan_typicality(spark, f"{base}/{TYPICALITY_CSV}"),
+        scan_mapping(spark, f"{base}/{MAPPING_CSV}", **reading),
+        scan_typicality(spark, f"{base}/{TYPICALITY_CSV}", **reading),
         options.null_key,
     )
     input_dir = options.input_dir
@@ -198,6 +202,7 @@ def _done(spark: SparkSession, output: str, options: RunOptions) -> DataFrame:
     if not path_exists(spark, output):
         return spark.createDataFrame([], "name string, size_bytes long")
     if options.as_table:
-        return spark.read.parquet(output).select("name", "size_bytes")
+        # A first write that broke off has left no file to take the schema from.
+        return spark.read.schema("name string, size_bytes long, run string").parquet(output).select("name", "size_bytes")
     found = list_files(spark, {"out": output}, recurse=options.nested)
     return found.select("name", "size_bytes")

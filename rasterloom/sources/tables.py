@@ -31,14 +31,17 @@ def scan_csv(
     required: Sequence[str] = (),
     numeric: Sequence[str] = (),
     inferred_key: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read a CSV with a header row and add ``src_ord``, the position of each row in its source.
 
     Values stay text except those named in ``numeric``. ``inferred_key`` sends that column through
     type inference first, so that ``007`` becomes ``7`` when the whole column is integral.
-    ``multi_line`` accepts line breaks inside quotes, at the price of unsplittable files.
+    ``multi_line`` accepts line breaks inside quotes, at the price of unsplittable files; None looks
+    whether any line leaves a quote open and decides by that.
     """
+    if multi_line is None:
+        multi_line = _leaves_quotes_open(spark, path)
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     raw = reader.csv(path)
     names = [c.lstrip("\ufeff") for c in raw.columns]
@@ -69,6 +72,12 @@ def scan_csv(
     return table
 
 
+def _leaves_quotes_open(spark: SparkSession, path) -> bool:
+    """Whether some line holds an odd number of quotes; reading stops at the first one."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).limit(1).isEmpty()
+
+
 def _value(col, numeric: bool):
     kept = F.when(~col.isin(*NULL_TEXTS), col)
     return F.trim(kept).cast("double") if numeric else kept

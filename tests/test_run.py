@@ -163,3 +163,34 @@ def test_a_lost_stream_state_does_not_repeat_finished_work(spark, tmp_path):
     os.utime(source / "i0.bmp")
     stream_standardize(file_stream(spark, str(source)), out, str(tmp_path / "s")).awaitTermination()
     assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["i0.bmp", "i1.bmp"]
+
+
+def test_table_output_resumes_after_a_first_write_that_broke_off(spark, tmp_path):
+    put(tmp_path / "images", ["i0.bmp"])
+    rest = tmp_path / "images_standardized_table" / "run=x" / "_temporary" / "0"
+    rest.mkdir(parents=True)
+    assert counts(spark, tmp_path, skip_zip=True, as_table=True) == {"processed": 1}
+    assert counts(spark, tmp_path, skip_zip=True, as_table=True) == {"skipped": 1}
+
+
+def test_stream_starts_again_after_a_first_batch_that_broke_off(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    put(source, ["i0.bmp"])
+    (out / "batch=0" / "_temporary" / "0").mkdir(parents=True)
+    query = stream_standardize(file_stream(spark, str(source)), str(out), str(tmp_path / "s"))
+    query.awaitTermination()
+    assert query.exception() is None
+    assert [r["name"] for r in spark.read.parquet(str(out)).collect()] == ["i0.bmp"]
+
+
+def test_rests_of_writes_are_neither_outputs_nor_archived(spark, tmp_path):
+    put(tmp_path / "images", ["i0.bmp"])
+    out = tmp_path / "images_standardized"
+    out.mkdir()
+    (out / "._partial.i0.bmp.9").write_bytes(b"half")
+    put(tmp_path, [])
+    with zipfile.ZipFile(tmp_path / "images.zip", "w") as archive:
+        archive.writestr("i1.bmp", codec.encode_bmp(IMAGES["i1.bmp"]))
+    assert counts(spark, tmp_path) == {"processed": 2}
+    packed = [n for p in (tmp_path / "images_standardized_zip").glob("*.zip") for n in zipfile.ZipFile(p).namelist()]
+    assert sorted(packed) == ["i0.bmp", "i1.bmp"]

@@ -102,3 +102,11 @@ def test_dead_letters_are_appended(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "d"))
     assert back.columns == ["run_id", "ts", "image_name", "artikelnummer", "stage", "error"]
     assert sorted(r["run_id"] for r in back.collect()) == ["one", "two"]
+
+
+def test_line_breaks_in_quotes_are_found(spark, tmp_path):
+    from rasterloom.sources.tables import scan_csv
+
+    (tmp_path / "m.csv").write_text('artikelnummer,image_name\n1,"two\nlines"\n2,"say ""x"""\n')
+    rows = scan_csv(spark, str(tmp_path / "m.csv")).collect()
+    assert [(r["artikelnummer"], r["image_name"]) for r in rows] == [("1", "two\nlines"), ("2", 'say "x"')]
