@@ -10,10 +10,10 @@ from pyspark.sql.window import Window
 
 from rasterloom.session import stored
 
-# A key is hot if it holds more than 1/HOT_KEYS of the rows and more than an average shuffle
-# partition, so there are fewer than HOT_KEYS of them.
-HOT_KEYS = 256
+# A key is hot if it holds more rows than an average shuffle partition, so there are fewer hot keys than
+# shuffle partitions. The sketch tracks a multiple of that, at least so many keys.
 TRACKED_KEYS = 4096
+_MOST_TRACKED = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str) -> dict[str, tuple[int, int]]:
@@ -23,31 +23,37 @@ def hot_keys(df: DataFrame, key: str) -> dict[str, tuple[int, int]]:
     in a thousand, lies well below the share that makes a key hot. The answer steers how rows are
     spread, never the result.
     """
-    top = F.expr(f"approx_top_k(cast(`{key}` AS STRING), {HOT_KEYS}, {TRACKED_KEYS})")
-    found, total = df.agg(top, F.count(key)).first()
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(_MOST_TRACKED, max(TRACKED_KEYS, 16 * width))
+    top = F.expr(f"approx_top_k(cast(`{key}` AS STRING), {min(width, tracked)}, {tracked})")
+    found, total = df.agg(top, F.count(key)).first()
     return {
         k: (n, min(n, -(-n * width // total)))
         for k, n in found
-        if k is not None and n * min(width, HOT_KEYS) > total
+        if k is not None and n * width > total
     }
 
 
-def _salts(key: str, hot: dict[str, tuple[int, int]]) -> Column:
-    table = F.create_map(*[F.lit(x) for k, (_, salts) in hot.items() for x in (k, salts)])
-    return F.coalesce(F.try_element_at(table, F.col(key).cast("string")), F.lit(1))
+def _salted(df: DataFrame, key: str, hot: dict[str, tuple[int, int]], name: str, salt) -> DataFrame:
+    """Add ``name``: ``salt`` of the key's number of salts, 0 if none is hot.
 
-
-def _scattered(key: str, hot: dict[str, tuple[int, int]], spread_by: Sequence[str]) -> Column:
+    The hot keys are a table of fewer rows than there are shuffle partitions, joined by broadcast.
+    """
     if not hot:
-        return F.lit(0).cast("long")
-    return F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), _salts(key, hot).cast("long"))
+        return df.withColumn(name, F.lit(0).cast("long"))
+    table = df.sparkSession.createDataFrame(
+        [(k, salts) for k, (_, salts) in hot.items()], "_hot_key string, _hot_salts long"
+    )
+    known = df.join(F.broadcast(table), F.col(key).cast("string") == F.col("_hot_key"), "left")
+    return known.withColumn(name, salt(F.coalesce("_hot_salts", F.lit(1)))).drop("_hot_key", "_hot_salts")
 
 
-def _copied(key: str, hot: dict[str, tuple[int, int]]) -> Column:
-    if not hot:
-        return F.lit(0).cast("long")
-    return F.explode(F.sequence(F.lit(0).cast("long"), _salts(key, hot).cast("long") - 1))
+def _scattered(df: DataFrame, key: str, hot, name: str, spread_by: Sequence[str]) -> DataFrame:
+    return _salted(df, key, hot, name, lambda n: F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), n))
+
+
+def _copied(df: DataFrame, key: str, hot, name: str) -> DataFrame:
+    return _salted(df, key, hot, name, lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
 
 
 def attach(
@@ -67,8 +73,8 @@ def attach(
     hot = hot_keys(rows, key) if hot is None else hot
     if not hot:
         return rows.join(lookup, key, how)
-    left = rows.withColumn("_salt", _scattered(key, hot, spread_by))
-    right = lookup.withColumn("_salt", _copied(key, hot))
+    left = _scattered(rows, key, hot, "_salt", spread_by)
+    right = _copied(lookup, key, hot, "_salt")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
@@ -91,10 +97,8 @@ def inner_pairs(
     by_right = {k: v for k, v in hot_right.items() if k not in by_left}
     if not by_left and not by_right:
         return left.join(right, key)
-    a = left.withColumn("_s", _scattered(key, by_left, left_id))
-    a = a.withColumn("_c", _copied(key, by_right))
-    b = right.withColumn("_c", _scattered(key, by_right, right_id))
-    b = b.withColumn("_s", _copied(key, by_left))
+    a = _copied(_scattered(left, key, by_left, "_s", left_id), key, by_right, "_c")
+    b = _copied(_scattered(right, key, by_right, "_c", right_id), key, by_left, "_s")
     return a.join(b, [key, "_s", "_c"]).drop("_s", "_c")
 
 
@@ -110,7 +114,8 @@ def with_position(
     """Add ``position``: 0-based rank in list order, without a window over the whole table.
 
     ``blocks`` are (coarse, fine) expressions that rise with the order and bound the rows per
-    (coarse, fine) block. The default cuts a unique long ordinal into blocks of 65,536 values.
+    (coarse, fine) block. The default cuts a unique long ordinal into blocks of 65,536 values, and the
+    ordinal of a scanned CSV by file and block.
     """
     return _placed(df, order, blocks).drop("_total")
 
@@ -120,7 +125,11 @@ def _placed(df: DataFrame, order: Sequence[Column], blocks) -> DataFrame:
     first within each coarse block, then over the coarse blocks."""
     table = stored(df, "positions")
     if blocks is None:
-        blocks = (F.shiftright(order[0], 32), F.shiftright(order[0], 16))
+        first = order[0]
+        if table.select(first).schema[0].dataType.typeName() == "struct":
+            blocks = (first["file"], F.struct(first["block"], F.shiftright(first["row"], 16)))
+        else:
+            blocks = (F.shiftright(first, 32), F.shiftright(first, 16))
     cut = table.withColumn("_coarse", blocks[0]).withColumn("_fine", blocks[1])
     counts = cut.groupBy("_coarse", "_fine").agg(F.count("*").alias("_n"))
     within = Window.partitionBy("_coarse").orderBy("_fine")

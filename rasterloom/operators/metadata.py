@@ -14,6 +14,7 @@ from rasterloom.functions.names import (
     strip,
 )
 from rasterloom.operators.joins import attach, first_per, hot_keys, inner_pairs
+from rasterloom.session import stored
 
 KEY = "artikelnummer"
 
@@ -39,7 +40,7 @@ def _suffix_overlaps(left: DataFrame, right: DataFrame, keep: tuple[str, ...]):
 
 
 def merge_metadata(mapping: DataFrame, typicality: DataFrame, null_key: str = "drop") -> DataFrame:
-    """Left join of cleaned names with scores, then the first row per image name in source order.
+    """The first row per image name in source order of cleaned names, left joined with scores.
 
     Only the first score row of a key can survive the de-duplication, so scores are cut to one row
     per key before the join and nothing multiplies.
@@ -48,8 +49,10 @@ def merge_metadata(mapping: DataFrame, typicality: DataFrame, null_key: str = "d
     right = typicality.withColumn(KEY, normalize_key(F.col(KEY), null_key)).dropna(subset=[KEY])
     scores = first_per(right, KEY, [F.col("src_ord").asc_nulls_first(), *_ties(right)]).drop("src_ord")
     left, scores = _suffix_overlaps(left, scores, (KEY,))
-    joined = attach(left, scores, KEY, ["src_ord"])
-    return first_per(joined, "image_name", [F.col("src_ord"), F.col(KEY)])
+    # At most one score row a key: the first row of a name is known before the join, and only it goes there.
+    # Stored, because the search for hot keys and the join both read it, but the source is read once.
+    first = stored(first_per(left, "image_name", [F.col("src_ord"), F.col(KEY)]), "first-names")
+    return attach(first, scores, KEY, ["src_ord"])
 
 
 def _ties(df: DataFrame):

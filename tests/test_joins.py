@@ -140,3 +140,24 @@ def test_skewed_merge_equals_a_plain_one(spark):
     merged = merge_metadata(mapping, scores).select("src_ord", "artikelnummer", "image_name", "typicality")
     assert {tuple(r) for r in merged.collect()} == want
     assert master_table(mapping, scores).count() == len(left.merge(right, on="artikelnummer"))
+
+
+def test_chunks_of_a_scanned_csv(spark, tmp_path):
+    from rasterloom.sources.tables import scan_csv
+
+    for part in range(3):
+        lines = ["name", *(f"{part}-{i:03d}" for i in range(50 + part))]
+        (tmp_path / f"p{part}.csv").write_text("\n".join(lines) + "\n")
+    placed = joins.chunk_plan(scan_csv(spark, str(tmp_path)), 4, [F.col("src_ord")]).collect()
+    want = [f"{part}-{i:03d}" for part in range(3) for i in range(50 + part)]
+    assert [r["name"] for r in sorted(placed, key=lambda r: r["position"])] == want
+    assert Counter(r["chunk"] for r in placed) == {0: 39, 1: 39, 2: 39, 3: 36}
+
+
+def test_many_hot_keys_are_all_found(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        rows = spark.range(60_000).select(F.concat(F.lit("k"), F.col("id") % 300).alias("key"))
+        assert len(joins.hot_keys(rows, "key")) == 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
