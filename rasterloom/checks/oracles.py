@@ -243,7 +243,7 @@ swept AS (SELECT low, high, image_id, y, x FROM src_c JOIN grid ON ridge AND m >
    AND c.y BETWEEN e.y - 1 AND e.y + 1 AND c.x BETWEEN e.x - 1 AND e.x + 1
  WHERE c.ridge AND c.m > e.low),
 totals AS (SELECT count(*) AS images, CAST(sum(h * w) AS BIGINT) AS pixels FROM fx_sizes)
-SELECT low, high, images, count(image_id) AS edges, pixels, count(image_id) / CAST(pixels AS DOUBLE) AS density
+SELECT low, high, images, CAST(0 AS BIGINT) AS failed, count(image_id) AS edges, pixels, count(image_id) / CAST(pixels AS DOUBLE) AS density
 FROM grid LEFT JOIN swept USING (low, high) JOIN totals ON true GROUP BY low, high, images, pixels"""
 
 

@@ -295,7 +295,7 @@ def edge_gradient(spark, sf):
 
     return images.measure_images(
         rasters(spark, sf), step, "gradient long, weak long, strong long", ["image_id"]
-    )
+    ).drop("error")
 
 
 def edge_map(spark, sf):
@@ -359,11 +359,11 @@ def _pairs(spark, sf) -> DataFrame:
 
 
 def edge_retention(spark, sf):
-    return metrics.edge_retention(_pairs(spark, sf), "image_id")
+    return metrics.edge_retention(_pairs(spark, sf), "image_id").drop("error")
 
 
 def texture_ratio(spark, sf):
-    return metrics.texture_ratio(_pairs(spark, sf), "image_id")
+    return metrics.texture_ratio(_pairs(spark, sf), "image_id").drop("error")
 
 
 def param_sweep(spark, sf):

@@ -139,11 +139,17 @@ def _packed(img: np.ndarray | None, origin: str | None, status: str, error: str
 
 
 def measure_images(
-    df: DataFrame, step: Callable, schema: str, keep: Sequence[str], args: Sequence[str] = ("image",)
+    df: DataFrame,
+    step: Callable,
+    schema: str,
+    keep: Sequence[str],
+    args: Sequence[str] = ("image",),
+    failed: Sequence[dict] | None = None,
 ) -> DataFrame:
-    """Rows of numbers instead of images: ``step`` returns a list of dicts for each image.
+    """Rows of numbers and ``error`` instead of images: ``step`` returns a list of dicts for each image.
 
-    An image that is absent or cannot be measured gives one row of nulls.
+    An image that is absent or cannot be measured gives the rows ``failed``, one of nulls by default, with its
+    error.
     """
     ship(df.sparkSession)
     images = _image_columns(df, args)
@@ -151,19 +157,32 @@ def measure_images(
     kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string()}
     types = [kinds[part.split()[1]] for part in schema.split(",")]
 
+    absent = [dict.fromkeys(names)] if failed is None else list(failed)
+
+    def packed(batch, source, values, errors):
+        taken = [batch.column(c).take(pa.array(source, pa.int64())) for c in keep]
+        made = [pa.array([v[n] for v in values], t) for n, t in zip(names, types)]
+        made.append(pa.array(errors, pa.string()))
+        return pa.RecordBatch.from_arrays(taken + made, names=[*keep, *names, "error"])
+
     def run(batches):
         for batch in batches:
-            source, values = [], []
+            source, values, errors = [], [], []
             for i, row in enumerate(_rows_of(batch, args)):
-                found, state, _ = _attempt(step, row, images, None)
-                found = found if state == "ok" else [dict.fromkeys(names)]
+                found, state, error = _attempt(step, row, images, None)
+                found = found if state == "ok" else absent
                 source += [i] * len(found)
                 values += found
-            taken = [batch.column(c).take(pa.array(source, pa.int64())) for c in keep]
-            made = [pa.array([v[n] for v in values], t) for n, t in zip(names, types)]
-            yield pa.RecordBatch.from_arrays(taken + made, names=list(keep) + names)
+                errors += [error] * len(found)
+                if len(values) >= _MEASURED_ROWS:
+                    yield packed(batch, source, values, errors)
+                    source, values, errors = [], [], []
+            yield packed(batch, source, values, errors)
+
+    return df.mapInArrow(run, schema_of(df, keep, f"{schema}, error string"))
+
 
-    return df.mapInArrow(run, schema_of(df, keep, schema))
+_MEASURED_ROWS = 100_000
 
 
 def orient(images: DataFrame, tag: str = "orientation") -> DataFrame:

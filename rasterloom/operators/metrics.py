@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from rasterloom.functions import raster
 from rasterloom.operators.images import measure_images
 
-# A sweep multiplies the work per image, so the grid has to stay small.
-MAX_SETTINGS = 1_000
-
 
 def edge_retention(pairs: DataFrame, key: str, low: int = 100, high: int = 200) -> DataFrame:
-    """(key, source_edges, kept_edges, retention): edges in ``image`` and in ``result``, per image.
+    """(key, source_edges, kept_edges, error, retention): edges in ``image`` and in ``result``, per image.
 
-    Both images must have the same size. Retention is null if the source has no edges.
+    Both images must have the same size. Retention is null if the source has no edges or ``error`` is set.
     """
 
     def step(image, result):
@@ -33,7 +30,7 @@ def edge_retention(pairs: DataFrame, key: str, low: int = 100, high: int = 200)
 
 
 def texture_ratio(pairs: DataFrame, key: str) -> DataFrame:
-    """(key, energy_before, energy_after, suppression) with 1 - after / before, null if before is 0."""
+    """(key, energy_before, energy_after, error, suppression) with 1 - after / before, null if before is 0."""
 
     def step(image, result):
         return [
@@ -51,14 +48,12 @@ def texture_ratio(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def param_sweep(images: DataFrame, grid: Sequence[tuple[int, int]]) -> DataFrame:
-    """Edge density per (low, high) setting over all images.
+    """Edge density per (low, high) setting over all images, and ``failed``, the images not measured.
 
-    The settings travel with the task, so each image is read and its gradient shared by all of
-    them; only small partial sums are shuffled.
+    The settings travel with the task, so each image is read once for all of them; only small partial sums are
+    shuffled.
     """
     settings = sorted(set(grid))
-    if len(settings) > MAX_SETTINGS:
-        raise ValueError(f"at most {MAX_SETTINGS} settings")
 
     def step(image):
         gray = raster.luma(image, raster.EDGE_WEIGHTS, raster.EDGE_SHIFT)
@@ -68,11 +63,13 @@ def param_sweep(images: DataFrame, grid: Sequence[tuple[int, int]]) -> DataFrame
             rows.append({"low": low, "high": high, "edges": int(found.sum()), "pixels": gray.size})
         return rows
 
-    counts = measure_images(images, step, "low int, high int, edges long, pixels long", [])
+    none = [{"low": low, "high": high, "edges": None, "pixels": None} for low, high in settings]
+    counts = measure_images(images, step, "low int, high int, edges long, pixels long", [], failed=none)
     return (
         counts.groupBy("low", "high")
         .agg(
-            F.count("*").alias("images"),
+            F.count("edges").alias("images"),
+            F.count("error").alias("failed"),
             F.sum("edges").alias("edges"),
             F.sum("pixels").alias("pixels"),
         )

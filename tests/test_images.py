@@ -131,5 +131,15 @@ def test_sweep_counts_each_image_once_per_setting(table):
     for (low, high), row in rows.items():
         masks = [raster.edges(a, low, high) for a in ARRAYS.values()]
         assert (row["images"], row["edges"]) == (4, sum(int(m.sum()) for m in masks))
-    with pytest.raises(ValueError):
-        metrics.param_sweep(table, [(i, i) for i in range(2000)])
+
+
+def test_sweep_takes_any_grid_and_counts_failures(spark, table):
+    one = images.to_rgb(table).filter("name = 'a'") if "a" in ARRAYS else images.to_rgb(table).limit(1)
+    grid = [(i, i + 1) for i in range(1500)]
+    assert metrics.param_sweep(one, grid).count() == 1500
+    broken = one.withColumn("image", F.lit(None).cast(one.schema["image"].dataType))
+    rows = metrics.param_sweep(one.unionByName(broken), [(50, 100), (200, 400)]).collect()
+    assert {(r["low"], r["high"]) for r in rows} == {(50, 100), (200, 400)}
+    assert all((r["images"], r["failed"]) == (1, 1) for r in rows)
+    errors = [r["error"] for r in metrics.texture_ratio(broken.withColumn("result", F.col("image")), "name").collect()]
+    assert len(errors) == 1 and errors[0]
