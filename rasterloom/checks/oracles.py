@@ -316,7 +316,7 @@ SELECT src_ord, CASE WHEN image_name IS NULL THEN ''
     "missing_inputs": _merged_query(
         """
 SELECT 'check' AS run_id, image_name, artikelnummer, 'locate' AS stage,
- 'Input file not found: ' || image_name AS error FROM plan WHERE status = 'missing'"""
+ 'no input folder holds ' || image_name AS error FROM plan WHERE status = 'missing'"""
     ),
     "audit_summary": _audit_query(
         """
@@ -325,6 +325,18 @@ SELECT (SELECT count(*) FROM ids_m) AS ids_mapping, (SELECT count(*) FROM ids_t)
  (SELECT count(*) FROM expected) AS files_expected, (SELECT count(*) FROM on_disk) AS files_on_disk,
  (SELECT count(*) FROM matched) AS files_matched, (SELECT count(*) FROM missing) AS files_missing,
  (SELECT count(*) FROM extra) AS files_extra"""
+    ),
+    "audit_job": _with(
+        BASE,
+        AUDIT.rstrip().rstrip(",")
+        + MASTER
+        + """
+SELECT (SELECT count(*) FROM ids_m) AS ids_mapping, (SELECT count(*) FROM ids_t) AS ids_typicality,
+ (SELECT count(*) FROM ids_only_m) AS ids_only_mapping, (SELECT count(*) FROM ids_only_t) AS ids_only_typicality,
+ (SELECT count(*) FROM expected) AS files_expected, (SELECT count(*) FROM on_disk) AS files_on_disk,
+ (SELECT count(*) FROM matched) AS files_matched, (SELECT count(*) FROM missing) AS files_missing,
+ (SELECT count(*) FROM extra) AS files_extra, count(*) AS rows_total,
+ count(*) FILTER (existe_en_disco) AS rows_found, count(*) FILTER (NOT existe_en_disco) AS rows_missing FROM marked""",
     ),
     "existence_summary": _master_query(
         """

@@ -13,10 +13,12 @@ from rasterloom.checks.views import FOLDERS, load, rasters
 from rasterloom.functions import codec, raster
 from rasterloom.functions.names import default_ext_image
 from rasterloom.operators import audit, images, metadata, metrics
-from rasterloom.operators.joins import cap, chunk_plan, with_position
+from rasterloom.operators.joins import cap, chunk_plan, first_per, with_position
 from rasterloom.operators.metadata import clean_mapping, master_table, merge_metadata
 from rasterloom.operators.sampling import eval_sample
 from rasterloom.plans import work
+from rasterloom.plans.audit import AuditOptions
+from rasterloom.plans.audit import audit as audit_folder
 from rasterloom.session import shared_dir
 from rasterloom.sinks.files import copy_files, write_archives, write_files
 from rasterloom.sinks.tables import append_dead_letters, export_csv, write_images, write_reports
@@ -79,6 +81,16 @@ def scan_mapping_query(spark, sf):
     return placed.select("position", "artikelnummer", "image_name")
 
 
+def audit_job(spark, sf):
+    """The audit of a data folder written from the fixtures."""
+    root = shared_dir(spark, "audit")
+    export_csv(_mapping(spark, sf), f"{root}/mapping.csv", ["src_ord"])
+    export_csv(_typicality(spark, sf), f"{root}/typicality.csv", ["src_ord"])
+    files = first_per(load(spark, sf, "fx_files"), "name", [F.col("dir")])
+    write_files(files.select("name", F.col("body").cast("binary").alias("content")), f"{root}/images")
+    return audit_folder(spark, AuditOptions(root, "mapping.csv", "typicality.csv"))
+
+
 def drop_artifact(spark, sf):
     where = shared_dir(spark, "typicality-csv")
     export_csv(_typicality(spark, sf), where, ["src_ord"])
@@ -449,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pending": pending,
     "locate_inputs": locate_inputs,
     "missing_inputs": missing_inputs,
+    "audit_job": audit_job,
     "audit_summary": lambda spark, sf: audit.audit_summary(_ids(spark, sf), _files(spark, sf)),
     "existence_summary": lambda spark, sf: metadata.existence_summary(
         _mapping(spark, sf), _typicality(spark, sf), _disk(spark, sf)

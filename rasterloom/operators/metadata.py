@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +94,8 @@ def mark_existing(table: DataFrame, inventory: DataFrame, spread_by: list[str])
     return flagged.withColumn("existe_en_disco", F.col("_found").isNotNull()).drop("_found")
 
 
-def missing_rows(marked: DataFrame) -> DataFrame:
-    return marked.filter("not existe_en_disco").select(KEY, "image_name", "typicality")
+def missing_rows(marked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return marked.filter("not existe_en_disco").select(KEY, "image_name", "typicality", *keep)
 
 
 def existence_summary(mapping: DataFrame, typicality: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -97,7 +97,7 @@ def work_plan(
 def missing_inputs(plan: DataFrame) -> DataFrame:
     """Dead-letter rows (image_name, artikelnummer, stage, error) of inputs that were not found."""
     lost = plan.filter("status = 'missing'")
-    message = F.concat(F.lit("Input file not found: "), F.col("image_name"))
+    message = F.concat(F.lit("no input folder holds "), F.col("image_name"))
     return lost.select(
         "image_name", "artikelnummer", F.lit("locate").alias("stage"), message.alias("error")
     )

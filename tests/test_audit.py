@@ -99,3 +99,23 @@ def test_union_after_ingest(spark):
     disk = spark.createDataFrame([("images", "old.jpg", 1), ("images", "n.txt", 1)], DISK)
     members = spark.createDataFrame([("new.bmp",), ("old.jpg",)], "name string")
     assert sorted(r[0] for r in work.ingest_union(disk, members).collect()) == ["new.bmp", "old.jpg"]
+
+
+def test_audit_job(spark, tmp_path):
+    from rasterloom.plans.audit import AuditOptions, audit
+
+    (tmp_path / "images").mkdir()
+    for name in ("a.jpg", "extra.png", "note.txt"):
+        (tmp_path / "images" / name).write_bytes(b"x")
+    (tmp_path / "m.csv").write_text("artikelnummer,image_name\n1,a\n2,b.png\n3,nan\n4,c\n")
+    (tmp_path / "t.csv").write_text("artikelnummer,typicality,\n1,0.5,x\n2,0.7,\n2,0.8,\n9,1,\n")
+    row = audit(spark, AuditOptions(str(tmp_path), "m.csv", "t.csv")).first().asDict()
+    assert (row["files_expected"], row["files_on_disk"], row["files_matched"], row["files_missing"], row["files_extra"]) == (3, 2, 1, 2, 1)
+    assert (row["rows_total"], row["rows_found"], row["rows_missing"]) == (3, 1, 2)
+    master = spark.read.option("header", True).csv(str(tmp_path / "audit" / "master"))
+    assert master.count() == 3 and {"typicality", "existe_en_disco", "image_name_formatted"} <= set(master.columns)
+    missing = spark.read.option("header", True).csv(str(tmp_path / "audit" / "missing")).collect()
+    assert sorted(r["typicality"] for r in missing) == ["0.7", "0.8"]
+    lists = spark.read.text(str(tmp_path / "audit" / "reports")).collect()
+    assert {r["value"] for r in lists if r["category"].startswith("1_")} == {"b.png", "c.jpg"}
+    assert {r["category"][0]: r["value"] for r in lists if r["category"][0] in "24"} == {"2": "extra.png", "4": "9"}
