@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rasterloom.operators import audit as compare
 from rasterloom.operators.metadata import existence_summary, master_table, missing_rows
 from rasterloom.plans.run import MAPPING_CSV, TYPICALITY_CSV
-from rasterloom.session import path_exists, qualified, stored
+from rasterloom.session import path_exists, qualified, scratch, stored
 from rasterloom.sinks.tables import export_csv, write_reports
 from rasterloom.sources.files import list_files
 from rasterloom.sources.tables import drop_artifact_columns, scan_mapping, scan_typicality
@@ -33,8 +33,14 @@ def audit(spark: SparkSession, options: AuditOptions) -> DataFrame:
     """Write the reports, the master table and its rows without a file; returns one row with all counts.
 
     ``reports`` has a folder for each discrepancy list, ``master`` and ``missing`` are CSVs in source order. An
-    image folder that does not exist counts as empty.
+    image folder that does not exist counts as empty. What the audit has stored on its way is removed when it ends.
     """
+    with scratch(spark):
+        counts = _audit(spark, options)
+        return spark.createDataFrame(counts.collect(), counts.schema)  # one row
+
+
+def _audit(spark: SparkSession, options: AuditOptions) -> DataFrame:
     base = qualified(spark, options.data_dir)
     output = f"{base}/{options.output}"
     mapping = stored(scan_mapping(spark, f"{base}/{options.mapping}", multi_line=options.multi_line), "mapping")

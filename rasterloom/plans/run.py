@@ -21,7 +21,7 @@ from rasterloom.plans.work import (
     search_order,
     work_plan,
 )
-from rasterloom.session import path_exists, qualified, stored
+from rasterloom.session import path_exists, qualified, scratch, stored
 from rasterloom.sinks.files import write_archives, write_files
 from rasterloom.sinks.tables import append_dead_letters, write_images
 from rasterloom.sources.archives import read_zip
@@ -73,7 +73,16 @@ class RunOptions:
 
 
 def run(spark: SparkSession, options: RunOptions) -> DataFrame:
-    """Process everything still to be done; returns (status, images) counts."""
+    """Process everything still to be done; returns (status, images) counts.
+
+    What the run has stored on its way is removed when it ends.
+    """
+    with scratch(spark):
+        counts = _run(spark, options).collect()  # one row for each status
+    return spark.createDataFrame(counts, "status string, images long")
+
+
+def _run(spark: SparkSession, options: RunOptions) -> DataFrame:
     base = qualified(spark, options.data_dir)
     output = f"{base}/{OUTPUT_TABLE if options.as_table else OUTPUT_FOLDER}"
     run_id = uuid.uuid4().hex

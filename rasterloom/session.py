@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,10 +64,26 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
 
 
+_written: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes at its end what ``stored`` has written within it. Nothing lazy may outlive it."""
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > mark:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and continue from there, so it is computed only once."""
     spark = df.sparkSession
     where = shared_dir(spark, purpose)
+    _written.append(where)
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='rasterloom-tests-')}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
