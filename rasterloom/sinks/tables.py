@@ -43,7 +43,7 @@ def write_images(images: DataFrame, path: str, mode: str = "append") -> None:
     images.write.mode(mode).parquet(path)
 
 
-def append_dead_letters(rows: DataFrame, path: str, run_id: str) -> None:
+def append_dead_letters(rows: DataFrame, path: str, run_id: str, mode: str = "append") -> None:
     """Append (run_id, ts, image_name, artikelnummer, stage, error)."""
     present = set(rows.columns)
     text = {c: F.col(c) if c in present else F.lit(None) for c in ("image_name", "artikelnummer", "stage", "error")}
@@ -51,4 +51,4 @@ def append_dead_letters(rows: DataFrame, path: str, run_id: str) -> None:
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("ts"),
         *[col.cast("string").alias(c) for c, col in text.items()],
-    ).write.mode("append").parquet(path)
+    ).write.mode(mode).parquet(path)

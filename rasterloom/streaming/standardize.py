@@ -12,7 +12,9 @@ from rasterloom.functions import codec
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix
 from rasterloom.operators.images import image_step, standardize_files
 from rasterloom.operators.joins import first_per
+from rasterloom.plans.work import run_counters
 from rasterloom.session import path_exists
+from rasterloom.sinks.tables import append_dead_letters
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 _TASK_BYTES = 64 << 20
@@ -40,11 +42,14 @@ def stream_standardize(
     checkpoint: str,
     step: Callable | None = None,
     decode: Callable = codec.decode,
+    letters: str | None = None,
+    counters: str | None = None,
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop; ``output`` is a Parquet image table.
 
     The checkpoint remembers the files seen. Each batch first settles, on names alone, what is
-    still to be done, then reads the bytes. A batch that is repeated overwrites its own folder.
+    still to be done, then reads the bytes. A batch that is repeated overwrites its own folder, in
+    ``output`` as in the tables of dead letters (``letters``) and of counts by status (``counters``).
     """
     step = step or image_step()
 
@@ -57,7 +62,15 @@ def stream_standardize(
         tasks = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
         results = standardize_files(fresh.drop("bytes").repartition(tasks), step, decode, "path")
         sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)).cast("long"))
-        sized.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        where = f"{output}/batch={batch_id}"
+        sized.write.mode("overwrite").parquet(where)
+        done = spark.read.schema("name string, status string, error string").parquet(where)
+        if letters:
+            lost = done.filter("status <> 'ok'").select(F.col("name").alias("image_name"), F.lit("process").alias("stage"), "error")
+            append_dead_letters(lost, f"{letters}/batch={batch_id}", f"batch-{batch_id}", "overwrite")
+        if counters:
+            outcome = F.when(F.col("status") == "ok", "processed").otherwise("failed")
+            run_counters(done.select(outcome.alias("status"))).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
 
     return (
         source.writeStream.foreachBatch(process)

@@ -194,3 +194,15 @@ def test_rests_of_writes_are_neither_outputs_nor_archived(spark, tmp_path):
     assert counts(spark, tmp_path) == {"processed": 2}
     packed = [n for p in (tmp_path / "images_standardized_zip").glob("*.zip") for n in zipfile.ZipFile(p).namelist()]
     assert sorted(packed) == ["i0.bmp", "i1.bmp"]
+
+
+def test_stream_writes_dead_letters_and_counters(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    put(source, ["i0.bmp"])
+    (source / "bad.bmp").write_bytes(b"BM")
+    tables = {"letters": str(tmp_path / "letters"), "counters": str(tmp_path / "counters")}
+    for state in ("s", "s", "t"):  # the last one has lost its state: the failed file is tried again
+        stream_standardize(file_stream(spark, str(source)), out, str(tmp_path / state), **tables).awaitTermination()
+    letters = spark.read.parquet(tables["letters"]).collect()
+    assert {(r["image_name"], r["stage"]) for r in letters} == {("bad.bmp", "process")} and all(r["error"] for r in letters)
+    assert {r["status"] for r in spark.read.parquet(tables["counters"]).collect()} <= {"processed", "failed"}
