@@ -15,7 +15,7 @@ from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
 from rasterloom.llm.toxicity import grade
 from rasterloom.llm.toxicity import train as train_toxicity
-from rasterloom.llm.url_filter import judge
+from rasterloom.llm.url_filter import APART, LABELLED, REJECT, RULES, SHARE, SMOOTH, SUPPORT, judge
 
 
 def op1_url_filter(spark, sf_dir):
@@ -95,9 +95,54 @@ _WORDS = (
     " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+
+
+def _url_sql(depth: int) -> str:
+    """The rules and the tree of ``judge``, for paths of ``depth`` segments at most."""
+    suffix = "CASE " + " ".join(
+        f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN ['{h}{p}', '{v}']"
+        for h, p, v in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    )
+    levels = "".join(
+        f"""
+        n{k} AS (SELECT host, template, segs[{k + 1}] AS seg, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
+                 FROM t{k} WHERE len(segs) > {k} GROUP BY ALL),
+        k{k} AS (SELECT *, CASE WHEN labelled > 0 THEN blocked / labelled END AS rate
+                 FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS whole FROM n{k})
+                 WHERE seg NOT IN ('*', '**') AND n >= {SUPPORT} AND n >= {SHARE} * whole),
+        l{k} AS (SELECT *, lag(labelled) OVER w AS m, lag(blocked) OVER w AS b, lag(rate) OVER w AS r
+                 FROM k{k} WINDOW w AS (PARTITION BY host, template, labelled > 0 ORDER BY rate, seg)),
+        d{k} AS (SELECT *, (blocked + b) / (labelled + m) AS pooled FROM l{k}),
+        p{k} AS (SELECT *, sum(CASE WHEN rate - r > {APART} * sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / m)) THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY host, template, labelled > 0 ORDER BY rate, seg) AS part FROM d{k}),
+        b{k} AS (SELECT host, template, seg, min(seg) OVER g || CASE WHEN count(*) OVER g > 1 THEN '|+' || (count(*) OVER g - 1) ELSE '' END AS branch
+                 FROM p{k} WINDOW g AS (PARTITION BY host, template, labelled > 0, part)),
+        t{k + 1} AS (SELECT t{k}.host, segs, n, labelled, blocked,
+                       t{k}.template || CASE WHEN len(segs) > {k} THEN '/' || coalesce(branch, '*') ELSE '' END AS template
+                     FROM t{k} LEFT JOIN b{k} ON t{k}.host = b{k}.host AND t{k}.template = b{k}.template AND segs[{k + 1}] = seg),"""
+        for k in range(depth)
+    )
+    return f"""
+        WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+        u AS (SELECT *, {suffix} END AS says,
+                     list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+                       lambda s: CASE WHEN regexp_matches(s, '[0-9]') OR length(s) >= 40 THEN '*' ELSE s END) AS segs FROM h),
+        t0 AS (SELECT host, segs, count(*) AS n, count(says) AS labelled, count(*) FILTER (says[2] = 'block') AS blocked, '' AS template
+               FROM u GROUP BY host, segs),{levels}
+        a AS (SELECT coalesce(sum(blocked) / sum(labelled), 0.5) AS average FROM t0),
+        s AS (SELECT host, template, sum(labelled) AS f, (sum(blocked) + {SMOOTH}::DOUBLE * any_value(average)) / (sum(labelled) + {SMOOTH}::DOUBLE) AS purity
+              FROM t{depth}, a GROUP BY host, template)
+        SELECT page_id, u.host, path, says[1] AS rule, t.template, purity,
+               coalesce(says[2], CASE WHEN f >= {LABELLED} AND purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM u JOIN t{depth} AS t ON u.host = t.host AND u.segs = t.segs JOIN s ON s.host = t.host AND s.template = t.template"""
+
+
 _LINES = "len(list_filter(string_split_regex(coalesce({}, ''), '\\r\\n|\\r|\\n'), lambda x: trim(x) <> ''))"
 
 ORACLES: dict[str, str] = {
+    "op1_url_filter": _url_sql(4),
     "op5_quotes": f"""
         WITH t AS (SELECT *, lag(turn) OVER c AS up, first(turn) OVER c AS root, row_number() OVER c - 1 AS depth,
                           lag(text, 1, '') OVER c AS one, lag(text, 2, '') OVER c AS two
