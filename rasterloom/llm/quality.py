@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,9 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 
 PLACES, SIGNS = _index_vectors()
-DENSE = np.zeros((BUCKETS, DIMS))
-np.add.at(DENSE, (np.arange(BUCKETS)[:, None], PLACES), SIGNS)
+_MARKS = ".,;:!?$%&*#@|()[]{}<>\"'-_=+/"
 _RUNS = [(re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}"), "A"), (re.compile(r"\d+"), "9")]
-_CORE = re.compile(r"[^\W_]+")
+_CORE, _TWICE = re.compile(r"[^\W_]+"), re.compile(r"(.)\1+")
 
 
 def _bucket(term: str) -> int:
@@ -49,34 +49,52 @@ def _bucket(term: str) -> int:
 
 
 class Terms(dict):
-    """The buckets of a token: its word, its shape, and its shape as a repeat of the token before it."""
+    """The buckets of a token in one number: its word, its shape, and its shape as a repeat of the token before it."""
 
-    def __missing__(self, token: str) -> tuple[int, int, int]:
+    def __missing__(self, token: str) -> int:
         if len(self) > _KNOWN:
             self.clear()
-        word = "".join(_CORE.findall(token)).lower()
-        shape = token[:64]  # what follows does not change what a token looks like; its word is whole
-        for run, sign in _RUNS:
-            shape = run.sub(sign, shape)
-        shape = re.sub(r"(.)\1+", r"\1", shape)[:8]
-        self[token] = found = (_bucket("w" + word), _bucket("s" + shape), _bucket("r" + shape))
+        core = token.strip(_MARKS)
+        if core.isalpha():
+            word = core.lower()
+            kind = "a" if word == core else "A" if core.isupper() and len(core) > 1 else "Aa" if core[1:] == word[1:] else "x"
+            shape = kind if core == token else token.replace(core, kind, 1)
+        else:
+            word = "".join(_CORE.findall(token)).lower()
+            shape = token[:64]  # what follows does not change what a token looks like; its word is whole
+            for run, sign in _RUNS:
+                shape = run.sub(sign, shape)
+        self[token] = found = _bucket("w" + word) * BUCKETS * BUCKETS + _shape_code(shape)
         return found
 
 
+@lru_cache(1 << 16)
+def _shape_code(shape: str) -> int:
+    """Buckets of a shape and of its repeat; runs of one sign are one."""
+    shape = _TWICE.sub(r"\1", shape)[:8]
+    return _bucket("s" + shape) * BUCKETS + _bucket("r" + shape)
+
+
 def token_terms(text: str, known: Terms) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of words and of shapes of a text, in parts of bounded length; a part begins with the last token of the one before."""
-    tokens, last = text.split(), None
+    """Buckets of words and of shapes of a text, in parts of bounded length."""
+    tokens, last = text.split(), -1
     for low in range(0, len(tokens), _TOKENS):
         part = tokens[low : low + _TOKENS]
-        both = np.array([known[t] for t in part], np.int64)
-        same = np.fromiter((a == b for a, b in zip([last, *part], part, strict=False)), bool, len(part))
-        yield both[:, 0], np.where(same, both[:, 2], both[:, 1])
-        last = part[-1]
+        codes = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
+        same = np.concatenate(([last], codes[:-1])) == codes
+        both, again = np.divmod(codes, BUCKETS)
+        words, shapes = np.divmod(both, BUCKETS)
+        yield words, np.where(same, again, shapes)
+        last = codes[-1]
 
 
 def add_contexts(sums: np.ndarray, words: np.ndarray, shapes: np.ndarray) -> None:
     """Add to each word's vector the index vectors of its own shape and of its neighbours."""
-    for left, right in ((words, shapes), (words[1:], words[:-1]), (words[1:], shapes[:-1]), (words[:-1], words[1:]), (words[:-1], shapes[1:])):
+    real = words >= 0  # not what stands between two texts
+    near = real[1:] & real[:-1]
+    first, then = words[1:][near], words[:-1][near]
+    pairs = ((words[real], shapes[real]), (first, then), (first, shapes[:-1][near]), (then, first), (then, shapes[1:][near]))
+    for left, right in pairs:
         if len(left):
             at = left[:, None] * DIMS + PLACES[right]
             sums += np.bincount(at.ravel(), SIGNS[right].ravel(), sums.size)
@@ -87,7 +105,7 @@ def pool(text: str, vectors: np.ndarray, known: Terms) -> np.ndarray:
     total, n = np.zeros(2 * DIMS), 0
     for words, shapes in token_terms(text, known):
         total[:DIMS] += vectors[words].sum(axis=0)
-        total[DIMS:] += DENSE[shapes].sum(axis=0)
+        total[DIMS:] += np.bincount(PLACES[shapes].ravel(), SIGNS[shapes].ravel(), DIMS)
         n += len(words)
     return np.append(total / max(n, 1), n / (n + SHRINK))
 
@@ -127,12 +145,12 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     for row in sums.collect():  # at most BUCKETS rows
         out[row["bucket"]] = np.frombuffer(row["sums"], "<f8")
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+    return (out / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
 def _packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Many short texts as few arrays; a bucket of their own for what stands between two texts."""
-    gap = np.array([_bucket("gap")])
+    """Many short texts as few arrays, -1 between two texts."""
+    gap = np.array([-1])
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for words, shapes in parts:
