@@ -1,7 +1,7 @@
 """Toxicity grades by a cumulative-link ordinal regression on sparse word features.
 
-Words are counted over all labelled documents that are not held out, in and outside toxic ones; those that differ most
-are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k), t_1 < t_2 < ... The
+Words are counted in a bounded sample of labelled documents that are not held out, in and outside toxic ones; those that
+differ most are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k), t_1 < t_2 < ... The
 labels say only whether a document is toxic, so its grade comes from how many of its words point to toxicity.
 """
 
@@ -20,8 +20,9 @@ from rasterloom.llm.bpe import _arrow_type
 from rasterloom.llm.common import blocks, column, emit, ship, stored
 from rasterloom.llm.quality import held_out
 
-#: Words that become features, at most; labelled rows that the weights are fitted on, at most.
-FEATURES, SAMPLE = 512, 10_000
+#: Words that become features, at most; labelled rows that they are chosen by, and that the weights are fitted on, at most:
+#: those with the smallest hashes of their ids.
+FEATURES, COUNTED, SAMPLE = 512, 50_000, 10_000
 #: Documents that must hold a word; the signed root of its log likelihood ratio from which it is a feature, if that is also
 #: this share of the strongest word's; the share from which it points to toxicity.
 SUPPORT, CLEAR, NEAR, POINTS = 5, 4.0, 0.2, 0.5
@@ -81,12 +82,14 @@ def fit(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, rate: float
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Ordinal:
-    """A model from the labels that are not held out: features from all of them, weights from a bounded sample."""
+    """A model from bounded samples of the labels that are not held out; texts are only read, never shuffled."""
     spark = docs.sparkSession
     ship(spark)
-    marked = labels.select(column(id_col).alias("id"), column(label_col).alias("label")).dropna()
+    marked = labels.select(column(id_col).cast("long").alias("id"), column(label_col).alias("label")).dropna()
     marked = marked.groupBy("id").agg(F.max("label").cast("int").alias("label")).where(~held_out(F.col("id")))
-    rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text")).join(marked, "id")
+    marked = marked.orderBy(F.xxhash64("id"), "id").limit(COUNTED)
+    rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(marked), "id")  # at most COUNTED rows of two numbers
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
@@ -126,24 +129,22 @@ def _weights(rows: DataFrame, words: list[str], pointing: frozenset[str], trust:
     at = {w: i for i, w in enumerate(words)}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("grade", pa.int32()), ("x", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("grade", pa.int32()), ("x", pa.binary())])
 
         def each():
             for block in blocks(batches):
-                for label, text in zip(block.column("label").to_pylist(), block.column("text").to_pylist(), strict=True):
+                for i, label, text in zip(*(block.column(c).to_pylist() for c in ("id", "label", "text")), strict=True):
                     found = words_of(text)
                     many = sum(w in pointing for w in found)
                     x = np.zeros(len(words), np.float32)
                     for w, n in Counter(w for w in found if w in at).items():
                         x[at[w]] = np.log1p(n)
                     grade = 1 + sum(many >= g for g in GRADES) if label > 0 else 0
-                    yield 4 * len(words), (grade, x.tobytes())
+                    yield 4 * len(words), (i, grade, x.tobytes())
 
         yield from emit(schema, each())
 
-    sample = rows.orderBy(F.xxhash64("id"), "id").select("id", "label").limit(SAMPLE)
-    some = rows.drop("label").join(F.broadcast(sample), "id").select("label", "text")  # SAMPLE rows of two numbers
-    found = some.mapInArrow(vectors, "grade int, x binary").orderBy(F.xxhash64("x"), "x", "grade").limit(SAMPLE).collect()
+    found = rows.mapInArrow(vectors, "id long, grade int, x binary").orderBy(F.xxhash64("id"), "id", "x", "grade").limit(SAMPLE).collect()
     x = np.array([np.frombuffer(r["x"], np.float32) for r in found]).reshape(len(found), len(words))
     weights, thresholds = fit(x * trust, np.array([r["grade"] for r in found], int), len(GRADES) + 2)
     return Ordinal(words, weights * trust, thresholds)
