@@ -30,13 +30,13 @@ def normalised(line: Column) -> Column:
 
 
 def lines(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="text") -> DataFrame:
-    """(conv, turn, key, nth, level, line, hash): the lines of each message; blank ones have no hash."""
+    """(conv, turn, key, nth, level, hash): the lines of each message, 16 bytes each; blank ones have no hash."""
     base = messages.select(
         column(conv_col).alias("conv"), column(turn_col).alias("turn"), F.coalesce(column(text_col), F.lit("")).alias("text")
     ).withColumn("key", F.xxhash64("text"))
     rows = base.select("conv", "turn", "key", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("nth", "raw"))
     rows = rows.withColumn("level", level(F.col("raw"))).withColumn("line", normalised(F.col("raw")))
-    return rows.withColumn("hash", F.when(F.col("line") != "", F.xxhash64("line")))
+    return rows.select("conv", "turn", "key", "nth", "level", F.when(F.col("line") != "", F.unhex(F.md5("line"))).alias("hash"))
 
 
 def links(rows: DataFrame) -> DataFrame:
@@ -46,13 +46,11 @@ def links(rows: DataFrame) -> DataFrame:
     the level, the later one of equals.
     """
     written = rows.where((F.col("level") == 0) & F.col("hash").isNotNull())
-    written = written.select("conv", "hash", "line", "turn").distinct()
+    written = written.select("conv", "hash", "turn").distinct()
     quoted = rows.where((F.col("level") > 0) & F.col("hash").isNotNull())
-    quoted = quoted.groupBy("conv", "turn", "key", "level", "hash", "line").agg(F.count(F.lit(1)).alias("n"))
-    both = quoted.select("conv", "hash", "line", "turn", "key", "level", "n").unionByName(
-        written.select("conv", "hash", "line", "turn"), allowMissingColumns=True
-    )
-    found = _last_before(both, ["conv", "hash", "line"], F.col("level").isNull(), "source").where(F.col("level").isNotNull())
+    quoted = quoted.groupBy("conv", "turn", "key", "level", "hash").agg(F.count(F.lit(1)).alias("n"))
+    both = stored(quoted.unionByName(written, allowMissingColumns=True), "quote-lines")
+    found = _last_before(both, ["conv", "hash"], F.col("level").isNull(), "source").where(F.col("level").isNotNull())
     sums = found.groupBy("conv", "turn", "key", "level", "source").agg(F.sum("n").alias("n"))
     own = Window.partitionBy("conv", "turn", "key", "level")
     best = own.orderBy(F.col("source").isNull(), F.desc("n"), F.desc("source"))
@@ -89,29 +87,31 @@ def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role
     Other columns are not read. An empty table gives no rows.
     """
     messages = messages.where(column(conv_col).isNotNull() & column(turn_col).isNotNull())
-    rows = lines(messages, conv_col, turn_col, text_col)
-    found = links(rows)
+    found = links(lines(messages, conv_col, turn_col, text_col))
+    text = F.coalesce(column(text_col), F.lit(""))
     heads = messages.select(
         column(conv_col).alias("conv"), column(turn_col).alias("turn"), column(role_col).alias("role"),
-        F.coalesce(column(text_col), F.lit("")).alias("text"),
-    ).withColumn("key", F.xxhash64("text"))
-    heads = heads.groupBy("conv", "turn", "key").agg(F.min("role").alias("role"), F.first("text").alias("text"))
+        F.xxhash64(text).alias("key"), unquoted(text).alias("text"),
+    )
     sums = found.groupBy("conv", "turn", "key").agg(
         F.max(F.when(F.col("level") == 1, F.col("source"))).alias("source"),
         F.sum("quoted").alias("n_quoted"),
         F.sum("linked").alias("n_linked"),
         F.max("level").alias("deepest"),
     )
-    heads = heads.join(sums, ["conv", "turn", "key"], "left")
-    turns = _last_before(heads.groupBy("conv", "turn").agg(F.max("source").alias("source")), ["conv"], F.lit(True), "last")
+    sums = stored(sums, "quote-counts")
+    turns = heads.select("conv", "turn").distinct()
+    turns = turns.join(sums.groupBy("conv", "turn").agg(F.max("source").alias("source")), ["conv", "turn"], "left")
+    turns = _last_before(stored(turns, "turns"), ["conv"], F.lit(True), "last")
     turns = turns.select("conv", "turn", F.coalesce("source", "last").alias("up"))
-    turns = stored(turns, "replies")
-    threads = _threads(turns, rounds)
-    heads = heads.join(threads, ["conv", "turn"])
+    threads = _threads(stored(turns, "replies"), rounds)
+    # Texts travel once, to the few numbers of their turn, and without their quotes.
+    heads = heads.repartition("conv", "turn").groupBy("conv", "turn", "key")
+    heads = heads.agg(F.min("role").alias("role"), F.first("text").alias("text"))
+    heads = heads.join(threads, ["conv", "turn"]).join(sums, ["conv", "turn", "key"], "left")
     return heads.select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", F.col("up").alias("reply_to"), "depth", "root",
-        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_quoted", "n_linked", "deepest")),
-        unquoted(F.col("text")).alias("text"),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_quoted", "n_linked", "deepest")), "text",
     )
 
 
@@ -149,17 +149,16 @@ def unquoted(text: Column) -> Column:
 def quoting(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="text", marks: int = 2) -> DataFrame:
     """The messages as mail: each opens with the turn before it, quoted, and what that one quoted in turn.
 
-    A fixture for tables whose turns hold no quotes and count up by one. Levels deeper than ``marks`` are cut, as mail
-    programs do.
+    A fixture for tables whose turns hold no quotes. Levels deeper than ``marks`` are cut, as mail programs do. Turns are
+    gone through in blocks; the last ones of a block are shown to the next block too.
     """
     text = F.coalesce(column(text_col), F.lit(""))
-    told = messages.groupBy(column(conv_col).alias("__conv"), column(turn_col).alias("__turn")).agg(F.min(text).alias("__told"))
-    mail, parts = messages, []
-    for i in range(1, marks + 1):
-        own = told.select("__conv", (F.col("__turn") + i).alias("__turn"), F.regexp_replace("__told", r"(?m)^", ">" * i + " ").alias(f"__{i}"))
-        same = (column(conv_col) == F.col("__conv")) & (column(turn_col) == F.col("__turn"))
-        mail = mail.join(own, same, "left").drop("__conv", "__turn")
-        parts.insert(0, F.col(f"__{i}"))
+    block = F.floor(column(turn_col) / TURNS)
+    shown = F.when(F.pmod(column(turn_col), F.lit(TURNS)) >= TURNS - marks, F.array(block, block + 1)).otherwise(F.array(block))
+    rows = messages.withColumn("__at", block).withColumn("__block", F.explode(shown))
+    own = Window.partitionBy(column(conv_col), "__block").orderBy(column(turn_col), text)
+    parts = [F.regexp_replace(F.lag(text, i).over(own), r"(?m)^", ">" * i + " ") for i in range(marks, 0, -1)]
     quote = F.concat_ws("\n", F.lit("A message wrote:"), *parts, F.lit(""), text)
-    new = F.when(F.col("__1").isNull(), text).otherwise(quote)
-    return mail.select(*[new.alias(c) if c == text_col else column(c) for c in messages.columns])
+    mail = F.when(F.lag(text).over(own).isNull(), text).otherwise(quote)
+    rows = rows.withColumn("__mail", mail).where(F.col("__at") == F.col("__block"))
+    return rows.select(*[F.col("__mail").alias(c) if c == text_col else column(c) for c in messages.columns])
