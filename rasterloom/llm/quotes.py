@@ -123,12 +123,12 @@ def _threads(turns: DataFrame, rounds: int) -> DataFrame:
     state = turns.select("conv", "turn", "up", F.col("up").alias("far"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"))
     state = state.withColumn("root", F.col("turn"))
     for _ in range(rounds):
+        # What has reached its root stays as it is; only the others are joined again.
         above = state.select("conv", F.col("turn").alias("far"), F.col("far").alias("next"), F.col("depth").alias("more"), F.col("root").alias("top"))
-        state = state.join(above, ["conv", "far"], "left").select(
-            "conv", "turn", "up", F.col("next").alias("far"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("top", "root").alias("root"),
-        )
-        state = stored(state, "replies")
+        moved = state.where(F.col("far").isNotNull()).join(above, ["conv", "far"]).select(
+            "conv", "turn", "up", F.col("next").alias("far"), (F.col("depth") + F.col("more")).alias("depth"), F.col("top").alias("root")
+        )
+        state = stored(state.where(F.col("far").isNull()).unionAll(moved), "replies")
         if not state.where(F.col("far").isNotNull()).limit(1).count():
             break
     return state.select("conv", "turn", "up", "root", "depth")
