@@ -1,8 +1,10 @@
 """Toxicity grades by a cumulative-link ordinal regression on sparse word features.
 
-Words are counted in a bounded sample of labelled documents that are not held out, in and outside toxic ones; those that
-differ most are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k), t_1 < t_2 < ... The
-labels say only whether a document is toxic, so its grade comes from how many of its words point to toxicity.
+Words are counted in a bounded sample of labelled documents that are not held out, in and outside toxic ones; all that
+differ significantly are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k),
+t_1 < t_2 < ... The weights decay towards a multiple of the words' log odds ratios, so a rare word has the weight that its
+counts give it. The labels say only whether a document is toxic, so its grade comes from how many of its words point to
+toxicity.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +23,12 @@ from rasterloom.llm.bpe import _arrow_type
 from rasterloom.llm.common import blocks, column, emit, ship, stored
 from rasterloom.llm.quality import held_out
 
-#: Words that become features, at most; labelled rows that they are chosen by, and that the weights are fitted on, at most:
-#: those with the smallest hashes of their ids.
-FEATURES, COUNTED, SAMPLE = 512, 50_000, 10_000
-#: Documents that must hold a word; the signed root of its log likelihood ratio from which it is a feature, if that is also
-#: this share of the strongest word's; the share from which it points to toxicity.
-SUPPORT, CLEAR, NEAR, POINTS = 5, 4.0, 0.2, 0.5
+#: Labelled rows that features are chosen by, and that the weights are fitted on, at most: those with the smallest hashes of
+#: their ids.
+COUNTED, SAMPLE = 50_000, 10_000
+#: Documents that must hold a word for it to be tested; the chance that any word without a difference becomes a feature, by
+#: the log likelihood ratios of all tested words; the log odds ratio from which a feature points to toxicity.
+SUPPORT, ALPHA, POINTS = 5, 0.05, 2.0
 #: Pointing words from which a toxic document has grade 2 and 3.
 GRADES = (5, 12)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -35,6 +38,20 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+class Sparse:
+    """A matrix by its entries, for products with vectors."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, shape: tuple[int, int]):
+        self.rows, self.columns, self.values, self.shape = rows, columns, values, shape
+
+    def __matmul__(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * v[self.columns], self.shape[0])
+
+    @property
+    def T(self) -> Sparse:  # noqa: N802
+        return Sparse(self.columns, self.rows, self.values, self.shape[::-1])
+
+
 class Ordinal:
     """Weights shared by ordered thresholds."""
 
@@ -51,9 +68,10 @@ class Ordinal:
         return float(sum(self.weights[i] * np.log1p(n) for i, n in found.items()))
 
 
-def fit(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, rate: float = 0.05, decay: float = 3e-4):
+def fit(x: np.ndarray | Sparse, y: np.ndarray, grades: int, steps: int = 600, rate: float = 0.05, decay: float = 3e-4, spread: float = 3e-4):
     """Weights and ordered thresholds by gradient steps on the mean log likelihood.
 
+    ``decay`` draws the weights to zero, all alike or each by its own entry, ``spread`` the logarithms of the gaps.
     The first threshold is free; each further one is the one before plus the exponent of a free number, so they stay
     in order whatever the steps do.
     """
@@ -71,7 +89,7 @@ def fit(x: np.ndarray, y: np.ndarray, grades: int, steps: int = 600, rate: float
         dt = np.zeros(grades - 1)
         np.add.at(dt, np.maximum(y - 1, 0), np.where(y > 0, dhigh, 0) / len(y))
         np.add.at(dt, np.minimum(y, grades - 2), -np.where(y < grades - 1, dlow, 0) / len(y))
-        slopes = [x.T @ ds + decay * w, dt.sum(), np.array([dt[k + 1 :].sum() for k in range(grades - 2)]) * np.exp(gaps) + decay * gaps]
+        slopes = [x.T @ ds + decay * w, dt.sum(), np.array([dt[k + 1 :].sum() for k in range(grades - 2)]) * np.exp(gaps) + spread * gaps]
         new = []
         for i, (value, g) in enumerate(zip((w, first, gaps), slopes, strict=True)):
             m, v = 0.9 * state[i][0] + 0.1 * g, 0.999 * state[i][1] + 0.001 * g * g
@@ -113,41 +131,49 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     a, b = F.col("toxic"), F.col("clean")
     share = (a + b) / (whole["toxic"] + whole["clean"])
     likely = a * F.log(a / (whole["toxic"] * share)), b * F.log(b / (whole["clean"] * share))
-    root = F.sqrt(2 * sum(F.when(n > 0, x).otherwise(0.0) for n, x in zip((a, b), likely, strict=True)))
-    sign = F.when(a / whole["toxic"] >= b / whole["clean"], 1.0).otherwise(-1.0)
-    best = held.where("word != ''").select("word", (sign * root).alias("z")).where(F.abs("z") >= CLEAR)
-    best = best.orderBy(F.desc(F.abs("z")), "word").limit(FEATURES).collect()
-    top = max((abs(r["z"]) for r in best), default=0.0)
-    best = [r for r in best if abs(r["z"]) >= NEAR * top]
-    words = [r["word"] for r in best]
-    pointing = frozenset(r["word"] for r in best if r["z"] >= POINTS * top)
-    return _weights(rows, words, pointing, np.array([(abs(r["z"]) / top) ** 2 for r in best]))
+    ratio = 2 * sum(F.when(n > 0, x).otherwise(0.0) for n, x in zip((a, b), likely, strict=True))
+    tested = held.where("word != ''")
+    clear = NormalDist().inv_cdf(1 - ALPHA / max(tested.count(), 1) / 2) ** 2
+    odds = [F.log((n + 0.5) / (whole[c] - n + 0.5)) for n, c in ((a, "toxic"), (b, "clean"))]
+    best = tested.where(ratio >= clear).select("word", (odds[0] - odds[1]).alias("odds")).orderBy("word").collect()
+    return _weights(rows, [r["word"] for r in best], np.array([r["odds"] for r in best]))
 
 
-def _weights(rows: DataFrame, words: list[str], pointing: frozenset[str], trust: np.ndarray) -> Ordinal:
-    """``trust`` scales the features: what is less sure needs more to get the same weight."""
-    at = {w: i for i, w in enumerate(words)}
+def _weights(rows: DataFrame, words: list[str], odds: np.ndarray) -> Ordinal:
+    """``odds`` are the words' log odds ratios, which the weights decay towards."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast({w: (i, o >= POINTS) for i, (w, o) in enumerate(zip(words, odds.tolist(), strict=True))})
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("grade", pa.int32()), ("x", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("grade", pa.int32()), ("at", pa.binary()), ("x", pa.binary())])
+        known = shared.value
 
         def each():
             for block in blocks(batches):
                 for i, label, text in zip(*(block.column(c).to_pylist() for c in ("id", "label", "text")), strict=True):
-                    found = words_of(text)
-                    many = sum(w in pointing for w in found)
-                    x = np.zeros(len(words), np.float32)
-                    for w, n in Counter(w for w in found if w in at).items():
-                        x[at[w]] = np.log1p(n)
+                    found = Counter(known[w] for w in words_of(text) if w in known)
+                    many = sum(n for (_, points), n in found.items() if points)
                     grade = 1 + sum(many >= g for g in GRADES) if label > 0 else 0
-                    yield 4 * len(words), (i, grade, x.tobytes())
+                    pairs = sorted((at, n) for (at, _), n in found.items())
+                    at, x = (np.array([p[k] for p in pairs], t) for k, t in enumerate((np.int32, np.float64)))
+                    yield 12 * len(pairs), (i, grade, at.tobytes(), np.log1p(x).tobytes())
 
         yield from emit(schema, each())
 
-    found = rows.mapInArrow(vectors, "id long, grade int, x binary").orderBy(F.xxhash64("id"), "id", "x", "grade").limit(SAMPLE).collect()
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in found]).reshape(len(found), len(words))
-    weights, thresholds = fit(x * trust, np.array([r["grade"] for r in found], int), len(GRADES) + 2)
-    return Ordinal(words, weights * trust, thresholds)
+    found = rows.mapInArrow(vectors, "id long, grade int, at binary, x binary")
+    found = found.orderBy(F.xxhash64("id"), "id", "at", "x", "grade").limit(SAMPLE).collect()
+    at = [np.frombuffer(r["at"], np.int32) for r in found]
+    own = np.repeat(np.arange(len(found)), [len(a) for a in at])
+    columns, values = np.concatenate([np.zeros(0, np.int32), *at]), np.concatenate([np.zeros(0), *(np.frombuffer(r["x"]) for r in found)])
+    # One more column has the log odds of the words found: its weight is free, those of the words are what differs from it.
+    unit = odds / max(np.abs(odds).max(initial=0.0), 1.0)
+    both = Sparse(
+        np.concatenate((own, own)), np.concatenate((columns, np.full(len(columns), len(words)))),
+        np.concatenate((values, values * unit[columns])), (len(found), len(words) + 1),
+    )
+    decay = np.append(np.full(len(words), 1 / max(len(found), 1)), 0.0)
+    weights, thresholds = fit(both, np.array([r["grade"] for r in found], int), len(GRADES) + 2, decay=decay)
+    return Ordinal(words, weights[:-1] + weights[-1] * unit, thresholds)
 
 
 def grade(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

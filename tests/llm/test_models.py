@@ -98,6 +98,28 @@ def test_toxicity(spark, tables):
     assert not any(r.toxic for r in toxicity.grade(docs.limit(5), empty).collect())
 
 
+def test_toxicity_of_documents_with_rare_words_only(spark):
+    """A few words of nearly all toxic documents, and many words each of which few toxic documents hold."""
+    drawn = np.random.default_rng(6)
+    common, rare = ["awful", "vile", "nasty"], [f"rare{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    rows, marks = [], []
+    for i in range(6000):
+        text = [f"w{chr(97 + n // 20)}{chr(97 + n % 20)}" for n in drawn.integers(0, 300, 30)]
+        if i % 5 == 0:
+            text += drawn.choice(rare, 4).tolist() if i % 25 == 0 else common + drawn.choice(rare, 1).tolist()
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(i % 5 == 0)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert set(common) <= model.at.keys() and len(model.at.keys() & set(rare)) >= 100
+    assert all(model.weights[i] > 0 for w, i in model.at.items() if w in common + rare)
+    got = {r.doc_id: r.toxic for r in toxicity.grade(docs, model).collect()}
+    only = [i for i in range(0, 6000, 25) if held(i)]
+    assert len(only) > 50 and sum(got[i] for i in only) >= 0.95 * len(only)
+    clean = [i for i in range(6000) if i % 5 and held(i)]
+    assert sum(got[i] for i in clean) <= 0.01 * len(clean)
+
+
 def test_graph_recall():
     drawn = np.random.default_rng(1)
     vectors = drawn.normal(size=(3000, 24)) * drawn.random((3000, 1))
