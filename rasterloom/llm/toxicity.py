@@ -1,7 +1,7 @@
 """Toxicity grades by a cumulative-link ordinal regression on sparse word features.
 
-Words are counted in a bounded sample of labelled documents that are not held out, in and outside toxic ones; all that
-differ significantly are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k),
+Words are counted in all labelled documents that are not held out, in and outside toxic ones; all that differ
+significantly are the features. One weight vector serves all thresholds: P(grade > k) = logistic(w x - t_k),
 t_1 < t_2 < ... The weights decay towards a multiple of the words' log odds ratios, so a rare word has the weight that its
 counts give it. The labels say only whether a document is toxic, so its grade comes from how many of its words point to
 toxicity.
@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -23,9 +24,11 @@ from rasterloom.llm.bpe import _arrow_type
 from rasterloom.llm.common import blocks, column, emit, ship, stored
 from rasterloom.llm.quality import held_out
 
-#: Labelled rows that features are chosen by, and that the weights are fitted on, at most: those with the smallest hashes of
-#: their ids.
-COUNTED, SAMPLE = 50_000, 10_000
+#: Labels that are broadcast at once, 32 MB or so; more go in several parts, each in a scan of its own.
+PART = 1 << 20
+#: Labelled rows that the weights are fitted on, at most, from the documents of so many labels: those with the smallest
+#: hashes of their ids.
+SAMPLE, DRAWN = 10_000, 50_000
 #: Documents that must hold a word for it to be tested; the chance that any word without a difference becomes a feature, by
 #: the log likelihood ratios of all tested words; the log odds ratio from which a feature points to toxicity.
 SUPPORT, ALPHA, POINTS = 5, 0.05, 2.0
@@ -100,14 +103,17 @@ def fit(x: np.ndarray | Sparse, y: np.ndarray, grades: int, steps: int = 600, ra
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Ordinal:
-    """A model from bounded samples of the labels that are not held out; texts are only read, never shuffled."""
+    """A model from the labels that are not held out: words are counted over all of them, weights fitted on a sample.
+
+    Texts are only read, never shuffled.
+    """
     spark = docs.sparkSession
     ship(spark)
     marked = labels.select(column(id_col).cast("long").alias("id"), column(label_col).alias("label")).dropna()
     marked = marked.groupBy("id").agg(F.max("label").cast("int").alias("label")).where(~held_out(F.col("id")))
-    marked = marked.orderBy(F.xxhash64("id"), "id").limit(COUNTED)
-    rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(marked), "id")  # at most COUNTED rows of two numbers
+    marked = stored(marked, "labels")
+    parts = max(-(-marked.count() // PART), 1)
+    texts = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
@@ -119,9 +125,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 held[label > 0][""] += 1  # documents
             yield from emit(schema, ((len(w) + 16, (w, held[0][w], held[1][w])) for w in held[0].keys() | held[1].keys()))
 
-    counts = rows.mapInArrow(count, "word string, clean long, toxic long").groupBy("word")
-    counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # One pass over the documents: what is too rare to be a feature goes before the totals are known.
+    def sums(found: DataFrame) -> DataFrame:
+        return found.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+    def scan(part: int) -> DataFrame:
+        own = marked.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
+        return sums(texts.join(F.broadcast(own), "id").mapInArrow(count, "word string, clean long, toxic long"))
+
+    # Parts one after the other: each is broadcast when the one before is done.
+    counts = scan(0) if parts == 1 else sums(reduce(DataFrame.unionAll, [stored(scan(p), "word-counts") for p in range(parts)]))
+    # One pass over the counts: what is too rare to be a feature goes before the totals are known.
     held = counts.where((F.col("clean") + F.col("toxic") >= SUPPORT) | (F.col("word") == ""))
     total = F.first(F.when(F.col("word") == "", F.struct("clean", "toxic")), ignorenulls=True)
     held = stored(held, "word-counts")
@@ -136,6 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     clear = NormalDist().inv_cdf(1 - ALPHA / max(tested.count(), 1) / 2) ** 2
     odds = [F.log((n + 0.5) / (whole[c] - n + 0.5)) for n, c in ((a, "toxic"), (b, "clean"))]
     best = tested.where(ratio >= clear).select("word", (odds[0] - odds[1]).alias("odds")).orderBy("word").collect()
+    drawn = marked.orderBy(F.xxhash64("id"), "id").limit(DRAWN)
+    rows = texts.join(F.broadcast(drawn), "id")  # at most DRAWN rows of two numbers
     return _weights(rows, [r["word"] for r in best], np.array([r["odds"] for r in best]))
 
 

@@ -120,6 +120,23 @@ def test_toxicity_of_documents_with_rare_words_only(spark):
     assert sum(got[i] for i in clean) <= 0.01 * len(clean)
 
 
+def test_words_of_all_labels_are_counted(spark, monkeypatch):
+    """Two words of twelve documents, all behind the labels that weights are fitted on; labels go in several parts."""
+    monkeypatch.setattr(toxicity, "PART", 30_000, raising=False)
+    ids = spark.range(90_000).where(~quality.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
+    ids = [r.id for r in ids.collect()]
+    assert len(ids) > 50_100
+    late = set(ids[-12:])
+    texts = ["plain words here", *(f"plain words awful{c} here" for c in "abcdefghij"), "plain words zounds gadzooks here"]
+    kinds = [(i, 11 if i in late else 1 + i // 10 % 10 if i % 10 == 0 else 0) for i in ids]
+    docs = spark.createDataFrame([(i, texts[k]) for i, k in kinds], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k > 0)) for i, k in kinds], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert {"awfula", "zounds"} <= model.at.keys() and model.weights[model.at["zounds"]] > 0
+    pair = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.toxic for r in toxicity.grade(pair, model).collect()} == {i: i > 0 for i in range(12)}
+
+
 def test_graph_recall():
     drawn = np.random.default_rng(1)
     vectors = drawn.normal(size=(3000, 24)) * drawn.random((3000, 1))
