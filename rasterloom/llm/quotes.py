@@ -2,8 +2,9 @@
 
 A message is split into lines; the marks at the head of a line give its quote level. The lines of a passage are
 normalised and hashed; a quoted line is joined to the lines written earlier in the same conversation, so lines that
-many conversations share never meet. The message from which most lines of a level come is the source of that level.
-The source of the first level is the message replied to; what that one quoted in turn stands one level deeper. Conversations follow the replies: a message comes after the one it replies to, without its quotes.
+many conversations share never meet. A level may quote several messages; each is a link with the lines that come from it.
+The message from which most lines of the first level come is the one replied to; what that one quoted in turn stands one
+level deeper. Conversations follow the replies: a message comes after the one it replies to, without its quotes.
 """
 
 from __future__ import annotations
@@ -40,10 +41,9 @@ def lines(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="te
 
 
 def links(rows: DataFrame) -> DataFrame:
-    """(conv, turn, key, source, level, quoted, linked): for each message and quote level, the message quoted there.
+    """(conv, turn, key, level, source, lines): for each message and quote level, all messages quoted there.
 
-    Each quoted line goes to the latest earlier turn that wrote it; the turn that most lines go to is the source of
-    the level, the later one of equals.
+    Each quoted line goes to the latest earlier turn that wrote it. Lines that no earlier turn wrote have a null source.
     """
     written = rows.where((F.col("level") == 0) & F.col("hash").isNotNull())
     written = written.select("conv", "hash", "turn").distinct()
@@ -51,13 +51,7 @@ def links(rows: DataFrame) -> DataFrame:
     quoted = quoted.groupBy("conv", "turn", "key", "level", "hash").agg(F.count(F.lit(1)).alias("n"))
     both = stored(quoted.unionByName(written, allowMissingColumns=True), "quote-lines")
     found = _last_before(both, ["conv", "hash"], F.col("level").isNull(), "source").where(F.col("level").isNotNull())
-    sums = found.groupBy("conv", "turn", "key", "level", "source").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy("conv", "turn", "key", "level")
-    best = own.orderBy(F.col("source").isNull(), F.desc("n"), F.desc("source"))
-    sums = sums.withColumn("quoted", F.sum("n").over(own)).withColumn("place", F.row_number().over(best))
-    return sums.where("place = 1").select(
-        "conv", "turn", "key", "level", "source", "quoted", F.when(F.col("source").isNotNull(), F.col("n")).otherwise(0).alias("linked")
-    )
+    return found.groupBy("conv", "turn", "key", "level", "source").agg(F.sum("n").alias("lines"))
 
 
 def _last_before(rows: DataFrame, keys: list[str], marked: Column, name: str) -> DataFrame:
@@ -79,7 +73,8 @@ def _last_before(rows: DataFrame, keys: list[str], marked: Column, name: str) ->
 def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text", rounds: int = 40) -> DataFrame:
     """(conv, turn, role, reply_to, depth, root, n_quoted, n_linked, deepest, text) of each message.
 
-    ``reply_to`` is the turn quoted at the first level, else the turn before, null for the first one. ``depth`` counts
+    ``reply_to`` is the turn that most lines of the first level come from, the later one of equals, else the turn before,
+    null for the first one. ``n_linked`` counts the quoted lines that any earlier turn wrote. ``depth`` counts
     replies up to the ``root`` of the thread: (conv, root, depth, turn) is the order by replies. ``text`` is without quoted lines and without the lines that introduce them.
 
     Null texts are empty messages. Repeated rows of one conversation and turn: the same text gives one row; different texts
@@ -93,10 +88,11 @@ def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role
         column(conv_col).alias("conv"), column(turn_col).alias("turn"), column(role_col).alias("role"),
         F.xxhash64(text).alias("key"), unquoted(text).alias("text"),
     )
+    known = F.col("source").isNotNull()
     sums = found.groupBy("conv", "turn", "key").agg(
-        F.max(F.when(F.col("level") == 1, F.col("source"))).alias("source"),
-        F.sum("quoted").alias("n_quoted"),
-        F.sum("linked").alias("n_linked"),
+        F.max(F.when(known & (F.col("level") == 1), F.struct("lines", "source")))["source"].alias("source"),
+        F.sum("lines").alias("n_quoted"),
+        F.sum(F.when(known, F.col("lines")).otherwise(0)).alias("n_linked"),
         F.max("level").alias("deepest"),
     )
     sums = stored(sums, "quote-counts")

@@ -120,6 +120,18 @@ def test_quotes(spark):
     assert quotes.conversations(frame.where("false")).collect() == []
 
 
+def test_a_level_may_quote_several_messages(spark):
+    rows = [
+        (1, 0, "u", "one\ntwo\nthree"), (1, 1, "a", "four\nfive"), (1, 2, "u", "six"),
+        (1, 3, "a", "> four\n> five\nyes\n> one\n> two\n> three\n> seven\n>> six\nno"),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.turn, r.level, r.source, r.lines) for r in quotes.links(quotes.lines(frame)).collect()}
+    assert found == {(3, 1, 0, 3), (3, 1, 1, 2), (3, 1, None, 1), (3, 2, 2, 1)}
+    last = {r.turn: r for r in quotes.conversations(frame).collect()}[3]
+    assert (last.reply_to, last.n_quoted, last.n_linked, last.deepest, last.text) == (0, 7, 6, 2, "yes\nno")
+
+
 def test_quotes_over_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(quotes, "TURNS", 3)
     frame = quotes.quoting(table(spark, SF, "conversations"))
