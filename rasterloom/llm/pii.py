@@ -24,7 +24,11 @@ _PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "context": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
+    # A token with the digit groups that follow it, one space apart, if none of the other kinds can end in between.
+    "context": r"(?<![^\x20\x09-\x0D])(?:"
+    r"[^\x20\x09-\x0D0-9@.]*+[0-9][^\x20\x09-\x0D@.]*+(?<=[0-9])"
+    r"(?:\x20[0-9]++(?:-[0-9]++)*+(?=[^\p{L}\p{N}@\x20\x09-\x0D]*+(?:[\x20\x09-\x0D]|\z)))++"
+    r"|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)",
 }
 _PROBES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "context": "[0-9@]"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -71,7 +75,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, key, kind, start, end, value, before, copies): a row of kind 0 for each text, and all its matches.
 
     Kinds 1 to 4 have passed their tests; kind 5 are tokens of three digits or more, or with an at sign, that overlap
-    none of the others. ``copies`` counts repeated rows of the same id and text.
+    none of the others; digit groups one space apart are one token. ``copies`` counts repeated rows of the same id and text.
     """
     text = F.coalesce(column(text_col), F.lit(""))
     base = docs.select(column(id_col).alias("id"), text.alias("t"))
@@ -120,9 +124,10 @@ def _edges(found: DataFrame) -> DataFrame:
     return rows.groupBy("pattern", "value").agg(F.max("known").alias("known"))
 
 
-def bootstrap(found: DataFrame, rounds: int = 2, support: int = 3, purity: float = 0.5, score: float = 0.7) -> DataFrame:
-    """(value): the values that became known over ``rounds`` rounds.
+def bootstrap(found: DataFrame, rounds: int = 1000, support: int = 3, purity: float = 0.5, score: float = 0.7) -> DataFrame:
+    """(value): the values that became known in rounds, the last of which finds none.
 
+    If ``rounds`` of them all find some, a RuntimeError says so.
     A pattern counts if it holds ``support`` known values and they are at least a ``purity`` of its values, one more
     unknown one added. A value becomes known if the chance that one of its patterns is right reaches ``score``.
     """
@@ -141,7 +146,9 @@ def bootstrap(found: DataFrame, rounds: int = 2, support: int = 3, purity: float
         patterns = patterns.where((F.col("k") >= support) & (F.col("right") >= purity))
         scored = edges.where(~F.col("known")).join(patterns, "pattern").groupBy("value")
         scored = scored.agg((1 - F.exp(F.sum(F.log1p(-F.col("right"))))).alias("score"))
-        fresh = scored.where(F.col("score") >= score).select("value", F.lit(True).alias("fresh"))
+        fresh = stored(scored.where(F.col("score") >= score).select("value", F.lit(True).alias("fresh")), "pii-fresh")
+        if not fresh.limit(1).count():
+            break
         edges = edges.join(fresh, "value", "left").select(
             "pattern",
             "value",
@@ -149,6 +156,8 @@ def bootstrap(found: DataFrame, rounds: int = 2, support: int = 3, purity: float
             (F.col("new") | F.coalesce("fresh", F.lit(False))).alias("new"),
         )
         edges = stored(edges, "pii-graph")
+    else:
+        raise RuntimeError(f"values are still being found after {rounds} rounds")
     return edges.where("new").select("value").distinct()
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rasterloom.llm import pii
@@ -73,6 +74,29 @@ def test_contexts_find_unseen_identifiers(spark):
     assert clean[12] == "please reach account holder <CONTEXT> today" and clean[0] == "please reach account holder <EMAIL> today"
 
 
+def test_contexts_go_on_until_a_round_finds_none(spark):
+    places = ["red alpha", "blue beta", "pink gamma", "gray delta"]
+    chain = [[f"u{i}@mail.org" for i in range(40)], *([f"{c}-{1000 + i}" for i in range(n)] for c, n in zip("pqrs", (20, 10, 4, 1), strict=True))]
+    texts = [f"{places[k]} {v} ok" for k in range(4) for v in chain[k] + chain[k + 1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.occurrences(docs)
+    assert {r.value for r in pii.bootstrap(found).collect()} == {v for part in chain[1:] for v in part}
+    with pytest.raises(RuntimeError):
+        pii.bootstrap(found, rounds=2)
+
+
+def test_identifiers_in_groups(spark):
+    known = [f"please reach account holder user{i}@mail.org today" for i in range(12)]
+    unseen = ["please reach account holder 1234 5678 9012 today", "please reach account holder AC-77 123-4 9.", "account holder 1234 2nd"]
+    apart = ["account holder 1.2.3.4 5678 x", "account holder 12345 1.2.3.4 x", "holder a@b.c1 5678 9 x", "account holder 12345 77@b.c"]
+    docs = spark.createDataFrame(list(enumerate(known + unseen + apart)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert [clean[i] for i in (12, 13, 14)] == ["please reach account holder <CONTEXT> today", "please reach account holder <CONTEXT>.", "account holder <CONTEXT> 2nd"]
+    assert [clean[i] for i in (16, 18)] == ["account holder <CONTEXT> <IP> x", "account holder <CONTEXT> <EMAIL>"]
+    found = {(r.id, r.value) for r in pii.occurrences(docs).where("kind = 5").collect() if r.id > 14}
+    assert found == {(15, "5678"), (16, "12345"), (17, "5678 9"), (18, "12345")}
+
+
 def test_redaction_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "x 1.2.3.4 y a@b.c", 7), (2, None, 8), (3, "plain", 9)], "doc_id long, text string, __cut_no int")
     rows = {r.doc_id: r for r in pii.redact(docs).collect()}
