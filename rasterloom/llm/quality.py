@@ -28,6 +28,8 @@ SAMPLE = 10_000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 128, 0.01
 #: The mean of so few words is drawn halfway to that of the sample; without words a text is as the sample's mean.
 SHRINK = 8
+#: Longer tokens, as in texts without white space, are cut into pieces, each with its own word and its whole shape.
+LONG, PIECE = 64, 8
 _TOKENS = 1 << 16
 _KNOWN = 1 << 18
 
@@ -61,7 +63,7 @@ class Terms(dict):
             shape = kind if core == token else token.replace(core, kind, 1)
         else:
             word = "".join(_CORE.findall(token)).lower()
-            shape = token[:64]  # what follows does not change what a token looks like; its word is whole
+            shape = token
             for run, sign in _RUNS:
                 shape = run.sub(sign, shape)
         self[token] = found = _bucket("w" + word) * BUCKETS * BUCKETS + _shape_code(shape)
@@ -78,6 +80,8 @@ def _shape_code(shape: str) -> int:
 def token_terms(text: str, known: Terms) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of words and of shapes of a text, in parts of bounded length."""
     tokens, last = text.split(), -1
+    if max(map(len, tokens), default=0) > LONG:
+        tokens = [p for t in tokens for p in ([t] if len(t) <= LONG else [t[i : i + PIECE] for i in range(0, len(t), PIECE)])]
     for low in range(0, len(tokens), _TOKENS):
         part = tokens[low : low + _TOKENS]
         codes = np.fromiter(map(known.__getitem__, part), np.int64, len(part))

@@ -63,6 +63,19 @@ def test_word_vectors_cover_all_texts(spark):
     assert np.allclose(vectors, want / np.where(norm > 0, norm, 1), atol=1e-6)
 
 
+def test_every_character_of_a_long_token_enters():
+    """Changes anywhere in a text without white space change its shapes, whatever its word vectors."""
+    none = np.zeros((quality.BUCKETS, quality.DIMS), np.float32)
+    text = "aB3+" * 60
+    base = quality.pool(text, none, quality.Terms())
+    for i in range(len(text)):
+        other = quality.pool(text[:i] + "=" + text[i + 1 :], none, quality.Terms())
+        assert not np.allclose(base, other), i
+    short = "x" * quality.LONG
+    assert len(next(quality.token_terms(short, quality.Terms()))[0]) == 1
+    assert len(next(quality.token_terms(short + "y plain", quality.Terms()))[0]) == 10
+
+
 def test_ordinal_fit():
     drawn = np.random.default_rng(0)
     x = drawn.normal(size=(3000, 4))
