@@ -8,6 +8,7 @@ from rasterloom.llm.bpe import encode_decode
 from rasterloom.llm.common import table, vocabulary
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.hnsw import nearest
+from rasterloom.llm.lexical import search
 from rasterloom.llm.pii import find
 from rasterloom.llm.quality import score, train
 from rasterloom.llm.quotes import conversations, quoting
@@ -77,6 +78,11 @@ def op10_pii(spark, sf_dir):
     return find(table(spark, sf_dir, "documents")).drop("n_context")
 
 
+def op13_lexical(spark, sf_dir):
+    """The 50 documents that score highest for each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op13_lexical": op13_lexical,
 }
 
 _WORDS = (
@@ -95,6 +102,8 @@ _WORDS = (
     " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 
 def _url_sql(depth: int) -> str:
@@ -166,4 +175,18 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
         FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op13_lexical": f"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS w FROM documents),
+        c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+        i AS (SELECT row_number() OVER () AS k, item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+        p AS (SELECT k, doc_id, n, term, count(*)::BIGINT AS tf
+              FROM (SELECT k, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) SEMI JOIN i USING (term) GROUP BY ALL),
+        t AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+              FROM p, c GROUP BY term),
+        s AS (SELECT i.k AS item, item_id, p.k, doc_id,
+                     sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+              FROM i JOIN t USING (term) JOIN p USING (term), c WHERE doc_id IS NOT NULL GROUP BY ALL)
+        SELECT item_id, rank::INT AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        WHERE rank <= 50""",
 }
