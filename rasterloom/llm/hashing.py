@@ -12,16 +12,21 @@ _FIRST, _SECOND, _SHIFT = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A8
 
 
 class Hashes(dict):
-    """XXH64 of words (bytes). It forgets all of them when it holds ``HELD``; longer words are hashed each time."""
+    """XXH64 of words (bytes), but for ``fixed`` ones.
 
-    def __init__(self, seed: int = 42):
-        self.seed = seed
+    It forgets all others when it holds ``HELD``; longer words are hashed each time.
+    """
+
+    def __init__(self, seed: int = 42, fixed: dict[bytes, int] | None = None):
+        super().__init__(fixed or {})
+        self.seed, self.fixed = seed, fixed or {}
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word, self.seed)
         if len(word) <= HELD_BYTES:
             if len(self) >= HELD:
                 self.clear()
+                self.update(self.fixed)
             self[word] = value
         return value
 

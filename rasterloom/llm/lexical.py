@@ -39,7 +39,7 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode().translate(_TERM_BYTES).split() if text else []
 
 
-def _item_terms(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+def _item_terms(items: DataFrame, item_id: str, item_text: str, size: int) -> DataFrame:
     """(bundle, slot, item, term): each distinct term of each row of ``items``."""
     rows = items.select(column(item_id).alias("item"), column(item_text).alias("text"))
     schema = pa.schema([("item", to_arrow_type(rows.schema["item"].dataType)), ("row", pa.int64()), ("terms", pa.list_(pa.string()))])
@@ -55,11 +55,11 @@ def _item_terms(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     found = rows.mapInArrow(run, f"item {kind}, row long, terms array<string>")
     # Bundles are runs of rows of one task: no numbering over all items is needed.
     place = F.spark_partition_id().cast("long") * (1 << 40) + F.col("row")
-    found = found.select((place - F.pmod(place, F.lit(BUNDLE))).alias("bundle"), F.pmod(place, F.lit(BUNDLE)).cast("int").alias("slot"), "item", "terms")
+    found = found.select((place - F.pmod(place, F.lit(size))).alias("bundle"), F.pmod(place, F.lit(size)).cast("int").alias("slot"), "item", "terms")
     return stored(found, "item-terms").select("bundle", "slot", "item", F.explode("terms").alias("term"))
 
 
-def postings(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def postings(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHARD) -> DataFrame:
     """Posting lists by shard, for the terms of ``wanted`` (term).
 
     A row without a term describes a shard: the ids of its documents in ascending order, the number of terms of each
@@ -71,8 +71,8 @@ def postings(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     schema = pa.schema([("shard", pa.int64()), ("term", pa.string()), ("ids", pa.list_(to_arrow_type(rows.schema["id"].dataType))),
                         ("doc", pa.binary()), ("tf", pa.binary()), ("n", pa.int64()), ("holding", pa.int64())])
-    size = wanted.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
-    parts = max(1, -(-size // VOCABULARY_BYTES))
+    held = wanted.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    parts = max(1, -(-held // VOCABULARY_BYTES))
 
     def scan(part: int) -> DataFrame:
         own = wanted.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == part)
@@ -80,20 +80,20 @@ def postings(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_co
         shared = docs.sparkSession.sparkContext.broadcast(names)
         kind = rows.schema["id"].dataType.simpleString()
         out = f"shard long, term string, ids array<{kind}>, doc binary, tf binary, n long, holding long"
-        found = rows.mapInArrow(partial(_shards, shared, schema, part == 0), out)
+        found = rows.mapInArrow(partial(_shards, shared, schema, part == 0, size), out)
         # A task counts its shards from 0; with the number of the scan's partition they are unique, in each scan the same.
         return found.withColumn("shard", F.spark_partition_id().cast("long") * (1 << 32) + F.col("shard"))
 
     return stored(reduce(DataFrame.unionAll, map(scan, range(parts))), "postings")
 
 
-def _shards(shared, schema: pa.Schema, describe: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(shared, schema: pa.Schema, describe: bool, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = shared.value
     known = {name.encode(): i for i, name in enumerate(names)}
     shard = 0
     for block in blocks(batches):
-        for low in range(0, block.num_rows, SHARD):
-            cut = block.slice(low, SHARD)
+        for low in range(0, block.num_rows, size):
+            cut = block.slice(low, size)
             ids, texts = cut.column("id").to_pylist(), cut.column("text").to_pylist()
             order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, 0 if ids[i] is None else ids[i]))
             lengths, found = np.zeros(len(ids), np.int64), []
@@ -117,16 +117,16 @@ def _shards(shared, schema: pa.Schema, describe: bool, batches: Iterator[pa.Reco
 
 
 def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           item_id: str = "item_id", item_text: str = "text", top: int = TOP) -> DataFrame:
+           item_id: str = "item_id", item_text: str = "text", top: int = TOP, bundle: int = BUNDLE, shard: int = SHARD) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` highest-scoring documents of each row of ``items``.
 
     Equal scores rank by ascending id. Null, empty and separator-only texts have no terms: such documents are never
     found, such items find nothing. Documents without an id count in all statistics, but are not returned. Repeated
     documents each take a rank, repeated items each get their rows. Empty tables give no rows. Only the named columns
-    are read.
+    are read. A bundle holds ``bundle`` items, a shard ``shard`` documents and no more text than a block.
     """
-    asked = _item_terms(items, item_id, item_text)
-    lists = postings(docs, asked.select("term").distinct(), id_col, text_col)
+    asked = _item_terms(items, item_id, item_text, bundle)
+    lists = postings(docs, asked.select("term").distinct(), id_col, text_col, shard)
     shards = lists.where("term is null")
     n_docs, n_terms = (x or 0 for x in shards.agg(F.sum("holding"), F.sum("n")).first())
     known = lists.where("term is not null").groupBy("term").agg(F.sum("holding").alias("df"), F.max("n").alias("tf"))
@@ -158,7 +158,7 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 def _stage(stage: int, n_docs: int, n_terms: int, top: int, state: pa.Table, lists: pa.Table) -> pa.Table:
     """Adds the contributions of the stage's posting lists to the scores of one bundle in one shard.
 
-    All arrays are bounded by ``BUNDLE`` times ``SHARD``.
+    All arrays are bounded by the items of a bundle times the documents of a shard.
     """
     row = state.slice(0, 1).combine_chunks()
     length = np.frombuffer(row.column("lengths")[0].as_py(), np.int64)

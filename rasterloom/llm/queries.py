@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.llm.bpe import encode_decode
+from rasterloom.llm.collocations import collocations
 from rasterloom.llm.common import table, vocabulary
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.hnsw import nearest
@@ -78,6 +79,11 @@ def op10_pii(spark, sf_dir):
     return find(table(spark, sf_dir, "documents")).drop("n_context")
 
 
+def op12_collocations(spark, sf_dir):
+    """The 2,000 phrases of two or three words that stick together most, for each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical(spark, sf_dir):
     """The 50 documents that score highest for each benchmark item."""
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op12_collocations": op12_collocations,
     "op13_lexical": op13_lexical,
 }
 
@@ -175,6 +182,26 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
         FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op12_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(piece, '[ \\t]+') AS w
+                   FROM (SELECT lang, trim(unnest(string_split_regex({_LOWER}, '[.,;:!?\\n\\x0B\\f\\r]')), chr(32) || chr(9)) AS piece FROM documents)
+                   WHERE piece <> ''),
+        s AS (SELECT lang, k, w[i:i + k - 1] AS g
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, g, count(*)::BIGINT AS n FROM s GROUP BY ALL),
+        t AS (SELECT lang, sum(n)::BIGINT AS total FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT * FROM f WHERE k > 1 AND n >= 10),
+        u AS (SELECT c.lang, c.g, c.n AS a, x.n AS l, y.n AS r, x.k AS cut,
+                     (1000000::HUGEINT * c.n * c.n // (x.n::HUGEINT * y.n))::BIGINT AS score
+              FROM c JOIN f AS x ON x.lang = c.lang AND x.k < c.k AND x.g = c.g[1:x.k]
+                     JOIN f AS y ON y.lang = c.lang AND y.k = c.k - x.k AND y.g = c.g[x.k + 1:c.k]),
+        b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+        h AS (SELECT lang, part, max(n) AS most FROM (SELECT lang, n, unnest([g[1:2], g[2:3]]) AS part FROM c WHERE k = 3) GROUP BY ALL),
+        o AS (SELECT b.lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM b LEFT JOIN h ON h.lang = b.lang AND h.part = b.g
+              WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT lang, rank::INT AS rank, phrase, a, l, r, total AS n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o) JOIN t USING (lang)
+        WHERE rank <= 2000""",
     "op13_lexical": f"""
         WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS w FROM documents),
         c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),

@@ -46,13 +46,11 @@ ITEMS = [(1, "W1, w2 w3!"), (2, "w59 w58 É É日本"), (3, None), (4, "--"), (5
 
 @pytest.mark.parametrize(("shard", "bundle", "limit"), [(8192, 256, 1 << 25), (16, 2, 1 << 25), (50, 3, 128)])
 def test_against_loops(spark, monkeypatch, shard, bundle, limit):
-    monkeypatch.setattr(lexical, "SHARD", shard)
-    monkeypatch.setattr(lexical, "BUNDLE", bundle)
     monkeypatch.setattr(lexical, "VOCABULARY_BYTES", limit)
     docs = corpus(400)
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).withColumns({c: F.lit(1) for c in ("term", "shard", "id", "item", "score", "rank")})
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumns({c: F.lit(1) for c in ("term", "bundle", "slot")})
-    got = lexical.search(table, items)
+    got = lexical.search(table, items, bundle=bundle, shard=shard)
     assert got.columns == ["item_id", "rank", "doc_id", "score"]
     assert sorted(map(tuple, got.collect()), key=str) == plain(docs, ITEMS)
 
