@@ -9,6 +9,7 @@ from rasterloom.llm.collocations import collocations
 from rasterloom.llm.common import table, vocabulary
 from rasterloom.llm.decontaminate import contamination
 from rasterloom.llm.hnsw import nearest
+from rasterloom.llm.jaccard import similar
 from rasterloom.llm.lexical import search
 from rasterloom.llm.pii import find
 from rasterloom.llm.quality import score, train
@@ -79,6 +80,11 @@ def op10_pii(spark, sf_dir):
     return find(table(spark, sf_dir, "documents")).drop("n_context")
 
 
+def op11_jaccard(spark, sf_dir):
+    """Number of shingles and component of like shingle sets of every document."""
+    return similar(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark, sf_dir):
     """The 2,000 phrases of two or three words that stick together most, for each language."""
     return collocations(table(spark, sf_dir, "documents"))
@@ -100,6 +106,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op11_jaccard": op11_jaccard,
     "op12_collocations": op12_collocations,
     "op13_lexical": op13_lexical,
 }
