@@ -6,12 +6,15 @@ asks for more matches before a pair is looked at.
 
 1. Equal sets are one class. In the order of hashes, each set sends a prefix that asks for a tenth of it; a class that
    does not meet enough of its prefix in other classes has no partner and is done.
-2. The others are linked with the smallest class of their min-hash group, two groups each. Most copies of a text become
-   one component here, without pairs among them.
-3. What may still link lies in different components. Shingles that one component holds alone come first in the order, the
-   others by the number of classes that hold them. Each class picks the length of its prefix by the estimated cost: the
-   classes met on its shingles, times a verification for every ``l`` of them. Pairs of different components that share
-   enough prefix shingles are verified.
+2. The others are numbered by how much of their prefix others hold, the most common text first, and linked with the first
+   class of their min-hash group. Most copies of a text become one component here, without pairs among them.
+3. Each class that is like the most common one its groups lead to, the pivot, is described by what it lacks and adds, its
+   differences. A class too far from the pivot to be linked with it shares half the differences, about, of any class it
+   links to, so the rarest half of these finds all such pairs, and the differences verify them.
+4. What may still link lies with different pivots, in different units. Shingles that one unit holds alone come first in the order, the others by
+   the number of classes that hold them. Each class picks the length of its prefix by the estimated cost: the classes met
+   on its shingles, times a verification for every ``l`` of them. Pairs of different units that share enough prefix
+   shingles are verified.
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ from rasterloom.llm.hashing import Hashes, chained, mixed
 SHINGLE, SHARE = 5, 80
 #: In the first order a set of n shingles asks for n / TENTH matches.
 TENTH = 10
-#: Min-hash groups in which copies are linked with one class; most matches that a prefix asks for.
-GROUPS, MATCHES = 2, 8
+#: Min-hash groups in which copies are linked with one class, and in which they look for a pivot; most matches that a prefix asks for.
+LED, GROUPS, MATCHES = 2, 4, 16
+#: Hundredths of the union that a class shares with its pivot at least, to be described by it.
+PIVOT = 50
 #: Prefix shingles that a task compares, at 12 bytes each.
 COMPARED = 1 << 21
 #: Stand for two classes of a block that share a shingle.
@@ -143,7 +148,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(c, key, n, shingles, groups) of the classes whose document is ``chosen`` (id, text)."""
+    """(c, key, n, shingles, groups) of the classes whose document is ``chosen`` (key, id, text, rarity).
+
+    ``c`` numbers the classes by rarity, from 0 to 127, then in any order.
+    """
     text = F.coalesce(column(text_col), F.lit(""))
     rows = docs.select(column(id_col).alias("own_id"), text.alias("own_text"))
     same = F.col("own_id").eqNullSafe(F.col("id")) & (F.xxhash64("own_text") == F.col("text"))
@@ -163,7 +171,9 @@ def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingl
         yield from emit(schema, each())
 
     found = rows.mapInArrow(run, "key binary, n long, shingles array<long>, groups array<long>").dropDuplicates(["key"])
-    return stored(found.withColumn("c", F.monotonically_increasing_id()), "sets")
+    rarity = F.shiftleft(F.coalesce("rarity", F.lit(127)).cast("long"), 54)
+    found = found.join(chosen.select("key", "rarity").dropDuplicates(["key"]), "key", "left")
+    return stored(found.withColumn("c", rarity + F.monotonically_increasing_id()).drop("rarity"), "sets")
 
 
 def _similar(share: int) -> Column:
@@ -189,45 +199,121 @@ def _led(sets: DataFrame, group: int, share: int) -> DataFrame:
     return pairs.where(_similar(share)).select(F.col("c").alias("a"), "b")
 
 
+def _pivoted(sets: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of classes with their pivots, and (c, pivot, n, other_n, far, away) of those like their pivot.
+
+    ``away`` are the shingles that a class adds to its pivot, and the complements of those that it lacks: ``far`` of them.
+    """
+    own = sets.select("c", "component", F.posexplode("groups").alias("i", "g"))
+    # The first class of a component is its number.
+    led = stored(own.groupBy("i", "g").agg(F.min("component").alias("pivot")), "pivots")
+    led = stored(own.join(led, ["i", "g"]).groupBy("c").agg(F.min("pivot").alias("pivot")), "pivots")
+    heads = sets.select(F.col("c").alias("pivot"), F.col("n").alias("other_n"), F.col("shingles").alias("other"))
+    both = sets.select("c", "component", "n", "shingles").join(led, "c").join(heads, "pivot")
+    shared = F.size(F.array_intersect("shingles", "other"))
+    near = 100 * shared >= PIVOT * (F.col("n") + F.col("other_n") - shared)
+    away = F.concat(F.array_except("shingles", "other"), F.transform(F.array_except("other", "shingles"), F.bitwise_not))
+    both = stored(both.where(near).select("c", "component", "pivot", "n", "other_n", away.alias("away")), "pivoted").withColumn("far", F.size("away"))
+    new = ~_too_far("far", "n", "other_n", share) & (F.col("component") != F.col("pivot"))
+    return both.where(new).select(F.col("c").alias("a"), F.col("pivot").alias("b")), both.drop("component")
+
+
+def _too_far(far: str, n: str, other_n: str, share: int) -> Column:
+    """Whether sets of two sizes that differ by ``far`` shingles share too little."""
+    return F.expr(f"{100 + share} * ({far}) > {100 - share} * ({n} + {other_n})")
+
+
+_APART = "far + other_far - 2 * size(array_intersect(away, other))"
+
+
+def _led_away(sets: DataFrame, pivoted: DataFrame, seed: int, share: int) -> DataFrame:
+    """Links (a, b) between classes of one pivot with the same least differing shingle, and the first of them."""
+    known = pivoted.join(sets.select("c", "component"), "c")
+    own = known.withColumn("g", F.array_min(F.transform("away", lambda h: F.xxhash64(h, F.lit(seed))))).where("g is not null")
+    led = own.groupBy("pivot", "g").agg(F.min("c").alias("b"), F.min_by("component", "c").alias("led"), F.min("component").alias("low"), F.max("component").alias("high"))
+    led = stored(led.where("low != high").select("pivot", "g", "b", "led"), "led")
+    heads = led.join(pivoted.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("far").alias("other_far"), F.col("away").alias("other")), "b")
+    pairs = own.drop("other_n").join(heads, ["pivot", "g"]).where("component != led")
+    return pairs.where(~_too_far(_APART, "n", "other_n", share)).select(F.col("c").alias("a"), "b")
+
+
+def _within(sets: DataFrame, pivoted: DataFrame, share: int) -> DataFrame:
+    """Links (a, b) between classes of one pivot and different components.
+
+    Let x and y be f and g shingles away from their pivot, of size p, and d shingles apart; they share (f + g - d) / 2 of
+    these differences. With k = (100 - share) / (100 + share), x and y link if d <= k (|x| + |y|). One of them, say x, is not
+    linked with the pivot: f > k (|x| + p). So they share at least (g + k (p - |y|)) / 2 of the differences of y.
+    """
+    known = pivoted.join(sets.select("c", "component"), "c").withColumn("open", _too_far("far", "n", "other_n", share))
+    rows = known.select("c", "component", "pivot", "open", "n", "other_n", "far", F.explode("away").alias("h"))
+    held = rows.groupBy("pivot", "h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("df"))
+    held = stored(held.where("low != high").select("pivot", "h", "df"), "held")
+    least = f"greatest(1, ({100 + share} * far + {100 - share} * (other_n - n) + {2 * (100 + share) - 1}) div {2 * (100 + share)})"
+    first = rows.join(held, ["pivot", "h"]).groupBy("c", "component", "pivot", "open", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "h"))).alias("all"), F.first(F.expr(least)).alias("least"))
+    place = F.posexplode("all").alias("at", "x")
+    first = first.select("c", "component", "pivot", "open", "n", (F.size("all") - F.col("least")).alias("last"), place)
+    first = first.select("c", "component", "pivot", "open", "n", "x.h", (F.col("at") <= F.col("last")).alias("rare"))
+    first = stored(first.where("open or rare"), "differences")
+    a = first.where("rare").select("pivot", "h", F.col("c").alias("a"), F.col("component").alias("of_a"), F.col("open").alias("open_a"))
+    b = first.where("open").select("pivot", "h", F.col("c").alias("b"), F.col("component").alias("of_b"), "rare")
+    pairs = a.join(b, ["pivot", "h"]).where("of_a != of_b and (not open_a or rare and a < b)").select("a", "b").distinct()
+    pairs = pairs.join(known.select(F.col("c").alias("a"), "n", "far", "away"), "a")
+    pairs = pairs.join(known.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("far").alias("other_far"), F.col("away").alias("other")), "b")
+    return pairs.where(~_too_far(_APART, "n", "other_n", share)).select("a", "b")
+
+
 def _prefixes(sets: DataFrame, share: int) -> DataFrame:
-    """(h, c, component, n, l): the prefix shingles of each set that other components hold too, ``l`` the matches asked."""
-    rows = sets.select("c", "component", "n", F.explode("shingles").alias("h"))
-    held = rows.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("df"))
+    """(h, c, component, unit, n, l): the prefix shingles of each set that other units hold too, ``l`` the matches asked."""
+    rows = sets.select("c", "component", "unit", "n", F.explode("shingles").alias("h"))
+    held = rows.groupBy("h").agg(F.min("unit").alias("low"), F.max("unit").alias("high"), F.count(F.lit(1)).alias("df"))
     held = stored(held.where("low != high").select("h", "df"), "shared")
-    own = rows.join(held, "h").groupBy("c").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.collect_list(F.struct("df", "h")).alias("all"))
+    own = rows.join(held, "h").groupBy("c").agg(F.first("component").alias("component"), F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list(F.struct("df", "h")).alias("all"))
     own = own.withColumn("spare", F.size("all") - F.expr(f"({share} * n + 99) div 100")).where("spare >= 0")
     cost = "struct(aggregate(slice(all, 1, cast(spare + l AS INT)), 0D, (s, x) -> s + x.df - 1) * (1 + n / l) AS cost, l AS l)"
     own = own.withColumn("all", F.array_sort("all"))
     own = own.withColumn("l", F.expr(f"array_min(transform(sequence(1, least({MATCHES}, cast(n - {100 - share} * n div 100 AS INT))), l -> {cost})).l"))
-    own = own.select("c", "component", "n", "l", F.explode(F.expr("slice(all, 1, cast(spare + l AS INT))")).alias("x"))
-    return stored(own.select("x.h", "c", "component", "n", "l"), "prefixes")
+    own = own.select("c", "component", "unit", "n", "l", F.explode(F.expr("slice(all, 1, cast(spare + l AS INT))")).alias("x"))
+    return stored(own.select("x.h", "c", "component", "unit", "n", "l"), "prefixes")
 
 
 def _candidates(prefixes: DataFrame, share: int) -> DataFrame:
-    """(a, b): the classes of different components that share as many prefix shingles as the less demanding one asks.
+    """(a, b): classes of different units and components that share as many prefix shingles as the less demanding one asks.
 
-    The component with most classes on a shingle is never paired with itself, so a shingle of many copies and few others
+    A prefix that asks for l matches of sets that share ``overlap`` asks for as many more as the two sizes make them share.
+    The unit with most classes on a shingle is never paired with itself, so a shingle of many copies and few others
     costs their product.
     """
-    counts = prefixes.groupBy("h", "component").agg(F.count(F.lit(1)).alias("many"))
-    major = counts.groupBy("h").agg(F.max_by("component", F.struct("many", "component")).alias("major"), F.count(F.lit(1)).alias("apart"))
+    counts = prefixes.groupBy("h", "unit").agg(F.count(F.lit(1)).alias("many"))
+    major = counts.groupBy("h").agg(F.max_by("unit", F.struct("many", "unit")).alias("major"), F.count(F.lit(1)).alias("apart"))
     major = stored(major.where("apart > 1").select("h", "major"), "major")
-    known = stored(prefixes.join(major, "h"), "prefixes")
-    a = known.where("component != major").select("h", F.col("c").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("l").alias("l_a"))
-    b = known.select("h", F.col("c").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"), F.col("l").alias("l_b"), "major")
+    known = stored(prefixes.join(major, "h"), "prefixes").withColumn("more", F.expr(f"l - ({share} * n + 99) div 100"))
+    fields = {"c": "{}", "component": "of_{}", "unit": "in_{}", "n": "n_{}", "more": "more_{}"}
+    a, b = (known.select("h", "major", *(F.col(f).alias(t.format(x)) for f, t in fields.items())) for x in "ab")
+    a = a.where("in_a != major").drop("major")
     near = 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
-    met = a.join(b, "h").where("of_a != of_b and (of_b = major or a < b)").where(near)
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("l_a", "l_b").alias("l"))
+    met = a.join(b, "h").where("in_a != in_b and of_a != of_b and (in_b = major or a < b)").where(near)
+    both = F.expr(f"({share} * (n_a + n_b) + {99 + share}) div {100 + share}")  # what sets of these sizes share at least
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (both + F.least("more_a", "more_b")).alias("l"))
     return stored(met.groupBy("a", "b", "l").count().where("count >= l").select("a", "b"), "candidates")
 
 
 def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(a, b): verified links between classes (c, n, shingles, groups) that connect all that any link would connect."""
     found = None
-    for group in range(GROUPS):
+    for group in range(LED):
         own = stored(_led(_component(sets, found), group, share), "pairs")
         found = own if found is None else stored(found.unionAll(own), "pairs")
-    own = _candidates(_prefixes(stored(_component(sets, found).drop("groups", "key"), "sets"), share), share)
+    own, pivoted = _pivoted(_component(sets, found), share)
+    found = stored(found.unionAll(own), "pairs")
+    for seed in range(LED):
+        own = _led_away(_component(sets, found).select("c", "component"), pivoted, seed, share)
+        found = stored(found.unionAll(own), "pairs")
+    found = stored(found.unionAll(_within(_component(sets, found).select("c", "component"), pivoted, share)), "pairs")
+    units = _component(sets, found).drop("groups", "key").join(pivoted.select("c", "pivot"), "c", "left")
+    # Units of pivots are odd, those of components even.
+    units = units.withColumn("unit", F.coalesce(2 * F.col("pivot") + 1, 2 * F.col("component"))).drop("pivot")
+    own = _candidates(_prefixes(stored(units, "sets"), share), share)
     own = own.join(sets.select(F.col("c").alias("a"), "n", "shingles"), "a")
     own = own.join(sets.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("shingles").alias("other")), "b")
     return stored(found.unionAll(own.where(_similar(share)).select("a", "b")), "pairs")
@@ -248,7 +334,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     matches = found.where("matches is not null").groupBy("short").agg(F.sum("matches").alias("matches"))
     # A partner has at least as many shingles as it must share, and may ask for no more than a tenth of these.
     asked = F.expr(f"greatest(1, ({share} * n + 99) div 100 div {TENTH})")
-    chosen = classes.join(matches, "short").where(F.col("matches") >= asked).select("own.id", "own.text")
+    prefix = F.expr(f"n - ({share} * n + 99) div 100 + greatest(1, n div {TENTH})")
+    rarity = F.least(F.greatest(127 - F.floor(127 * F.col("matches") / prefix), F.lit(0)), F.lit(127)).alias("rarity")
+    chosen = stored(classes.join(matches, "short").where(F.col("matches") >= asked).select("key", "own.id", "own.text", rarity), "chosen")
     sets = _sets(docs, chosen, id_col, text_col, shingle)
     roots = components(links(sets, share))
     named = classes.select("key", "first").join(sets.select("key", "c"), "key", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")

@@ -49,6 +49,12 @@ def corpus(seed, n):
             if drawn.random() < 0.3:
                 own = own[drawn.randint(0, len(own) // 10) :]
             docs.append((next(at), drawn.choice([" ".join(own), "\n".join(own).upper()])))
+    base = drawn.choices(words, k=150)  # a text, its near copies, and copies just too far from all
+    for i in range(60):
+        own = list(base)
+        for k in drawn.sample(range(150), [0, 1, 2, 3, 4, 5][i % 6]):
+            own[k] = drawn.choice([f"u{i}-{k}", f"u{i}-{k}", f"u{k}"])
+        docs.append((next(at), " ".join(own)))
     chain = drawn.choices(words, k=300)  # each is near the next, the ends are not
     docs += [(next(at), " ".join(chain[i * 10 : 200 + i * 10])) for i in range(10)]
     return docs + [(next(at), None), (next(at), ""), (next(at), " \n"), (None, docs[0][1]), (docs[3][0], docs[3][1]), (docs[4][0], "other"), (None, "alone here"), (next(at), "w1 " * 50_000), (next(at), "x\x1cy"), (next(at), "x y")]
@@ -74,8 +80,8 @@ def test_prefixes_alone_find_all(spark):
     """Without the groups that link copies ahead, the prefixes must find every link."""
     docs = [(i, t) for i, (_, t) in enumerate(corpus(7, 80)) if t and t.split()]
     table = spark.createDataFrame(docs, "doc_id long, text string")
-    sets = jaccard._sets(table, table.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")), "doc_id", "text", 5)
-    apart = jaccard._component(sets, None)
+    sets = jaccard._sets(table, table.select(F.lit(b"").alias("key"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.lit(1).alias("rarity")), "doc_id", "text", 5)
+    apart = jaccard._component(sets, None).withColumn("unit", F.col("c"))
     found = {tuple(r) for r in jaccard._candidates(jaccard._prefixes(apart, 80), 80).collect()}
     held = {r.c: set(r.shingles) for r in sets.collect()}
     want = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 80 * len(held[a] | held[b])}
