@@ -242,22 +242,27 @@ def _within(sets: DataFrame, pivoted: DataFrame, share: int) -> DataFrame:
 
     Let x and y be f and g shingles away from their pivot, of size p, and d shingles apart; they share (f + g - d) / 2 of
     these differences. With k = (100 - share) / (100 + share), x and y link if d <= k (|x| + |y|). One of them, say x, is not
-    linked with the pivot: f > k (|x| + p). So they share at least (g + k (p - |y|)) / 2 of the differences of y.
+    linked with the pivot: f > k (|x| + p). So they share at least (g + k (p - |y|)) / 2 of the differences of y, ``least``.
+    All but ``least`` - 1 of these are looked up, so a pair that must share more shares as many more of those looked up.
     """
     known = pivoted.join(sets.select("c", "component"), "c").withColumn("open", _too_far("far", "n", "other_n", share))
     rows = known.select("c", "component", "pivot", "open", "n", "other_n", "far", F.explode("away").alias("h"))
     held = rows.groupBy("pivot", "h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("df"))
     held = stored(held.where("low != high").select("pivot", "h", "df"), "held")
     least = f"greatest(1, ({100 + share} * far + {100 - share} * (other_n - n) + {2 * (100 + share) - 1}) div {2 * (100 + share)})"
-    first = rows.join(held, ["pivot", "h"]).groupBy("c", "component", "pivot", "open", "n").agg(
+    first = rows.join(held, ["pivot", "h"]).groupBy("c", "component", "pivot", "open", "n", "far").agg(
         F.array_sort(F.collect_list(F.struct("df", "h"))).alias("all"), F.first(F.expr(least)).alias("least"))
     place = F.posexplode("all").alias("at", "x")
-    first = first.select("c", "component", "pivot", "open", "n", (F.size("all") - F.col("least")).alias("last"), place)
-    first = first.select("c", "component", "pivot", "open", "n", "x.h", (F.col("at") <= F.col("last")).alias("rare"))
+    first = first.select("c", "component", "pivot", "open", "n", "far", "least", (F.size("all") - F.col("least")).alias("last"), place)
+    first = first.select("c", "component", "pivot", "open", "n", "far", "least", "x.h", (F.col("at") <= F.col("last")).alias("rare"))
     first = stored(first.where("open or rare"), "differences")
-    a = first.where("rare").select("pivot", "h", F.col("c").alias("a"), F.col("component").alias("of_a"), F.col("open").alias("open_a"))
-    b = first.where("open").select("pivot", "h", F.col("c").alias("b"), F.col("component").alias("of_b"), "rare")
-    pairs = a.join(b, ["pivot", "h"]).where("of_a != of_b and (not open_a or rare and a < b)").select("a", "b").distinct()
+    sizes = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("component", "open", "n", "far", "least")]
+    a = first.where("rare").select("pivot", "h", F.col("c").alias("a"), *sizes("a"))
+    b = first.where("open").select("pivot", "h", F.col("c").alias("b"), *sizes("b"), "rare")
+    pairs = a.join(b, ["pivot", "h"]).where("component_a != component_b and (not open_a or rare and a < b)")
+    both = f"({100 + share} * (far_a + far_b) - {100 - share} * (n_a + n_b) + {2 * (100 + share) - 1}) div {2 * (100 + share)}"
+    need = F.expr(f"{both} - if(open_a, greatest(least_a, least_b), least_a) + 1")
+    pairs = pairs.groupBy("a", "b", need.alias("need")).count().where("count >= need").select("a", "b")
     pairs = pairs.join(known.select(F.col("c").alias("a"), "n", "far", "away"), "a")
     pairs = pairs.join(known.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("far").alias("other_far"), F.col("away").alias("other")), "b")
     return pairs.where(~_too_far(_APART, "n", "other_n", share)).select("a", "b")
@@ -341,8 +346,10 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     roots = components(links(sets, share))
     named = classes.select("key", "first").join(sets.select("key", "c"), "key", "left").join(roots.withColumnRenamed("node", "c"), "c", "left")
     named = stored(named.select("key", "first", F.coalesce("root", "c").alias("root")), "classes")
-    least = named.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    named = stored(named.join(least, "root", "left").select("key", F.coalesce("least", "first").alias("component")), "classes")
+    alone, named = named.where("root is null"), named.where("root is not null")
+    least = named.groupBy("root").agg(F.min("first").alias("component"))
+    named = named.join(stored(least, "least"), "root").select("key", "component")
+    named = stored(named.unionAll(alone.select("key", F.col("first").alias("component"))), "classes")
     rows = rows.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
     rows = rows.join(named, "key", "left").withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
