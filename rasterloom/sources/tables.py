@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rasterloom.sources.records import records
+
 # Cell texts that a spreadsheet-style CSV reader takes as null.
 NULL_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -37,16 +39,16 @@ def scan_csv(
 
     Values stay text except those named in ``numeric``. ``inferred_key`` sends that column through
     type inference first, so that ``007`` becomes ``7`` when the whole column is integral.
-    ``multi_line`` accepts line breaks inside quotes, at the price of unsplittable files; None looks
-    whether any line leaves a quote open and decides by that.
+    Records may hold line breaks inside quotes, and files stay split. ``multi_line`` True hands such files to Spark's own
+    reader, one task a file; False takes every line as a record.
     """
-    if multi_line is None:
-        multi_line = _leaves_quotes_open(spark, path)
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", bool(multi_line))
     raw = reader.csv(path)
     names = [c.lstrip("\ufeff") for c in raw.columns]
     found = raw.toDF(*names)
     require_columns(found, required, str(path))
+    if multi_line is None:
+        return _from_records(spark, path, names, numeric, inferred_key)
     block = F.lit(0).cast("long") if multi_line else F.col("_metadata.file_block_start")
     ordinal = F.struct(
         F.col("_metadata.file_path").alias("file"),
@@ -72,10 +74,21 @@ def scan_csv(
     return table
 
 
-def _leaves_quotes_open(spark: SparkSession, path) -> bool:
-    """Whether some line holds an odd number of quotes; reading stops at the first one."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).limit(1).isEmpty()
+def _from_records(spark: SparkSession, path, names: list[str], numeric: Sequence[str], inferred_key: str | None) -> DataFrame:
+    """The records of split files but the header of each, parsed one by one."""
+    found = records(spark, path).where("not (block = 0 and row = 0)")
+    fields = ", ".join(f"c{i} STRING" for i in range(len(names)))
+    cells = F.from_csv("record", fields, {"escape": '"', "maxCharsPerColumn": "-1"})
+    table = found.select(F.struct("file", "block", "row").alias("src_ord"), cells.alias("cells"))
+    table = table.select("src_ord", *[_value(F.col(f"cells.c{i}"), name in numeric).alias(name) for i, name in enumerate(names)])
+    if inferred_key:
+        text = F.trim(F.col(f"`{inferred_key}`"))
+        kinds = ["int", "bigint", "double"]
+        fits = table.agg(*[F.every(text.isNull() | F.expr(f"try_cast(trim(`{inferred_key}`) AS {k})").isNotNull()).alias(k) for k in kinds]).first()
+        kind = next((k for k in kinds if fits[k]), None)
+        if kind:
+            table = table.withColumn(inferred_key, text.cast(kind).cast("string"))
+    return table
 
 
 def _value(col, numeric: bool):
