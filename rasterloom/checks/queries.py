@@ -152,16 +152,10 @@ def decode(spark, sf):
     root = shared_dir(spark, "bitmaps")
     write_files(_bitmaps(spark, sf), root)
     read = decode_images(spark, root)
-    sizes = read.select("name", "status", F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.md5("image.data").alias("digest"))
-    listed = list_files(spark, {"bitmaps": root}).select("name")
-    status = F.coalesce(F.when(F.col("status") == "failed", "decode_failed").otherwise(F.col("status")), F.lit("empty_file"))
-    ok = F.col("status") == "ok"
-    return listed.join(sizes, "name", "left").select(
+    return read.select(
         "name",
-        F.when(ok, F.col("height")).alias("height"),
-        F.when(ok, F.col("width")).alias("width"),
-        F.when(ok, F.col("digest")).alias("digest"),
-        status.alias("status"),
+        *[F.when(F.col("status") == "ok", c).alias(n) for n, c in (("height", F.col("image.height")), ("width", F.col("image.width")), ("digest", F.md5("image.data")))],
+        F.coalesce("error", "status").alias("status"),
     )
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix
+from rasterloom.functions.names import has_suffix
 from rasterloom.session import qualified, ship
 from rasterloom.sources import storage
 
@@ -19,25 +19,6 @@ INVENTORY_SCHEMA = "dir string, name string, size_bytes long, mtime timestamp, p
 _LISTING_ROWS = 10_000
 
 
-def scan_images(
-    spark: SparkSession,
-    paths: str | list[str],
-    suffixes: Sequence[str] = INGEST_SUFFIXES,
-    recurse: bool = False,
-) -> DataFrame:
-    """Non-empty image files below ``paths``; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", recurse).load(paths)
-    )
-    return files.select(
-        basename(F.regexp_replace("path", r"/[^/]*$", "")).alias("dir"),
-        basename(F.col("path")).alias("name"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("mtime"),
-        "path",
-    ).filter(has_suffix(F.col("name"), suffixes))
-
-
 def list_files(
     spark: SparkSession,
     folders: Mapping[str, str],

@@ -10,21 +10,29 @@ from rasterloom.functions.names import basename
 from rasterloom.session import ship
 from rasterloom.sources import storage
 from rasterloom.sources.batches import CONTENT, CONTENT_SCHEMA, emit, read_ahead, schema_of
+from rasterloom.sources.files import list_files
 
 
-def decode_images(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Decode files with Spark's image source: (name, image, status, error).
+def decode_images(spark: SparkSession, folders: str | list[str]) -> DataFrame:
+    """Decode the files of folders with Spark's image source: (name, image, status, error).
 
-    Files that cannot be decoded stay as rows with status ``failed``.
+    Files that cannot be decoded stay as rows with status ``failed``, and so do empty files, which that source passes over;
+    they come from a listing, so that no pixels are shuffled.
     """
-    found = spark.read.format("image").option("dropInvalid", False).load(paths)
+    folders = [folders] if isinstance(folders, str) else folders
+    found = spark.read.format("image").option("dropInvalid", False).load(folders)
     broken = F.col("image.height") < 1
-    return found.select(
+    decoded = found.select(
         F.url_decode(F.regexp_replace(basename(F.col("image.origin")), r"\+", "%2B")).alias("name"),
         "image",
         F.when(broken, "failed").otherwise("ok").alias("status"),
         F.when(broken, "decode_failed").alias("error"),
     )
+    listed = list_files(spark, {str(i): folder for i, folder in enumerate(folders)})
+    # Neither source reads names that start with a dot or an underscore.
+    empty = listed.where("size_bytes = 0").where(~F.col("name").rlike("^[._]"))
+    image = F.lit(None).cast(decoded.schema["image"].dataType)
+    return decoded.unionAll(empty.select("name", image, F.lit("failed"), F.lit("empty_file")))
 
 
 def read_content(files: DataFrame, path: str = "input_path") -> DataFrame:

@@ -23,15 +23,12 @@ def names(df):
     return sorted(r["name"] for r in df.collect())
 
 
-def test_listing_counts_empty_files_and_scan_does_not(spark, tmp_path):
+def test_listing_counts_empty_files(spark, tmp_path):
     where = folder(tmp_path / "images", a__JPG=b"1", b__png=b"", c__webp=b"22", d__txt=b"3")
     os.mkdir(os.path.join(where, "sub.jpg"))
     assert names(files.list_files(spark, {"images": where}, AUDIT_SUFFIXES)) == ["a.JPG", "b.png"]
-    assert names(files.scan_images(spark, where)) == ["a.JPG", "c.webp"]
     row = files.list_files(spark, {"x": where}).filter("name = 'c.webp'").first()
     assert (row["dir"], row["size_bytes"]) == ("x", 2)
-    plan = files.scan_images(spark, where)._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
 
 
 def test_names_with_odd_characters(spark, tmp_path):
@@ -148,8 +145,12 @@ def test_archives_roll_over_and_hold_everything(spark, tmp_path):
 
 def test_decoding_keeps_broken_files_as_rows(spark, tmp_path):
     img = np.arange(24, dtype=np.uint8).reshape(2, 4, 3)
-    where = folder(tmp_path / "d", **{"ok  1__bmp": codec.encode_bmp(img), "bad__png": b"nothing"})
-    rows = {r["name"]: r for r in decode_images(spark, where).collect()}
+    where = folder(tmp_path / "d", **{"ok  1__bmp": codec.encode_bmp(img), "bad__png": b"nothing", "empty__jpg": b""})
+    found = decode_images(spark, where)
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = {r["name"]: r for r in found.collect()}
+    assert len(rows) == 3 and rows["empty.jpg"]["image"] is None
+    assert (rows["empty.jpg"]["status"], rows["empty.jpg"]["error"]) == ("failed", "empty_file")
     assert (rows["bad.png"]["status"], rows["bad.png"]["error"]) == ("failed", "decode_failed")
     good = rows["ok  1.bmp"]["image"]
     assert (good["height"], good["width"]) == (2, 4)
