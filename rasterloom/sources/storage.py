@@ -57,21 +57,25 @@ def remove(uri: str) -> None:
     files.delete_file(path)
 
 
-def list_folder(uri: str, recurse: bool = False):
-    """Yield (name, size, modified seconds) of the plain files in a folder.
+def list_folder(uri: str):
+    """Yield (name, size, modified seconds, whether it is a folder) of what lies directly in a folder.
 
-    With ``recurse`` the name is the path below the folder.
+    Links to folders are not followed; a folder that is gone by now is empty.
     """
     files, path = locate(uri)
     if isinstance(files, arrow_fs.LocalFileSystem):
-        for folder, _, _ in os.walk(path) if recurse else [(path, None, None)]:
-            with os.scandir(folder) as entries:
+        try:
+            with os.scandir(path) as entries:
                 for entry in entries:
-                    if entry.is_file() and not entry.name.startswith(PARTIAL):
+                    if entry.is_dir(follow_symlinks=False):
+                        yield entry.name, 0, 0.0, True
+                    elif entry.is_file() and not entry.name.startswith(PARTIAL):
                         info = entry.stat()
-                        yield os.path.relpath(entry.path, path), info.st_size, info.st_mtime
+                        yield entry.name, info.st_size, info.st_mtime, False
+        except FileNotFoundError:
+            return
         return
-    for info in files.get_file_info(arrow_fs.FileSelector(path, recursive=recurse)):
-        if info.type == arrow_fs.FileType.File and f"/{PARTIAL}" not in info.path:
-            name = info.path[len(path.rstrip("/")) + 1 :]
-            yield name, info.size, info.mtime.timestamp() if info.mtime else 0.0
+    for info in files.get_file_info(arrow_fs.FileSelector(path, allow_not_found=True)):
+        if info.type == arrow_fs.FileType.Directory or not info.base_name.startswith(PARTIAL):
+            folder = info.type == arrow_fs.FileType.Directory
+            yield info.base_name, info.size or 0, info.mtime.timestamp() if info.mtime else 0.0, folder

@@ -4,6 +4,7 @@ import zipfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rasterloom.functions import codec
 from rasterloom.functions.names import AUDIT_SUFFIXES
@@ -229,3 +230,20 @@ def test_files_that_are_not_complete_are_not_listed(spark, tmp_path):
         assert [r["name"] for r in found] == ["b.jpg"]
     finish()
     assert {r["name"] for r in files.list_files(spark, {"f": str(tmp_path)}, recurse=True).collect()} == {"b.jpg", "sub/a.jpg"}
+
+
+def test_a_tree_is_listed_by_many_tasks(spark, tmp_path):
+    for i in range(1000):
+        sub = tmp_path / f"d{i % 40}" / f"s{i}"
+        sub.mkdir(parents=True)
+        (sub / "a.jpg").write_bytes(b"x" * (i % 7))
+    (tmp_path / "output" / "deep").mkdir(parents=True)
+    (tmp_path / "output" / "deep" / "done.jpg").write_bytes(b"y")
+    (tmp_path / "d0" / "link").symlink_to(tmp_path, target_is_directory=True)
+    (tmp_path / "top.jpg").write_bytes(b"z")
+    found = files.list_files(spark, {"f": str(tmp_path)}, recurse=True, skip=["output"])
+    rows = found.select("name", "size_bytes", "path", F.spark_partition_id().alias("task")).collect()
+    assert {(r["name"], r["size_bytes"]) for r in rows} == {(f"d{i % 40}/s{i}/a.jpg", i % 7) for i in range(1000)} | {("top.jpg", 1)}
+    assert len(rows) == 1001 and all(r["path"].endswith(f"{tmp_path.name}/{r['name']}") for r in rows)
+    kept = found.inputFiles()  # what the tasks of the levels wrote
+    assert len(kept) > 8
