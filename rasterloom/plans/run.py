@@ -197,7 +197,12 @@ def _plan(
     labels = dict.fromkeys([*([input_dir] if input_dir else []), *INPUT_FOLDERS])
     tried = {label: _place(spark, base, label) for label in labels}
     present = {uri: uri for uri in tried.values() if path_exists(spark, uri)}
-    inventory = stored(list_files(spark, present, recurse=nested), "inventory")
+    # The data folder itself is one of them; what a run writes there is no input.
+    own = {uri: uri for uri in present if uri == tried.get(".")}
+    found = list_files(spark, {u: u for u in present if u not in own}, recurse=nested)
+    if own:
+        found = found.unionAll(list_files(spark, own, recurse=nested, skip=(OUTPUT_FOLDER, OUTPUT_TABLE, DEAD_LETTERS)))
+    inventory = stored(found, "inventory")
     if input_dir is None:
         usual = [tried[label] for label in INPUT_FOLDERS]
         chosen = choose_input_dir(inventory, usual, list(present)).first()["dir"]
