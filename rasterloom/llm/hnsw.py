@@ -2,9 +2,10 @@
 
 Equal vectors are one point of the index; the ids that share it are put back after the search, so copies neither fill
 neighbour lists nor hide each other. Each shard of bounded size is a hierarchy of graphs, kept as flat neighbour
-arrays. Within a shard one more coordinate makes all vectors equally long, so that near by inner product is near in
-space. Points enter in batches that are searched and linked together. The index is a written table; queries come to
-the shards in blocks of bounded size.
+arrays. Vectors of one shard are of like length, within a factor of four, and are scaled by a power of two, so neither
+very long nor very short ones take digits from others. Within a shard one more coordinate makes all vectors equally
+long, so that near by inner product is near in space. Points enter in batches that are searched and linked together.
+The index is a written table; queries come to the shards in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterloom.llm.common import column, ship, stored
@@ -82,8 +83,15 @@ def select(points, candidates, like, most):
     return out
 
 
+def scaled(vectors: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """The vectors times a power of two, one for all or one a row, so that the largest component is from 0.5 to 1."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=axis, keepdims=True, initial=0))
+    return np.ldexp(vectors, -exponent)
+
+
 def lifted(vectors: np.ndarray) -> np.ndarray:
-    """The vectors with one more coordinate that makes all of them equally long."""
+    """The vectors, scaled, with one more coordinate that makes all of them equally long."""
+    vectors = scaled(vectors)
     norms = (vectors * vectors).sum(axis=1)
     rest = np.sqrt(np.maximum(norms.max(initial=0) - norms, 0))
     out = np.concatenate((vectors, rest[:, None]), axis=1)
@@ -163,14 +171,16 @@ def _link(points, graph, batch, found, like) -> None:
 def search(vectors, levels, graphs, queries, k, width=SEARCH_WIDTH):
     """(places, scores) of the ``k`` best points found for each query; scores in double precision, -inf where none."""
     points = lifted(vectors)
-    longest = np.sqrt((queries * queries).sum(axis=1, keepdims=True))
-    asked = np.concatenate((queries / longest, np.zeros((len(queries), 1))), axis=1).astype(np.float32)
+    unit = scaled(queries, axis=1)
+    unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    asked = np.concatenate((unit, np.zeros((len(queries), 1))), axis=1).astype(np.float32)
     top = len(graphs) - 1
     starts = np.full((len(queries), 1), int(np.flatnonzero(levels >= top)[0]), np.int64)
     for level in range(top, -1, -1):
         starts, _ = search_layer(points, graphs[level], asked, starts, width if level == 0 else 8)
-    scores = np.where(starts >= 0, (vectors[starts] * queries[:, None, :]).sum(axis=2), -np.inf)
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    with np.errstate(over="ignore", invalid="ignore"):  # a product may pass the range of a double
+        scores = np.where(starts >= 0, (vectors[starts] * queries[:, None, :]).sum(axis=2), -np.inf)
+    order = np.lexsort((starts, -scores, starts < 0), axis=1)[:, :k]
     return np.take_along_axis(starts, order, 1), np.take_along_axis(scores, order, 1)
 
 
@@ -191,18 +201,27 @@ def _unpacked(dim: int, rows: bytes, levels: bytes, neighbours: bytes, links: in
     return vectors, levels, graphs
 
 
+def band(v: Column) -> Column:
+    """The length band of a vector of finite numbers, not all zero: each holds lengths up to four times its least."""
+    v = v.cast("array<double>")
+    largest = F.array_max(F.transform(v, F.abs))
+    rest = F.aggregate(F.transform(v, lambda x: x / largest), F.lit(0.0), lambda total, x: total + x * x)
+    return F.floor((F.log2(largest) + F.log2(rest) / 2 + 1) / 2)
+
+
 _INDEX = "shard long, dim int, ids binary, vectors binary, levels binary, neighbours binary"
 
 
 def index(points: DataFrame, shard: int = SHARD, links: int = LINKS, width: int = WIDTH) -> DataFrame:
     """A row (shard, dim, ids, vectors, levels, neighbours) for each shard of points (id, dim, v).
 
-    Shards hold about ``shard`` points of one dimension, dealt by a hash of the id.
+    Shards hold about ``shard`` points of one dimension and length band, dealt by a hash of the id.
     """
     ship(points.sparkSession)
-    sizes = points.groupBy("dim").agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard), F.lit(1)).alias("shards"))
-    rows = points.join(sizes, "dim")  # as many rows as there are dimensions
-    rows = rows.select(F.xxhash64("dim", F.pmod(F.xxhash64("id"), F.col("shards"))).alias("shard"), "dim", "id", "v")
+    points = points.withColumn("band", band(F.col("v")))
+    sizes = points.groupBy("dim", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard), F.lit(1)).alias("shards"))
+    rows = points.join(sizes, ["dim", "band"])  # about 1,100 bands a dimension at most
+    rows = rows.select(F.xxhash64("dim", "band", F.pmod(F.xxhash64("id"), F.col("shards"))).alias("shard"), "dim", "id", "v")
     rows = rows.repartition("shard").sortWithinPartitions("shard", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +312,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     The score is the inner product in double precision; ties go to the smaller id; a row is not its own neighbour.
     Rows without an id, and vectors that are null, empty, zero or hold null or non-finite components, take no part.
     Rows that share id and vector count once. Vectors of different lengths are not compared. Other columns are not
-    read. An empty table gives no rows.
+    read. An empty table gives no rows. Finite vectors of any length take part; products beyond the range of a double
+    are infinite, and sums of opposite infinite ones, not numbers, come last.
     """
     v = column(vector_col)
     real = F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -310,13 +330,15 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     asked = stored(asked, "queries")
     wanted = points.join(asked.select(F.col("point").alias("id")).distinct(), "id", "left_semi")
     found = candidates(index(points, shard, links, width), wanted, k + 1, links, search_width)
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    # Spark takes what is not a number for the largest one.
+    order = F.isnan("score"), F.desc("score")
+    best = Window.partitionBy("query").orderBy(*order, "id")
     found = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
     found = found.select("query", F.col("id").alias("point"), "score")
     spread = found.join(members.select("point", "id"), "point")
     spread = spread.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
     spread = spread.select(F.col("query").alias("point"), F.col("id").alias("near"), "score")
     out = asked.join(spread, "point").where("near != id")
-    own = Window.partitionBy("id").orderBy(F.desc("score"), "near")
+    own = Window.partitionBy("id").orderBy(*order, "near")
     out = out.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
     return out.select(F.col("id").alias("query_id"), "rank", F.col("near").alias(id_col), "score")

@@ -193,3 +193,36 @@ def test_nearest(spark):
     assert np.mean([len(set(got[i]) & set(want[i])) / len(want[i]) for i in want]) >= 0.95
     assert got[600] == list(range(601, 621)) and got[620][:3] == [600, 601, 602]
     assert hnsw.nearest(frame.where("false")).collect() == []
+
+
+def spread_vectors(kind):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(1500, 16))
+    if kind == "log-normal":
+        vectors *= np.exp(4 * rng.normal(size=(1500, 1)))
+    elif kind == "one long":
+        vectors[7] *= 1e30
+    else:
+        vectors[7], vectors[11], vectors[13] = 0, 0, 0
+        vectors[7, 0], vectors[11, 3], vectors[13, 5] = 1e200, 1e-200, 5e-324
+    return vectors
+
+
+@pytest.mark.parametrize("kind", ["log-normal", "one long", "extreme"])
+def test_lengths_of_any_size(spark, kind):
+    vectors = spread_vectors(kind)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in hnsw.nearest(frame).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    hits = 0
+    assert len(found) == 75
+    for i, near in found.items():
+        near.sort()
+        assert [n for n, *_ in near] == list(range(1, 21))
+        scores = (vectors * vectors[i]).sum(axis=1)
+        assert np.allclose([s for *_, s in near], scores[[j for _, j, _ in near]], rtol=1e-9, atol=0)
+        scores[i] = -np.inf
+        hits += len({j for _, j, _ in near} & set(np.lexsort((np.arange(len(scores)), -scores))[:20].tolist()))
+    assert hits >= 0.95 * 20 * len(found)
