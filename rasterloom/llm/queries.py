@@ -18,7 +18,7 @@ from rasterloom.llm.simhash import near_duplicates
 from rasterloom.llm.token_counts import count_tokens
 from rasterloom.llm.toxicity import grade
 from rasterloom.llm.toxicity import train as train_toxicity
-from rasterloom.llm.url_filter import APART, LABELLED, REJECT, RULES, SHARE, SMOOTH, SUPPORT, judge
+from rasterloom.llm.url_filter import APART, DEPTH, PRIOR, REJECT, RULES, SHARE, SMOOTH, SUPPORT, judge
 
 
 def op1_url_filter(spark, sf_dir):
@@ -120,8 +120,8 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 
-def _url_sql(depth: int) -> str:
-    """The rules and the tree of ``judge``, for paths of ``depth`` segments at most."""
+def _url_sql() -> str:
+    """The rules and the tree of ``judge``."""
     suffix = "CASE " + " ".join(
         f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN ['{h}{p}', '{v}']"
         for h, p, v in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
@@ -140,10 +140,13 @@ def _url_sql(depth: int) -> str:
                    OVER (PARTITION BY host, template, labelled > 0 ORDER BY rate, seg) AS part FROM d{k}),
         b{k} AS (SELECT host, template, seg, min(seg) OVER g || CASE WHEN count(*) OVER g > 1 THEN '|+' || (count(*) OVER g - 1) ELSE '' END AS branch
                  FROM p{k} WINDOW g AS (PARTITION BY host, template, labelled > 0, part)),
-        t{k + 1} AS (SELECT t{k}.host, segs, n, labelled, blocked,
-                       t{k}.template || CASE WHEN len(segs) > {k} THEN '/' || coalesce(branch, '*') ELSE '' END AS template
-                     FROM t{k} LEFT JOIN b{k} ON t{k}.host = b{k}.host AND t{k}.template = b{k}.template AND segs[{k + 1}] = seg),"""
-        for k in range(depth)
+        t{k + 1} AS MATERIALIZED (SELECT t{k}.host, segs, n, labelled, blocked,
+                       t{k}.template || CASE WHEN len(segs) > {k} THEN '/' || coalesce(branch, '*') ELSE '' END AS template,
+                       CASE WHEN len(segs) > {k} THEN (sum(blocked) OVER w + {SMOOTH}::DOUBLE * purity) / (sum(labelled) OVER w + {SMOOTH}::DOUBLE)
+                            ELSE purity END AS purity
+                     FROM t{k} LEFT JOIN b{k} ON t{k}.host = b{k}.host AND t{k}.template = b{k}.template AND segs[{k + 1}] = seg
+                     WINDOW w AS (PARTITION BY t{k}.host, t{k}.template, len(segs) > {k}, coalesce(branch, '*'))),"""
+        for k in range(DEPTH + 1)
     )
     return f"""
         WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -151,21 +154,23 @@ def _url_sql(depth: int) -> str:
                      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
         u AS (SELECT *, {suffix} END AS says,
                      list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
-                       lambda s: CASE WHEN regexp_matches(s, '[0-9]') OR length(s) >= 40 THEN '*' ELSE s END) AS segs FROM h),
-        t0 AS (SELECT host, segs, count(*) AS n, count(says) AS labelled, count(*) FILTER (says[2] = 'block') AS blocked, '' AS template
-               FROM u GROUP BY host, segs),{levels}
-        a AS (SELECT coalesce(sum(blocked) / sum(labelled), 0.5) AS average FROM t0),
-        s AS (SELECT host, template, sum(labelled) AS f, (sum(blocked) + {SMOOTH}::DOUBLE * any_value(average)) / (sum(labelled) + {SMOOTH}::DOUBLE) AS purity
-              FROM t{depth}, a GROUP BY host, template)
-        SELECT page_id, u.host, path, says[1] AS rule, t.template, purity,
-               coalesce(says[2], CASE WHEN f >= {LABELLED} AND purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
-        FROM u JOIN t{depth} AS t ON u.host = t.host AND u.segs = t.segs JOIN s ON s.host = t.host AND s.template = t.template"""
+                       lambda s: CASE WHEN regexp_matches(s, '[0-9]') OR length(s) >= 40 THEN '*' ELSE s END) AS named FROM h),
+        v AS MATERIALIZED (SELECT *, CASE WHEN len(named) > {DEPTH} THEN named[1:{DEPTH}] || ['**'] ELSE named END AS segs FROM u),
+        g AS (SELECT host, segs, count(*) AS n, count(says) AS labelled, count(*) FILTER (says[2] = 'block') AS blocked
+              FROM v GROUP BY host, segs),
+        t0 AS MATERIALIZED (SELECT *, '' AS template,
+                 (sum(blocked) OVER h + {SMOOTH}::DOUBLE * {PRIOR}::DOUBLE) / (sum(labelled) OVER h + {SMOOTH}::DOUBLE) AS purity
+               FROM g WINDOW h AS (PARTITION BY host)),{levels}
+        z AS (SELECT host, segs, template, purity FROM t{DEPTH + 1})
+        SELECT page_id, v.host, path, says[1] AS rule, template, purity,
+               coalesce(says[2], CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM v JOIN z ON v.host = z.host AND v.segs = z.segs"""
 
 
 _LINES = "len(list_filter(string_split_regex(coalesce({}, ''), '\\r\\n|\\r|\\n'), lambda x: trim(x) <> ''))"
 
 ORACLES: dict[str, str] = {
-    "op1_url_filter": _url_sql(4),
+    "op1_url_filter": _url_sql(),
     "op5_quotes": f"""
         WITH t AS (SELECT *, lag(turn) OVER c AS up, first(turn) OVER c AS root, row_number() OVER c - 1 AS depth,
                           lag(text, 1, '') OVER c AS one, lag(text, 2, '') OVER c AS two

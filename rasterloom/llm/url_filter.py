@@ -2,8 +2,10 @@
 
 Segments that look like identifiers become wildcards in the row itself, so the tree is built from the distinct paths
 that are left. Level by level, segments that are rare below their parent become wildcards too, and siblings whose
-shares of blocked pages do not differ significantly become one branch. A template is rejected if the share of blocked
-pages among its labelled ones, smoothed towards that of all pages, reaches a threshold. Labels are what the rules say.
+shares of blocked pages do not differ significantly become one branch. A template is rejected if its purity, the share of
+blocked pages among the labelled ones at and below it, reaches a threshold. Purity is smoothed towards that of the
+template's parent, that of a host towards a fixed one, so a branch without labels has its parent's and a host without
+labels is not rejected, whatever share of other hosts the rules block. Labels are what the rules say.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ DEPTH = 8
 SUPPORT, SHARE = 3, 0.01
 #: Two shares differ significantly from this many standard errors on.
 APART = 1.96
-#: Pages of average opinion that each template is given; share of blocked pages from which it is rejected, and labelled
-#: pages that it needs.
-SMOOTH, REJECT, LABELLED = 4.0, 0.8, 5
+#: Pages of its parent's opinion that each template is given; purity of a host without labels; purity from which a
+#: template is rejected.
+SMOOTH, PRIOR, REJECT = 4.0, 0.5, 0.8
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -53,8 +55,10 @@ def segments(path: Column) -> Column:
 
 
 def templates(paths: DataFrame, depth: int) -> DataFrame:
-    """(host, segs, template, labelled, blocked) from (host, segs, n, labelled, blocked), level by level."""
-    tree = paths.withColumn("template", F.lit(""))
+    """(host, segs, template, purity) from (host, segs, n, labelled, blocked), level by level."""
+    hosts = paths.groupBy("host").agg(F.sum("labelled").alias("of"), F.sum("blocked").alias("bad"))
+    hosts = hosts.select("host", _smoothed(F.lit(PRIOR)).alias("purity"))
+    tree = stored(paths.join(hosts, "host").withColumn("template", F.lit("")), "templates")
     for level in range(depth):
         seg = F.get("segs", F.lit(level))
         rows = tree.withColumn("seg", seg)
@@ -65,10 +69,20 @@ def templates(paths: DataFrame, depth: int) -> DataFrame:
         keeps = ~F.col("seg").isin("*", "**") & (F.col("n") >= SUPPORT) & (F.col("n") >= SHARE * F.col("all"))
         branches = _merged(named.where(keeps))
         rows = rows.join(branches, ["host", "template", "seg"], "left")
-        step = F.when(F.col("seg").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("branch", F.lit("*"))))
-        tree = rows.select("host", "segs", "n", "labelled", "blocked", F.concat("template", step).alias("template"))
+        branch = F.when(F.col("seg").isNotNull(), F.coalesce("branch", F.lit("*")))
+        rows = rows.withColumn("branch", branch)
+        sums = rows.where(F.col("branch").isNotNull()).groupBy("host", "template", "branch")
+        sums = sums.agg(F.sum("labelled").alias("of"), F.sum("blocked").alias("bad"))
+        rows = rows.join(sums, ["host", "template", "branch"], "left")
+        step = F.coalesce(F.concat(F.lit("/"), "branch"), F.lit(""))
+        purity = F.when(F.col("branch").isNull(), F.col("purity")).otherwise(_smoothed(F.col("purity")))
+        tree = rows.select("host", "segs", "n", "labelled", "blocked", F.concat("template", step).alias("template"), purity.alias("purity"))
         tree = stored(tree, "templates")
-    return tree
+    return tree.select("host", "segs", "template", "purity")
+
+
+def _smoothed(above: Column) -> Column:
+    return (F.col("bad") + SMOOTH * above) / (F.col("of") + SMOOTH)
 
 
 def _merged(nodes: DataFrame) -> DataFrame:
@@ -94,8 +108,8 @@ def _merged(nodes: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", labels: DataFrame | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity) of each page.
 
-    The rule decides where one fits, else the template's purity: the smoothed share of blocked pages. ``labels``
-    (id, blocked) adds labelled pages to those that rules label. Null URLs and URLs without ``://`` have no host, no
+    The rule decides where one fits, else the template's purity. ``labels`` (id, blocked) adds labelled pages to those
+    that rules label; of several for a page the blocking one counts. Without any label of its host a page is allowed. Null URLs and URLs without ``://`` have no host, no
     path and an empty template. Repeated rows each get their result. Other columns are not read. An empty table gives
     no rows.
     """
@@ -114,19 +128,9 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
         F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"),
     )
     paths = stored(paths, "paths")
-    whole = paths.agg(
-        F.max(F.size("segs")).alias("depth"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
-    ).first()
-    average = whole["blocked"] / whole["labelled"] if whole["labelled"] else 0.5
-    tree = templates(paths, whole["depth"] or 0)
-    sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("of"), F.sum("blocked").alias("bad"))
-    purity = (F.col("bad") + SMOOTH * average) / (F.col("of") + SMOOTH)
-    sums = sums.withColumn("purity", purity)
-    rejected = (F.col("of") >= LABELLED) & (F.col("purity") >= REJECT)
-    sums = sums.select("host", "template", "purity", rejected.alias("rejected"))
-    found = tree.select("host", "segs", "template").join(sums, ["host", "template"])
+    found = templates(paths, paths.agg(F.max(F.size("segs"))).first()[0] or 0)
     out = rows.join(found, ["host", "segs"])
-    own = F.when(F.col("rejected"), "block").otherwise("allow")
+    own = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
     return out.select(
         F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("says", own).alias("verdict"), "template", "purity"
     )

@@ -43,9 +43,9 @@ def brute_templates(rows, labels):
     """The tree by loops over nodes, for paths of named segments and numbers."""
     label = lambda i, u: {"block": 1, "allow": 0, None: labels.get(i)}[plain(u)[3]]
     known = [(i, plain(u)[0], ["*" if re.search("[0-9]", s) else s for s in plain(u)[1].split("/") if s], label(i, u)) for i, u in rows]
-    marked = [x for *_, x in known if x is not None]
-    average = sum(marked) / len(marked) if marked else 0.5
     name = {i: "" for i, *_ in known}
+    smooth = lambda own, above: (sum(own) + url_filter.SMOOTH * above) / (len(own) + url_filter.SMOOTH)
+    purity = {i: smooth([x for _, h, _, x in known if h == host and x is not None], url_filter.PRIOR) for i, host, *_ in known}
     for level in range(max(len(s) for _, _, s, _ in known)):
         nodes = {}
         for i, host, segs, x in known:
@@ -75,13 +75,14 @@ def brute_templates(rows, labels):
                         group = []
                     if child:
                         group.append(child)
-    out = {}
-    for i, host, _, own in known:
-        same = [x for j, h, _, x in known if (h, name[j]) == (host, name[i]) and x is not None]
-        purity = (sum(same) + url_filter.SMOOTH * average) / (len(same) + url_filter.SMOOTH)
-        rejected = len(same) >= url_filter.LABELLED and purity >= url_filter.REJECT
-        out[i] = (name[i], purity, plain(dict(rows)[i])[3] or ("block" if rejected else "allow"))
-    return out
+        below = {}
+        for i, host, segs, x in known:
+            if len(segs) > level:
+                below.setdefault((host, name[i]), []).append((i, x))
+        for members in below.values():
+            own = [x for _, x in members if x is not None]
+            purity |= {i: smooth(own, purity[i]) for i, _ in members}
+    return {i: (name[i], purity[i], plain(dict(rows)[i])[3] or ("block" if purity[i] >= url_filter.REJECT else "allow")) for i, *_ in known}
 
 
 def test_templates_equal_loops(spark):
@@ -97,10 +98,22 @@ def test_templates_equal_loops(spark):
     got = {r.page_id: (r.template, r.purity, r.verdict) for r in url_filter.judge(pages, labels=marks).collect()}
     want = brute_templates(rows, labels)
     assert {i: (t, round(p, 9), v) for i, (t, p, v) in got.items()} == {i: (t, round(p, 9), v) for i, (t, p, v) in want.items()}
+    unlabelled = [v for i, (_, _, v) in want.items() if i not in labels and plain(dict(rows)[i])[3] is None]
+    assert set(unlabelled) == {"allow", "block"}
     found = {t for t, _, v in want.values() if v == "block"}
     assert any(t.startswith("/ads|+1") for t in found) and any(v == "allow" for _, _, v in want.values())
 
 
+def test_branches_without_labels_follow_their_parent(spark):
+    rows = [(i, f"http://bad.example/ads/{'old' if i < 4 else 'new'}/{i}") for i in range(8)]
+    rows += [(i, f"http://good.example/news/{'old' if i < 14 else 'new'}/{i}") for i in range(10, 18)]
+    marks = [(i, 1) for i in range(4)] + [(i, 0) for i in range(10, 14)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_filter.judge(pages, rules=[], labels=spark.createDataFrame(marks, "id long, blocked int")).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "block" if i < 8 else "allow" for i, _ in rows}
+    assert {r.verdict for r in url_filter.judge(pages, rules=[]).collect()} == {"allow"}
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "I am fine.\n> How are you?\nand you?"),
