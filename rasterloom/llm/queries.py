@@ -44,7 +44,8 @@ def op4_nearest(spark, sf_dir):
 
 def op5_quotes(spark, sf_dir):
     """The conversations as mail that quotes what it answers, linked and ordered by replies, without the quotes."""
-    return conversations(quoting(table(spark, sf_dir, "conversations"))).drop("n_linked")
+    found = conversations(quoting(table(spark, sf_dir, "conversations")))
+    return found.withColumn("links", F.array_join("links", ","))
 
 
 def op6_quality(spark, sf_dir):
@@ -167,18 +168,46 @@ def _url_sql() -> str:
         FROM v JOIN z ON v.host = z.host AND v.segs = z.segs"""
 
 
-_LINES = "len(list_filter(string_split_regex(coalesce({}, ''), '\\r\\n|\\r|\\n'), lambda x: trim(x) <> ''))"
+_MAIL = """
+        o AS (SELECT *, coalesce(text, '') AS t FROM conversations),
+        w AS (SELECT *, lag(turn) OVER c AS last, lag(t, 1) OVER c AS b1, lag(t, 2) OVER c AS b2, lag(t, 3) OVER c AS b3, lag(t, 4) OVER c AS b4
+              FROM o WINDOW c AS (PARTITION BY conv_id ORDER BY turn, t)),
+        q AS (SELECT *, concat_ws(chr(10) || chr(10),
+                '>> ' || replace(CASE WHEN turn % 6 = 0 THEN b2 END, chr(10), chr(10) || '>> '),
+                '> ' || replace(regexp_replace(CASE turn % 3 WHEN 0 THEN b1 WHEN 1 THEN b2 ELSE b3 END, '^([^ \\n]+ [^ \\n]+) ', '\\1' || chr(10)), chr(10), chr(10) || '> '),
+                '> ' || replace(CASE WHEN turn % 4 = 3 THEN b4 END, chr(10), chr(10) || '> '),
+                CASE WHEN turn % 5 = 2 THEN '> Nobody here wrote this.' END) AS parts FROM w),
+        m AS MATERIALIZED (SELECT conv_id, turn, role, last, t,
+                CASE WHEN parts = '' THEN t ELSE 'A message wrote:' || chr(10) || parts || chr(10) || chr(10) || t END AS mail FROM q),"""
 
 ORACLES: dict[str, str] = {
     "op1_url_filter": _url_sql(),
     "op5_quotes": f"""
-        WITH t AS (SELECT *, lag(turn) OVER c AS up, first(turn) OVER c AS root, row_number() OVER c - 1 AS depth,
-                          lag(text, 1, '') OVER c AS one, lag(text, 2, '') OVER c AS two
-                   FROM conversations WINDOW c AS (PARTITION BY conv_id ORDER BY turn))
-        SELECT conv_id, turn, role, up AS reply_to, depth, root, {_LINES.format("one")} + {_LINES.format("two")} AS n_quoted,
-               CASE WHEN {_LINES.format("two")} > 0 THEN 2 WHEN {_LINES.format("one")} > 0 THEN 1 ELSE 0 END::BIGINT AS deepest,
-               rtrim(coalesce(text, '')) AS text
-        FROM t""",
+        WITH RECURSIVE {_MAIL}
+        x AS (SELECT conv_id, turn, unnest(range(1, len(a) + 1)) AS i, a FROM (SELECT *, string_split_regex(mail, '\\r\\n|\\r|\\n') AS a FROM m)),
+        l AS (SELECT conv_id, turn, i, len(regexp_replace(regexp_extract(a[i], '^((?:[ \\t]*>)+)', 1), '[ \\t]', '', 'g')) AS level,
+                     trim(regexp_replace({_LOWER.replace("coalesce(text, '')", "regexp_replace(a[i], '^((?:[ \t]*>)+)', '')")}, '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line FROM x),
+        n AS (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER c OR lag(line) OVER c = '' THEN 1 ELSE 0 END AS starts
+              FROM l WINDOW c AS (PARTITION BY conv_id, turn ORDER BY i)),
+        p AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id, turn ORDER BY i) AS part FROM n),
+        r AS MATERIALIZED (SELECT *, string_agg(line, ' ' ORDER BY i) OVER (PARTITION BY conv_id, turn, part ORDER BY i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS whole FROM p WHERE line <> ''),
+        g AS (SELECT DISTINCT conv_id, turn, unnest([line, whole]) AS s FROM r WHERE level = 0),
+        f AS (SELECT r.conv_id, r.turn, r.i, any_value(r.level) AS level, max(y.turn) AS own, max(z.turn) AS whole
+              FROM r LEFT JOIN g AS y ON y.conv_id = r.conv_id AND y.s = r.line AND y.turn < r.turn
+                     LEFT JOIN g AS z ON z.conv_id = r.conv_id AND z.s = r.whole AND z.turn < r.turn
+              WHERE r.level > 0 GROUP BY ALL),
+        k AS (SELECT conv_id, turn, level, coalesce(whole, own) AS source, count(*) AS lines FROM f GROUP BY ALL),
+        s AS (SELECT conv_id, turn, sum(lines) AS n_quoted, coalesce(sum(lines) FILTER (source IS NOT NULL), 0) AS n_linked, max(level) AS deepest,
+                     max([lines, source]) FILTER (level = 1 AND source IS NOT NULL) AS best,
+                     string_agg(level || ':' || coalesce(source::VARCHAR, '-') || ':' || lines, ',' ORDER BY level || ':' || coalesce(source::VARCHAR, '-') || ':' || lines) AS links
+              FROM k GROUP BY ALL),
+        u AS MATERIALIZED (SELECT m.*, coalesce(best[2], last) AS up, n_quoted, n_linked, deepest, links FROM m LEFT JOIN s USING (conv_id, turn)),
+        d AS (SELECT conv_id, turn, turn AS root, 0::BIGINT AS depth FROM u WHERE up IS NULL
+              UNION ALL SELECT u.conv_id, u.turn, d.root, d.depth + 1 FROM u JOIN d ON u.conv_id = d.conv_id AND u.up = d.turn)
+        SELECT conv_id, turn, role, up AS reply_to, depth, root, coalesce(n_quoted, 0)::BIGINT AS n_quoted, coalesce(n_linked, 0)::BIGINT AS n_linked,
+               coalesce(deepest, 0)::BIGINT AS deepest, coalesce(links, '') AS links, rtrim(t) AS text
+        FROM u JOIN d USING (conv_id, turn)""",
     "op8_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         i AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),

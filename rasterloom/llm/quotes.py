@@ -1,8 +1,10 @@
 """Quotation linking with DataFrame functions: quoted passages find the messages they come from.
 
-A message is split into lines; the marks at the head of a line give its quote level. The lines of a passage are
-normalised and hashed; a quoted line is joined to the lines written earlier in the same conversation, so lines that
-many conversations share never meet. A level may quote several messages; each is a link with the lines that come from it.
+A message is split into lines; the marks at the head of a line give its quote level. A passage is a run of lines of one
+level without a blank one between them. Passages are normalised, which undoes their wrapping, and hashed, as are their lines;
+a quoted passage is joined to those written earlier in the same conversation, so passages that many conversations share
+never meet. Where only a part was quoted, its lines are joined instead. A level may quote several messages; each is a link
+with the lines that come from it.
 The message from which most lines of the first level come is the one replied to; what that one quoted in turn stands one
 level deeper. Conversations follow the replies: a message comes after the one it replies to, without its quotes.
 """
@@ -25,32 +27,56 @@ def level(line: Column) -> Column:
 
 
 def normalised(line: Column) -> Column:
-    """A line without its quote marks, A-Z in lower case, white space runs as one space."""
-    bare = F.regexp_replace(line, _MARK, "")
+    """A line without its quote marks, A-Z in lower case, white space runs as one space; ``\\0`` and ``\\1`` go."""
+    bare = F.translate(F.regexp_replace(line, _MARK, ""), "\0\1", "")
     return F.trim(F.regexp_replace(lower_ascii(bare), r"[\x20\x09-\x0D]+", " "))
 
 
 def lines(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="text") -> DataFrame:
-    """(conv, turn, key, nth, level, hash): the lines of each message, 16 bytes each; blank ones have no hash."""
+    """(conv, turn, key, level, hash, whole): the lines of each message that are not blank, and the passages they stand in.
+
+    Hashes have 16 bytes. Passages are cut within the row, in time that follows the length of the text.
+    """
     base = messages.select(
         column(conv_col).alias("conv"), column(turn_col).alias("turn"), F.coalesce(column(text_col), F.lit("")).alias("text")
     ).withColumn("key", F.xxhash64("text"))
-    rows = base.select("conv", "turn", "key", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("nth", "raw"))
-    rows = rows.withColumn("level", level(F.col("raw"))).withColumn("line", normalised(F.col("raw")))
-    return rows.select("conv", "turn", "key", "nth", "level", F.when(F.col("line") != "", F.unhex(F.md5("line"))).alias("hash"))
+    raw = F.split("text", r"\r\n|\r|\n")
+    read = F.transform(raw, lambda x: F.struct(level(x).alias("level"), normalised(x).alias("line")))
+    none = F.array(F.struct(F.lit(-1).alias("level"), F.lit("").alias("line")))
+    both = F.arrays_zip(read.alias("own"), F.slice(F.concat(none, read), 1, F.size(raw)).alias("before"))
+
+    def put(r: Column) -> Column:
+        own, before = r["own"], r["before"]
+        starts = (own["level"] != before["level"]) | (before["line"] == "")
+        head = F.when(starts, F.concat(F.lit("\0"), own["level"].cast("string"), F.lit("\1"))).otherwise(F.lit("\n"))
+        return F.when(own["line"] == "", F.lit("\0")).otherwise(F.concat(head, own["line"]))
+
+    passages = F.filter(F.split(F.array_join(F.transform(both, put), ""), "\\x00"), lambda p: p != "")
+    rows = base.select("conv", "turn", "key", F.explode(passages).alias("passage"))
+    body = F.substring_index("passage", "\1", -1)
+    rows = rows.select(
+        "conv", "turn", "key", F.substring_index("passage", "\1", 1).cast("int").alias("level"),
+        F.unhex(F.md5(F.translate(body, "\n", " "))).alias("whole"), F.explode(F.split(body, "\n")).alias("line"),
+    )
+    return rows.select("conv", "turn", "key", "level", F.unhex(F.md5("line")).alias("hash"), "whole")
 
 
 def links(rows: DataFrame) -> DataFrame:
     """(conv, turn, key, level, source, lines): for each message and quote level, all messages quoted there.
 
-    Each quoted line goes to the latest earlier turn that wrote it. Lines that no earlier turn wrote have a null source.
+    Each quoted passage goes to the latest earlier turn that wrote it, where none did, each of its lines to the latest
+    earlier turn that wrote the line. Lines that no earlier turn wrote have a null source.
     """
-    written = rows.where((F.col("level") == 0) & F.col("hash").isNotNull())
-    written = written.select("conv", "hash", "turn").distinct()
-    quoted = rows.where((F.col("level") > 0) & F.col("hash").isNotNull())
-    quoted = quoted.groupBy("conv", "turn", "key", "level", "hash").agg(F.count(F.lit(1)).alias("n"))
+    written = rows.where("level = 0").select("conv", "turn", F.explode(F.array("hash", "whole")).alias("sought")).distinct()
+    quoted = rows.where("level > 0").groupBy("conv", "turn", "key", "level", "hash", "whole").agg(F.count(F.lit(1)).alias("n"))
+    ways = F.when(F.col("hash") == F.col("whole"), F.array("hash")).otherwise(F.array("hash", "whole"))
+    quoted = quoted.withColumn("sought", F.explode(ways))
     both = stored(quoted.unionByName(written, allowMissingColumns=True), "quote-lines")
-    found = _last_before(both, ["conv", "hash"], F.col("level").isNull(), "source").where(F.col("level").isNotNull())
+    found = _last_before(both, ["conv", "sought"], F.col("level").isNull(), "source").where(F.col("level").isNotNull())
+    found = found.groupBy("conv", "turn", "key", "level", "hash", "whole").agg(
+        F.max("n").alias("n"),
+        F.coalesce(F.max(F.when(F.col("sought") == F.col("whole"), F.col("source"))), F.max("source")).alias("source"),
+    )
     return found.groupBy("conv", "turn", "key", "level", "source").agg(F.sum("n").alias("lines"))
 
 
@@ -71,10 +97,11 @@ def _last_before(rows: DataFrame, keys: list[str], marked: Column, name: str) ->
 
 
 def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text", rounds: int = 40) -> DataFrame:
-    """(conv, turn, role, reply_to, depth, root, n_quoted, n_linked, deepest, text) of each message.
+    """(conv, turn, role, reply_to, depth, root, n_quoted, n_linked, deepest, links, text) of each message.
 
     ``reply_to`` is the turn that most lines of the first level come from, the later one of equals, else the turn before,
-    null for the first one. ``n_linked`` counts the quoted lines that any earlier turn wrote. ``depth`` counts
+    null for the first one. ``n_linked`` counts the quoted lines that any earlier turn wrote. ``links`` holds
+    ``level:source:lines`` of each quoted message, ``-`` for lines of unknown origin, as sorted strings. ``depth`` counts
     replies up to the ``root`` of the thread: (conv, root, depth, turn) is the order by replies. ``text`` is without quoted lines and without the lines that introduce them.
 
     Null texts are empty messages. Repeated rows of one conversation and turn: the same text gives one row; different texts
@@ -89,11 +116,13 @@ def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role
         F.xxhash64(text).alias("key"), unquoted(text).alias("text"),
     )
     known = F.col("source").isNotNull()
+    named = F.concat_ws(":", "level", F.coalesce(F.col("source").cast("string"), F.lit("-")), "lines")
     sums = found.groupBy("conv", "turn", "key").agg(
         F.max(F.when(known & (F.col("level") == 1), F.struct("lines", "source")))["source"].alias("source"),
         F.sum("lines").alias("n_quoted"),
         F.sum(F.when(known, F.col("lines")).otherwise(0)).alias("n_linked"),
         F.max("level").alias("deepest"),
+        F.array_sort(F.collect_list(named)).alias("links"),  # no more than the message has quoted lines
     )
     sums = stored(sums, "quote-counts")
     turns = heads.select("conv", "turn").distinct()
@@ -107,7 +136,8 @@ def conversations(messages: DataFrame, conv_col="conv_id", turn_col="turn", role
     heads = heads.join(threads, ["conv", "turn"]).join(sums, ["conv", "turn", "key"], "left")
     return heads.select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", F.col("up").alias("reply_to"), "depth", "root",
-        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_quoted", "n_linked", "deepest")), "text",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_quoted", "n_linked", "deepest")),
+        F.coalesce("links", F.array().cast("array<string>")).alias("links"), "text",
     )
 
 
@@ -142,19 +172,37 @@ def unquoted(text: Column) -> Column:
     return F.regexp_replace(F.array_join(F.transform(kept, lambda r: r["x"]), "\n"), r"\A\s*\n|\s+\z", "")
 
 
-def quoting(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="text", marks: int = 2) -> DataFrame:
-    """The messages as mail: each opens with the turn before it, quoted, and what that one quoted in turn.
+#: Turns that the fixture looks back.
+_BACK = 4
 
-    A fixture for tables whose turns hold no quotes. Levels deeper than ``marks`` are cut, as mail programs do. Turns are
-    gone through in blocks; the last ones of a block are shown to the next block too.
+
+def quoting(messages: DataFrame, conv_col="conv_id", turn_col="turn", text_col="text") -> DataFrame:
+    """The messages as mail that quotes earlier ones.
+
+    A fixture for tables whose turns hold no quotes. Each message quotes the one that stands one to three before it, wrapped
+    anew after two words; every sixth turn quotes one more, two levels deep, every fourth a second message, every
+    fifth a line that nobody wrote. Null texts are empty. Turns are gone through in blocks; the last ones of a block are
+    shown to the next block too.
     """
-    text = F.coalesce(column(text_col), F.lit(""))
-    block = F.floor(column(turn_col) / TURNS)
-    shown = F.when(F.pmod(column(turn_col), F.lit(TURNS)) >= TURNS - marks, F.array(block, block + 1)).otherwise(F.array(block))
+    text, turn = F.coalesce(column(text_col), F.lit("")), column(turn_col)
+    block = F.floor(turn / TURNS)
+    shown = F.when(F.pmod(turn, F.lit(TURNS)) >= TURNS - _BACK, F.array(block, block + 1)).otherwise(F.array(block))
     rows = messages.withColumn("__at", block).withColumn("__block", F.explode(shown))
-    own = Window.partitionBy(column(conv_col), "__block").orderBy(column(turn_col), text)
-    parts = [F.regexp_replace(F.lag(text, i).over(own), r"(?m)^", ">" * i + " ") for i in range(marks, 0, -1)]
-    quote = F.concat_ws("\n", F.lit("A message wrote:"), *parts, F.lit(""), text)
-    mail = F.when(F.lag(text).over(own).isNull(), text).otherwise(quote)
+    own = Window.partitionBy(column(conv_col), "__block").orderBy(turn, text)
+    back = [F.lag(text, i).over(own) for i in range(1, _BACK + 1)]
+
+    def quoted(marks: str, x: Column) -> Column:
+        return F.concat(F.lit(marks), F.replace(x, F.lit("\n"), F.lit("\n" + marks)))
+
+    third = F.pmod(turn, F.lit(3))
+    one = F.when(third == 0, back[0]).when(third == 1, back[1]).otherwise(back[2])
+    parts = F.concat_ws(
+        "\n\n",
+        quoted(">> ", F.when(F.pmod(turn, F.lit(6)) == 0, back[1])),
+        quoted("> ", F.regexp_replace(one, r"\A([^ \n]+ [^ \n]+) ", "$1\n")),
+        quoted("> ", F.when(F.pmod(turn, F.lit(4)) == 3, back[3])),
+        F.when(F.pmod(turn, F.lit(5)) == 2, F.lit("> Nobody here wrote this.")),
+    )
+    mail = F.when(parts == "", text).otherwise(F.concat(F.lit("A message wrote:\n"), parts, F.lit("\n\n"), text))
     rows = rows.withColumn("__mail", mail).where(F.col("__at") == F.col("__block"))
     return rows.select(*[F.col("__mail").alias(c) if c == text_col else column(c) for c in messages.columns])

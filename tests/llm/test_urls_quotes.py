@@ -146,10 +146,32 @@ def test_a_level_may_quote_several_messages(spark):
 
 
 def test_quotes_over_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(quotes, "TURNS", 3)
-    frame = quotes.quoting(table(spark, SF, "conversations"))
-    for r in quotes.conversations(frame).collect():
-        assert r.reply_to == (r.turn - 1 if r.turn else None) and r.depth == r.turn and r.n_linked == r.n_quoted
+    messages = table(spark, SF, "conversations")
+    whole = {(r.conv_id, r.turn): r for r in quotes.conversations(quotes.quoting(messages)).collect()}
+    monkeypatch.setattr(quotes, "TURNS", 5)
+    assert {(r.conv_id, r.turn): r for r in quotes.conversations(quotes.quoting(messages)).collect()} == whole
+
+
+def test_replies_depend_on_links(spark):
+    rows = [(1, t, "u", f"word{t} and more of turn {t}") for t in range(12)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.conversations(quotes.quoting(frame)).collect()}
+    back = {t: 1 + t % 3 for t in range(12)}
+    assert {t: r.reply_to for t, r in got.items() if back[t] <= t} == {t: t - back[t] for t in range(12) if 0 < back[t] <= t}
+    assert got[6].links == ["1:5:2", "2:4:1"] and got[7].links == ["1:-:1", "1:3:1", "1:5:2"] and got[7].n_linked == 3
+    assert [r.text for _, r in sorted(got.items())] == [r[3] for r in rows]
+
+
+def test_passages_wrapped_anew(spark):
+    rows = [
+        (1, 0, "u", "a long line that is\nwrapped here\n\nsecond passage"), (1, 1, "a", "other"),
+        (1, 2, "u", "> A long line\n> that is wrapped\n> here\nyes"), (1, 3, "a", "> wrapped here\n> wrapped there\nno"),
+        (1, 4, "u", "> " + "x" * 100_000 + "\n" + "long\n" * 5_000), (1, 5, "a", ("> long\n" * 5_000)),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.reply_to, r.links) for r in quotes.conversations(frame).collect()}
+    assert got[2] == (0, ["1:0:3"]) and got[3] == (0, ["1:-:1", "1:0:1"])
+    assert got[4] == (3, ["1:-:1"]) and got[5] == (4, ["1:4:5000"])
 
 
 def test_pipeline(spark):
