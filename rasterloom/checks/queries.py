@@ -339,6 +339,21 @@ def transform_control(spark, sf):
     return _digest(images.standardize(rasters(spark, sf), outline_model, use_edges=True))
 
 
+def batched_outline_model():
+    """The same model for up to four images at a time."""
+
+    def fn(rgb, control, **params):
+        luma = np.stack([raster.grayscale(x) for x in rgb])
+        return np.where(control > 0, np.uint8(0), luma)
+
+    fn.batch_size = 4
+    return fn
+
+
+def transform_batches(spark, sf):
+    return _digest(images.standardize(rasters(spark, sf), batched_outline_model, use_edges=True))
+
+
 def run_counters(spark, sf):
     plan = _plan(spark, sf)
     named = rasters(spark, sf).withColumn(
@@ -479,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "whiten": whiten,
     "transform_default": transform_default,
     "transform_control": transform_control,
+    "transform_batches": transform_batches,
     "export_roundtrip": export_roundtrip,
     "audit_report": audit_report,
     "image_sink": image_sink,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,9 @@ DEFAULT_PROMPT = (
 )
 GUIDANCE_SCALE, STEPS, SEED, CONTROL_SCALE = 3.5, 25, 42, 0.75
 
+#: Rasters held for one round of batched model calls; a larger image is a round of its own.
+BATCH_BYTES = 64 << 20
+
 _models: dict[str, Callable] = {}
 
 
@@ -105,6 +109,54 @@ def _attempt(step, row: dict, images: Sequence[str], earlier: str | None):
         return None, "failed", str(problem) or type(problem).__name__
 
 
+def _outcomes(step: Callable, rows: Iterator[tuple[Callable[[], dict], str | None]]) -> Iterator[tuple]:
+    """(result, status, error) of rows (loader of the step's arguments, earlier error), in their order."""
+    if hasattr(step, "batches"):
+        yield from step.batches(rows)
+    else:
+        for load, earlier in rows:
+            yield _attempt(lambda load=load: step(**load()), {}, (), earlier)
+
+
+def _in_batches(model, size: int, limit: int, rows, prepare, finish) -> Iterator[tuple]:
+    """As ``_outcomes``, with images of one shape in common calls; what is held at a time is bounded by bytes."""
+    held, total = [], 0
+    for load, earlier in rows:
+        held.append(_attempt(lambda load=load: prepare(**load()), {}, (), earlier))
+        if held[-1][1] == "ok":
+            upright, inputs = held[-1][0]
+            total += upright.nbytes + sum(x.nbytes for x in inputs.values())
+        if total >= limit:
+            yield from _call(model, size, held, finish)
+            held, total = [], 0
+    yield from _call(model, size, held, finish)
+
+
+def _call(model, size: int, held: list[tuple], finish) -> list[tuple]:
+    """The outcomes of prepared rows. If a common call fails, its images are called alone, and fail alone."""
+    shapes: dict[tuple, list[int]] = {}
+    for i, (made, status, _) in enumerate(held):
+        if status == "ok":
+            shapes.setdefault(made[1]["rgb"].shape, []).append(i)
+
+    def together(places):
+        inputs = [held[i][0][1] for i in places]
+        made = list(model(**{n: np.stack([x[n] for x in inputs]) for n in inputs[0]}))
+        if len(made) != len(places):
+            raise ValueError(f"model returned {len(made)} images for {len(places)}")
+        return made
+
+    out = list(held)
+    for places in shapes.values():
+        for low in range(0, len(places), size):
+            chunk = places[low : low + size]
+            made, status, _ = _attempt(lambda chunk=chunk: together(chunk), {}, (), None)
+            for nth, i in enumerate(chunk):
+                alone = (lambda nth=nth: made[nth]) if status == "ok" else (lambda i=i: together([i])[0])
+                out[i] = _attempt(lambda i=i, alone=alone: finish(alone(), held[i][0][0]), {}, (), None)
+    return out
+
+
 def _image_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if df.schema[n].dataType.typeName() == "struct"]
 
@@ -121,8 +173,12 @@ def map_images(df: DataFrame, step: Callable, args: Sequence[str] = ("image",))
 
     def results(batch):
         before = batch.column("error").to_pylist() if has_error else [None] * batch.num_rows
-        for row, earlier in zip(_rows_of(batch, args), before):
-            made, status, error = _attempt(step, row, images, earlier)
+
+        def load(row):
+            return row | {n: unpack(row[n]) for n in images}
+
+        outcomes = _outcomes(step, ((partial(load, r), e) for r, e in zip(_rows_of(batch, args), before)))
+        for row, (made, status, error) in zip(_rows_of(batch, args), outcomes):
             yield _packed(made, (row.get("image") or {}).get("origin"), status, error)
 
     def run(batches):
@@ -256,29 +312,53 @@ def image_step(
     low: int = 100,
     high: int = 200,
     whiten_above: int | None = None,
+    batch_bytes: int = BATCH_BYTES,
 ) -> Callable:
     """``step(image, tag) -> raster``: orient, RGB, snap, resample, edges, model, whiten.
 
     ``make_fn()`` is called once per worker and returns ``fn(rgb, **params) -> rgb``; the seed is
-    the same for every image. ``use_edges`` passes the edge map as ``control``. Without ``make_fn``
+    the same for every image. A function with an attribute ``batch_size`` gets up to so many images of one size at once,
+    N x H x W x 3, ``control`` too, and returns N images; one that cannot be processed fails alone. A worker holds
+    about ``batch_bytes`` of rasters for such calls. ``use_edges`` passes the edge map as ``control``. Without ``make_fn``
     the image is rendered in gray at its own size. If ``make_fn`` itself fails, the task fails.
     """
     token = hashlib.md5(cloudpickle.dumps(make_fn)).hexdigest()
     params = {"prompt": prompt, "guidance_scale": guidance_scale, "steps": steps, "seed": seed}
 
-    def step(image, tag=None):
+    def prepare(image, tag=None):
         upright = raster.orient(image, tag)
         if make_fn is None:
-            result = raster.grayscale(upright)
-        else:
-            rgb = snapped(upright)
-            extra = {}
-            if use_edges:
-                control = raster.edge_map(rgb, low, high)
-                extra = {"control": control, "control_scale": control_scale}
-            result = _model(token, make_fn)(rgb, **params, **extra)
+            return upright, {}
+        rgb = snapped(upright)
+        return upright, {"rgb": rgb} | ({"control": raster.edge_map(rgb, low, high)} if use_edges else {})
+
+    def finish(result, upright):
         return result if whiten_above is None else raster.whiten(result, upright, whiten_above)
 
+    def call(**inputs):
+        extra = {"control": inputs["control"], "control_scale": control_scale} if use_edges else {}
+        return _model(token, make_fn)(inputs["rgb"], **params, **extra)
+
+    def batch_size():
+        return int(getattr(_model(token, make_fn), "batch_size", 0)) if make_fn else 0
+
+    def step(image, tag=None):
+        upright, inputs = prepare(image, tag)
+        if make_fn is None:
+            return finish(raster.grayscale(upright), upright)
+        if batch_size():
+            return finish(call(**{n: x[None] for n, x in inputs.items()})[0], upright)
+        return finish(call(**inputs), upright)
+
+    def batches(rows):
+        size = batch_size()
+        if size:
+            yield from _in_batches(call, size, batch_bytes, rows, prepare, finish)
+        else:
+            for load, earlier in rows:
+                yield _attempt(lambda load=load: step(**load()), {}, (), earlier)
+
+    step.batches = batches
     return step
 
 
@@ -289,9 +369,16 @@ def standardize(
     step = image_step(make_fn, **options)
     if orientation is None:
         return map_images(images, step)
-    return map_images(
-        images, lambda image, **row: step(image, row[orientation]), ("image", orientation)
-    )
+
+    def tagged(load):
+        row = load()
+        return {"image": row["image"], "tag": row[orientation]}
+
+    def upright(image, **row):
+        return step(image, row[orientation])
+
+    upright.batches = lambda rows: step.batches((partial(tagged, load), earlier) for load, earlier in rows)
+    return map_images(images, upright, ("image", orientation))
 
 
 def standardize_files(files: DataFrame, step: Callable, decode: Callable, path: str) -> DataFrame:
@@ -300,9 +387,8 @@ def standardize_files(files: DataFrame, step: Callable, decode: Callable, path:
     keep = files.columns
 
     def results(uris):
-        for uri, (content, problem) in zip(uris, read_ahead(uris)):
-            row = {"content": content}
-            made = _attempt(lambda content: step(_decoded(content, decode)), row, (), problem)
+        rows = ((partial(_decoded, content, decode), problem) for content, problem in read_ahead(uris))
+        for uri, made in zip(uris, _outcomes(step, rows)):
             yield _packed(made[0], uri, *made[1:])
 
     def run(batches):
@@ -326,8 +412,8 @@ def process_files(
     keep = files.columns
     added = {"size_bytes": pa.int64(), "status": pa.string(), "error": pa.string()}
 
-    def one(content, name):
-        data = encode(step(_decoded(content, decode)), name)
+    def one(image, name):
+        data = encode(image, name)
         attempt = str(TaskContext.get().taskAttemptId())
         stream, finish = storage.open_replacing(f"{root}/{name}", attempt)
         stream.write(data)
@@ -336,8 +422,9 @@ def process_files(
 
     def results(batch):
         contents = read_ahead(batch.column(path).to_pylist())
-        for name, (content, problem) in zip(batch.column("name").to_pylist(), contents):
-            yield _attempt(one, {"content": content, "name": name}, (), problem), 0
+        rows = ((partial(_decoded, content, decode), problem) for content, problem in contents)
+        for name, (image, _, problem) in zip(batch.column("name").to_pylist(), _outcomes(step, rows)):
+            yield _attempt(one, {"image": image, "name": name}, (), problem), 0
 
     def run(batches):
         for batch in batches:
@@ -347,10 +434,10 @@ def process_files(
     return stored(files.mapInArrow(run, schema), "manifest")
 
 
-def _decoded(content: bytes, decode: Callable) -> np.ndarray:
+def _decoded(content: bytes, decode: Callable) -> dict:
     if not content:
         raise ValueError("empty_file")
-    return decode(content)
+    return {"image": decode(content)}
 
 
 def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -143,3 +143,40 @@ def test_sweep_takes_any_grid_and_counts_failures(spark, table):
     assert all((r["images"], r["failed"]) == (1, 1) for r in rows)
     errors = [r["error"] for r in metrics.texture_ratio(broken.withColumn("result", F.col("image")), "name").collect()]
     assert len(errors) == 1 and errors[0]
+
+
+def counted_model():
+    """Inverts images, up to three at a time; marks how many came at once in the first pixel; refuses a black corner."""
+
+    def fn(rgb, **params):
+        assert rgb.ndim == 4 and len({x.shape for x in rgb}) == 1
+        if (rgb[:, -1, -1] == 0).all(axis=1).any():
+            raise ValueError("black corner")
+        out = 255 - rgb
+        out[:, 0, 0] = len(rgb)
+        return out
+
+    fn.batch_size = 3
+    return fn
+
+
+@pytest.mark.parametrize("held", [64 << 20, 1])
+def test_batched_model_calls(spark, held):
+    made = {f"a{i}": np.full((16, 32, 3), 10 + i, np.uint8) for i in range(7)}
+    made |= {"b": np.full((32, 32, 3), 50, np.uint8), "small": np.full((9, 9, 3), 50, np.uint8)}
+    rows = [(n, 1, pack(a, n), None) for n, a in made.items()] + [("lost", 1, None, "not_found")]
+    frame = spark.createDataFrame(rows, f"name string, tag int, {images.IMAGE_SCHEMA}, error string").coalesce(1)
+    for tag in (None, "tag"):
+        got = results(images.standardize(frame, counted_model, orientation=tag, batch_bytes=held))
+        assert {n for n, r in got.items() if r["status"] == "failed"} == {"small", "lost"} and got["lost"]["error"] == "not_found"
+        came = {n: unpack(r["image"].asDict()) for n, r in got.items() if r["image"]}
+        assert all((came[n][1:] == 255 - made[n][1:]).all() for n in came)
+        together = [1, 3, 3, 3, 3, 3, 3] if held > 1 else [1] * 7
+        assert sorted(int(came[f"a{i}"][0, 0, 0]) for i in range(7)) == together and came["b"][0, 0, 0] == 1
+    dark = made["a1"].copy()
+    dark[-1, -1] = 0
+    rows[1] = ("a1", 1, pack(dark, "a1"), None)
+    frame = spark.createDataFrame(rows, frame.schema).coalesce(1)
+    got = results(images.standardize(frame, counted_model))
+    assert {n: r["error"] for n, r in got.items() if r["status"] == "failed" and n != "small"} == {"a1": "black corner", "lost": "not_found"}
+    assert len(got) == len(rows)
