@@ -9,8 +9,8 @@ asks for more matches before a pair is looked at.
 2. The others are numbered by how much of their prefix others hold, the most common text first, and linked with the first
    class of their min-hash group. Most copies of a text become one component here, without pairs among them.
 3. Each class that is like the most common one its groups lead to, the pivot, is described by what it lacks and adds, its
-   differences. A class too far from the pivot to be linked with it shares half the differences, about, of any class it
-   links to, so the rarest half of these finds all such pairs, and the differences verify them.
+   differences. The farther two classes are from the pivot, the more differences they must share to link, so each class looks
+   up the fewer of its rarest ones, the farther the others are; the differences verify the pairs.
 4. What may still link lies with different pivots, in different units. Shingles that one unit holds alone come first in the order, the others by
    the number of classes that hold them. Each class picks the length of its prefix by the estimated cost: the classes met
    on its shingles, times a verification for every ``l`` of them. Pairs of different units that share enough prefix
@@ -241,28 +241,33 @@ def _within(sets: DataFrame, pivoted: DataFrame, share: int) -> DataFrame:
     """Links (a, b) between classes of one pivot and different components.
 
     Let x and y be f and g shingles away from their pivot, of size p, and d shingles apart; they share (f + g - d) / 2 of
-    these differences. With k = (100 - share) / (100 + share), x and y link if d <= k (|x| + |y|). One of them, say x, is not
-    linked with the pivot: f > k (|x| + p). So they share at least (g + k (p - |y|)) / 2 of the differences of y, ``least``.
-    All but ``least`` - 1 of these are looked up, so a pair that must share more shares as many more of those looked up.
+    these differences. With k = (100 - share) / (100 + share), x and y link if d <= k (|x| + |y|), which is if they share
+    (e(x) + e(y)) / 2 of their differences, where e(x) = f - k |x|. One of them, say x, is not linked with the pivot, so
+    e(x) > k p; e(y) is -k p at least, for y has at most g shingles more than the pivot. What both must share thus depends
+    on how far x is, so the far ones have levels of doubling e, and y looks up as many of its rarest differences in each
+    level as the nearest x of the level asks for: none, if y holds fewer than they must share.
     """
     known = pivoted.join(sets.select("c", "component"), "c").withColumn("open", _too_far("far", "n", "other_n", share))
-    rows = known.select("c", "component", "pivot", "open", "n", "other_n", "far", F.explode("away").alias("h"))
+    # All in parts of 2 (100 + share) a shingle: e, and e beyond k p.
+    unit = 2 * (100 + share)
+    known = known.withColumn("e", F.expr(f"{100 + share}L * far - {100 - share}L * n")).withColumn("edge", F.expr(f"{100 - share}L * other_n"))
+    own = ["c", "component", "pivot", "open", "e", "edge"]
+    rows = known.select(*own, F.explode("away").alias("h"))
     held = rows.groupBy("pivot", "h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("df"))
     held = stored(held.where("low != high").select("pivot", "h", "df"), "held")
-    least = f"greatest(1, ({100 + share} * far + {100 - share} * (other_n - n) + {2 * (100 + share) - 1}) div {2 * (100 + share)})"
-    first = rows.join(held, ["pivot", "h"]).groupBy("c", "component", "pivot", "open", "n", "far").agg(
-        F.array_sort(F.collect_list(F.struct("df", "h"))).alias("all"), F.first(F.expr(least)).alias("least"))
-    place = F.posexplode("all").alias("at", "x")
-    first = first.select("c", "component", "pivot", "open", "n", "far", "least", (F.size("all") - F.col("least")).alias("last"), place)
-    first = first.select("c", "component", "pivot", "open", "n", "far", "least", "x.h", (F.col("at") <= F.col("last")).alias("rare"))
-    first = stored(first.where("open or rare"), "differences")
-    sizes = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("component", "open", "n", "far", "least")]
-    a = first.where("rare").select("pivot", "h", F.col("c").alias("a"), *sizes("a"))
-    b = first.where("open").select("pivot", "h", F.col("c").alias("b"), *sizes("b"), "rare")
-    pairs = a.join(b, ["pivot", "h"]).where("component_a != component_b and (not open_a or rare and a < b)")
-    both = f"({100 + share} * (far_a + far_b) - {100 - share} * (n_a + n_b) + {2 * (100 + share) - 1}) div {2 * (100 + share)}"
-    need = F.expr(f"{both} - if(open_a, greatest(least_a, least_b), least_a) + 1")
-    pairs = pairs.groupBy("a", "b", need.alias("need")).count().where("count >= need").select("a", "b")
+    first = rows.join(held, ["pivot", "h"]).groupBy(*own).agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("all"))
+    first = first.select(*own, F.size("all").alias("size"), F.posexplode("all").alias("at", "x"))
+    # ``left``: how many differences can still be shared from here on; ``room``: how far a partner may be for that to do.
+    first = first.select(*own, F.col("x.h").alias("h"), (F.col("size") - F.col("at")).cast("long").alias("left"))
+    first = first.withColumn("room", F.expr(f"{unit} * left - e - edge"))
+    level = lambda x: f"cast(floor(log2(greatest({x}, 0) div {unit} + 1)) AS INT)"
+    first = stored(first.withColumn("level", F.expr(f"if(open, {level('e - edge')}, 0)")), "differences")
+    sizes = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("component", "e", "left")]
+    a = first.where("room > 0").withColumn("top", F.expr(level("room"))).where("level <= top")
+    a = a.select("pivot", "h", F.col("c").alias("a"), "open", *sizes("a"), F.explode(F.sequence("level", "top")).alias("level"))
+    b = first.where(f"open and {unit} * left >= e - edge").select("pivot", "h", "level", F.col("c").alias("b"), *sizes("b"))
+    pairs = a.join(b, ["pivot", "h", "level"]).where("component_a != component_b and (not open or e_a < e_b or e_a = e_b and a < b)")
+    pairs = stored(pairs.where(f"{unit} * least(left_a, left_b) >= e_a + e_b").select("a", "b").distinct(), "candidates")
     pairs = pairs.join(known.select(F.col("c").alias("a"), "n", "far", "away"), "a")
     pairs = pairs.join(known.select(F.col("c").alias("b"), F.col("n").alias("other_n"), F.col("far").alias("other_far"), F.col("away").alias("other")), "b")
     return pairs.where(~_too_far(_APART, "n", "other_n", share)).select("a", "b")

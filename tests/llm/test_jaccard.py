@@ -88,3 +88,28 @@ def test_prefixes_alone_find_all(spark):
     assert want <= found and len(want) > 50
     met = {(a, b) for a in held for b in held if a < b and held[a] & held[b]}
     assert found <= met and len(found) < len(met) / 2
+
+
+def test_copies_around_a_pivot(spark):
+    """Copies with one to six edits, each of its own word or of a few words: pairs that only lack the same are no candidates."""
+    drawn = random.Random(5)
+    base = drawn.choices([f"w{i}" for i in range(3000)], k=110)
+    docs = [(0, " ".join(base))]
+    for i in range(1, 400):
+        own = list(base)
+        for k in drawn.sample(range(110), 1 + i % 6):
+            own[k] = f"u{i}" if i % 2 else f"v{drawn.randrange(3)}"
+        if i % 7 == 0:
+            del own[drawn.randrange(110)]
+        docs.append((i, " ".join(own)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.similar(table).collect()), key=str) == plain(docs)
+    sets = jaccard._sets(table, table.select(F.lit(b"").alias("key"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.lit(1).alias("rarity")), "doc_id", "text", 5)
+    pivoted = jaccard._pivoted(jaccard._component(sets, None), 80)[1]
+    # No component is known ahead, so every link with a class that is far from the pivot must be found.
+    got = {tuple(sorted(r)) for r in jaccard._within(sets.select("c", F.col("c").alias("component")), pivoted, 80).collect()}
+    held, at = {r.c: set(r.shingles) for r in sets.collect()}, {r.c: r.pivot for r in pivoted.collect()}
+    near = lambda x, y: 100 * len(held[x] & held[y]) >= 80 * len(held[x] | held[y])
+    far = {c for c, p in at.items() if not near(c, p)}
+    want = {(x, y) for x in at for y in at if x < y and at[x] == at[y] and (x in far or y in far) and near(x, y)}
+    assert want and got == want
