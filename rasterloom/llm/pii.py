@@ -32,8 +32,10 @@ _PATTERNS = {
 }
 _PROBES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "context": "[0-9@]"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-#: Characters before a value in which its two words are looked for.
-REACH = 120
+#: The last two words of a gap, or its only one.
+_LEAD = r"(?<!\S)(?:\S++\s++)?\S++\s*+\z"
+#: Digits that a token without an at sign must have to be a candidate.
+DIGITS = 3
 
 
 def _rows(text: Column, number: int, kind: str) -> Column:
@@ -49,7 +51,7 @@ def _rows(text: Column, number: int, kind: str) -> Column:
             i.alias("nth"),
             x["value"].alias("value"),
             F.length(x["gap"]).cast("long").alias("gap"),
-            F.lower(F.substring(x["gap"], -REACH, REACH)).alias("before"),
+            F.lower(F.regexp_extract(x["gap"], _LEAD, 0)).alias("before"),
         ),
     )
     return F.when(text.rlike(_PROBES[kind]), each).otherwise(F.expr("array()").cast(_ROW))
@@ -71,10 +73,10 @@ def _is_base() -> Column:
     )
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digits: int = DIGITS) -> DataFrame:
     """(id, key, kind, start, end, value, before, copies): a row of kind 0 for each text, and all its matches.
 
-    Kinds 1 to 4 have passed their tests; kind 5 are tokens of three digits or more, or with an at sign, that overlap
+    Kinds 1 to 4 have passed their tests; kind 5 are tokens of ``digits`` digits (1 at least) or more, or with an at sign, that overlap
     none of the others; digit groups one space apart are one token. ``copies`` counts repeated rows of the same id and text.
     """
     text = F.coalesce(column(text_col), F.lit(""))
@@ -101,7 +103,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("start", F.col("end") - F.length("value") + F.when(token, lead).otherwise(0))
     rows = rows.withColumn("value", F.when(token, bare).otherwise(F.col("value")))
     rows = rows.withColumn("end", F.col("start") + F.length("value")).withColumn("base", _is_base())
-    wide = F.length(F.regexp_replace("value", "[^0-9]", "")) >= 3
+    wide = F.length(F.regexp_replace("value", "[^0-9]", "")) >= digits
     rows = rows.where((F.col("kind") == 0) | F.col("base") | (token & (wide | F.col("value").contains("@"))))
     own = Window.partitionBy("id", "key").orderBy("start", "kind", "end")
     before = F.max(F.when(F.col("base"), F.col("end"))).over(own.rowsBetween(Window.unboundedPreceding, -1))
@@ -161,9 +163,9 @@ def bootstrap(found: DataFrame, rounds: int = 1000, support: int = 3, purity: fl
     return edges.where("new").select("value").distinct()
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digits: int = DIGITS, **how) -> DataFrame:
     """(id, key, kind, start, end, copies): a row of kind 0 for each text and a row for each span of kinds 1 to 5."""
-    found = stored(occurrences(docs, id_col, text_col), "pii-matches")
+    found = stored(occurrences(docs, id_col, text_col, digits), "pii-matches")
     fresh = bootstrap(found, **how)
     new = found.where("kind = 5").join(fresh, F.lower(found["value"]) == fresh["value"], "left_semi")
     return found.where("kind < 5").unionAll(new).select("id", "key", "kind", "start", "end", "copies")
@@ -197,7 +199,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how)
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """All rows and columns, with each span of personal data replaced by its kind in angle brackets."""
+    """All rows and columns, with each span of personal data replaced by its kind in angle brackets.
+
+    Null texts stay null. Repeated rows stay, each with its replaced text. An empty table stays empty.
+    """
     rows = spans(docs, id_col, text_col, **how).where("kind > 0")
     own = Window.partitionBy("id", "key").orderBy("start", "end", "kind")
     before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))

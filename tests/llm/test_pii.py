@@ -101,3 +101,19 @@ def test_redaction_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "x 1.2.3.4 y a@b.c", 7), (2, None, 8), (3, "plain", 9)], "doc_id long, text string, __cut_no int")
     rows = {r.doc_id: r for r in pii.redact(docs).collect()}
     assert rows[1].text == "x <IP> y <EMAIL>" and rows[2].text is None and rows[3].text == "plain" and rows[3]["__cut_no"] == 9
+
+
+def test_context_words_of_any_length_and_other_identifiers(spark):
+    """The two words before a value are whole, however long, and ``digits`` says what a candidate is."""
+    lead = "w" * 300
+    rows = [(i, f"{lead} number{'.' * 150} a{i}@b.co") for i in range(5)] + [(9, f"then {lead} number{'.' * 150} zz4711")]
+    rows += [(10, f"then other number{'.' * 150} zz4712"), (11, f"and {lead} number{'.' * 150} q7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = {r.value: r.before for r in pii.occurrences(docs).where("kind > 0").collect()}
+    assert before["zz4711"].split() == [lead, "number" + "." * 150] and before["zz4712"].split()[0] == "other" and "q7" not in before
+    assert all(len(pii.occurrences(docs, digits=n).where("value = 'q7'").collect()) == (n == 1) for n in (1, 2))
+    assert {r.doc_id: r.n_context for r in pii.find(docs).collect() if r.n_context} == {9: 1, 10: 1}
+    assert "<CONTEXT>" in pii.redact(docs, digits=1).where("doc_id = 11").first().text
+    odd = spark.createDataFrame([(1, None), (2, "x a@b.co"), (2, "x a@b.co"), (None, "c@d.ef")], "doc_id long, text string")
+    assert sorted(str(r.text) for r in pii.redact(odd).collect()) == ["<EMAIL>", "None", "x <EMAIL>", "x <EMAIL>"]
+    assert pii.redact(odd.where("false")).collect() == []
