@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -24,14 +23,14 @@ from rasterloom.llm.bpe import _arrow_type
 from rasterloom.llm.common import blocks, column, emit, ship, stored
 from rasterloom.llm.quality import held_out
 
-#: Labels that are broadcast at once, 32 MB or so; more go in several parts, each in a scan of its own.
-PART = 1 << 20
 #: Labelled rows that the weights are fitted on, at most, from the documents of so many labels: those with the smallest
 #: hashes of their ids.
 SAMPLE, DRAWN = 10_000, 50_000
 #: Documents that must hold a word for it to be tested; the chance that any word without a difference becomes a feature, by
 #: the log likelihood ratios of all tested words; the log odds ratio from which a feature points to toxicity.
 SUPPORT, ALPHA, POINTS = 5, 0.05, 2.0
+#: Features of the model, at most: those with the largest ratios. They bound what the driver and each task hold (about 200 bytes each).
+FEATURES = 1 << 18
 #: Pointing words from which a toxic document has grade 2 and 3.
 GRADES = (5, 12)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -102,17 +101,21 @@ def fit(x: np.ndarray | Sparse, y: np.ndarray, grades: int, steps: int = 600, ra
     return w, first + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Ordinal:
-    """A model from the labels that are not held out: words are counted over all of them, weights fitted on a sample.
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    sample: int = SAMPLE, drawn: int = DRAWN, features: int = FEATURES,
+) -> Ordinal:
+    """A model from the labels that are not held out: words are counted over all of them in one scan, weights fitted on a sample.
 
-    Texts are only read, never shuffled.
+    Weights come from ``sample`` rows at most, of the documents of ``drawn`` labels. Labels reach the texts by a join on the id, of
+    any type, that broadcasts them below Spark's size threshold and else shuffles the labelled texts once. Rows without id
+    or label teach nothing; of several labels of an id the largest counts; repeated documents count repeatedly.
     """
     spark = docs.sparkSession
     ship(spark)
-    marked = labels.select(column(id_col).cast("long").alias("id"), column(label_col).alias("label")).dropna()
+    marked = labels.select(column(id_col).alias("id"), column(label_col).alias("label")).dropna()
     marked = marked.groupBy("id").agg(F.max("label").cast("int").alias("label")).where(~held_out(F.col("id")))
     marked = stored(marked, "labels")
-    parts = max(-(-marked.count() // PART), 1)
     texts = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,15 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 held[label > 0][""] += 1  # documents
             yield from emit(schema, ((len(w) + 16, (w, held[0][w], held[1][w])) for w in held[0].keys() | held[1].keys()))
 
-    def sums(found: DataFrame) -> DataFrame:
-        return found.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-
-    def scan(part: int) -> DataFrame:
-        own = marked.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
-        return sums(texts.join(F.broadcast(own), "id").mapInArrow(count, "word string, clean long, toxic long"))
-
-    # Parts one after the other: each is broadcast when the one before is done.
-    counts = scan(0) if parts == 1 else sums(reduce(DataFrame.unionAll, [stored(scan(p), "word-counts") for p in range(parts)]))
+    found = texts.join(marked, "id").select("label", "text").mapInArrow(count, "word string, clean long, toxic long")
+    counts = found.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # One pass over the counts: what is too rare to be a feature goes before the totals are known.
     held = counts.where((F.col("clean") + F.col("toxic") >= SUPPORT) | (F.col("word") == ""))
     total = F.first(F.when(F.col("word") == "", F.struct("clean", "toxic")), ignorenulls=True)
@@ -148,19 +144,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     tested = held.where("word != ''")
     clear = NormalDist().inv_cdf(1 - ALPHA / max(tested.count(), 1) / 2) ** 2
     odds = [F.log((n + 0.5) / (whole[c] - n + 0.5)) for n, c in ((a, "toxic"), (b, "clean"))]
-    best = tested.where(ratio >= clear).select("word", (odds[0] - odds[1]).alias("odds")).orderBy("word").collect()
-    drawn = marked.orderBy(F.xxhash64("id"), "id").limit(DRAWN)
-    rows = texts.join(F.broadcast(drawn), "id")  # at most DRAWN rows of two numbers
-    return _weights(rows, [r["word"] for r in best], np.array([r["odds"] for r in best]))
+    clear = tested.where(ratio >= clear).orderBy(ratio.desc(), "word").limit(features)
+    best = sorted(map(tuple, clear.select("word", (odds[0] - odds[1]).alias("odds")).collect()))
+    few = marked.orderBy(F.xxhash64("id"), "id").limit(drawn)
+    rows = texts.join(F.broadcast(few), "id")  # at most ``drawn`` rows of an id and a number
+    return _weights(rows, [w for w, _ in best], np.array([o for _, o in best]), sample)
 
 
-def _weights(rows: DataFrame, words: list[str], odds: np.ndarray) -> Ordinal:
+def _weights(rows: DataFrame, words: list[str], odds: np.ndarray, sample: int) -> Ordinal:
     """``odds`` are the words' log odds ratios, which the weights decay towards."""
     spark = rows.sparkSession
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = pa.schema([("id", _arrow_type(rows)), ("grade", pa.int32()), ("at", pa.binary()), ("x", pa.binary())])
     shared = spark.sparkContext.broadcast({w: (i, o >= POINTS) for i, (w, o) in enumerate(zip(words, odds.tolist(), strict=True))})
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("grade", pa.int32()), ("at", pa.binary()), ("x", pa.binary())])
         known = shared.value
 
         def each():
@@ -175,8 +173,8 @@ def _weights(rows: DataFrame, words: list[str], odds: np.ndarray) -> Ordinal:
 
         yield from emit(schema, each())
 
-    found = rows.mapInArrow(vectors, "id long, grade int, at binary, x binary")
-    found = found.orderBy(F.xxhash64("id"), "id", "at", "x", "grade").limit(SAMPLE).collect()
+    found = rows.mapInArrow(vectors, f"id {kind}, grade int, at binary, x binary")
+    found = found.orderBy(F.xxhash64("id"), "id", "at", "x", "grade").limit(sample).collect()
     at = [np.frombuffer(r["at"], np.int32) for r in found]
     own = np.repeat(np.arange(len(found)), [len(a) for a in at])
     columns, values = np.concatenate([np.zeros(0, np.int32), *at]), np.concatenate([np.zeros(0), *(np.frombuffer(r["x"]) for r in found)])
