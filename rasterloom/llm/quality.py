@@ -28,8 +28,10 @@ SAMPLE = 10_000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 128, 0.01
 #: The mean of so few words is drawn halfway to that of the sample; without words a text is as the sample's mean.
 SHRINK = 8
-#: Longer tokens, as in texts without white space, are cut into pieces, each with its own word and its whole shape.
-LONG, PIECE = 64, 8
+#: Signs of a piece. A token of more signs, a run of like characters being one, is several pieces, each with its own word and shape.
+PIECE = 8
+#: Longer tokens are not kept in the table of known ones, which does not change their pieces.
+LONG = 64
 _TOKENS = 1 << 16
 _KNOWN = 1 << 18
 
@@ -44,18 +46,42 @@ PLACES, SIGNS = _index_vectors()
 _MARKS = ".,;:!?$%&*#@|()[]{}<>\"'-_=+/"
 _RUNS = [(re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}"), "A"), (re.compile(r"\d+"), "9")]
 _CORE, _TWICE = re.compile(r"[^\W_]+"), re.compile(r"(.)\1+")
+_SIGN = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+|[A-ZÀ-ÖØ-Þ]+|\d+|(.)\1*", re.DOTALL)
 
 
 def _bucket(term: str) -> int:
     return zlib.crc32(term.encode()) % BUCKETS
 
 
+def pieces(token: str) -> list[str]:
+    """A token of at most PIECE signs as it is, others cut after each PIECE signs; words of letters only are one piece."""
+    if len(token) <= PIECE or token.isalpha():
+        return [token]
+    cuts = [m.start() for m in _SIGN.finditer(token)][::PIECE]
+    return [token[a:b] for a, b in zip(cuts, [*cuts[1:], len(token)], strict=True)]
+
+
 class Terms(dict):
-    """The buckets of a token in one number: its word, its shape, and its shape as a repeat of the token before it."""
+    """The buckets of a token's pieces, each in one number: word, shape, and shape as a repeat of the piece before it.
+
+    A token of several pieces has -1.
+    """
 
     def __missing__(self, token: str) -> int:
         if len(self) > _KNOWN:
             self.clear()
+        cut = pieces(token)
+        self[token] = found = self.code(token) if len(cut) == 1 else -1
+        return found
+
+    def codes(self, tokens: list[str]) -> np.ndarray:
+        """The numbers of all pieces, in order."""
+        found = [self[t] if len(t) <= LONG else -1 for t in tokens]
+        if -1 in found:
+            found = [x for t, c in zip(tokens, found, strict=True) for x in ([c] if c >= 0 else map(self.code, pieces(t)))]
+        return np.array(found, np.int64)
+
+    def code(self, token: str) -> int:
         core = token.strip(_MARKS)
         if core.isalpha():
             word = core.lower()
@@ -66,25 +92,21 @@ class Terms(dict):
             shape = token
             for run, sign in _RUNS:
                 shape = run.sub(sign, shape)
-        self[token] = found = _bucket("w" + word) * BUCKETS * BUCKETS + _shape_code(shape)
-        return found
+        return _bucket("w" + word) * BUCKETS * BUCKETS + _shape_code(shape)
 
 
 @lru_cache(1 << 16)
 def _shape_code(shape: str) -> int:
     """Buckets of a shape and of its repeat; runs of one sign are one."""
-    shape = _TWICE.sub(r"\1", shape)[:8]
+    shape = _TWICE.sub(r"\1", shape)
     return _bucket("s" + shape) * BUCKETS + _bucket("r" + shape)
 
 
 def token_terms(text: str, known: Terms) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of words and of shapes of a text, in parts of bounded length."""
     tokens, last = text.split(), -1
-    if max(map(len, tokens), default=0) > LONG:
-        tokens = [p for t in tokens for p in ([t] if len(t) <= LONG else [t[i : i + PIECE] for i in range(0, len(t), PIECE)])]
-    for low in range(0, len(tokens), _TOKENS):
-        part = tokens[low : low + _TOKENS]
-        codes = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
+    found = (known.codes(tokens[low : low + _TOKENS]) for low in range(0, len(tokens), _TOKENS))
+    for codes in (c[low : low + _TOKENS] for c in found for low in range(0, len(c), _TOKENS)):
         same = np.concatenate(([last], codes[:-1])) == codes
         both, again = np.divmod(codes, BUCKETS)
         words, shapes = np.divmod(both, BUCKETS)

@@ -1,5 +1,6 @@
 """Classifiers by held-out accuracy, graphs by recall."""
 
+import statistics
 import zlib
 
 import numpy as np
@@ -71,9 +72,13 @@ def test_every_character_of_a_long_token_enters():
     for i in range(len(text)):
         other = quality.pool(text[:i] + "=" + text[i + 1 :], none, quality.Terms())
         assert not np.allclose(base, other), i
-    short = "x" * quality.LONG
-    assert len(next(quality.token_terms(short, quality.Terms()))[0]) == 1
-    assert len(next(quality.token_terms(short + "y plain", quality.Terms()))[0]) == 10
+    one, other = "a.B-c/D:e_F+g", "a.B-c/D:e_9=9"
+    assert not np.allclose(quality.pool(one, none, quality.Terms()), quality.pool(other, none, quality.Terms()))
+    for n in (63, 64, 65, 1000):  # one rule for all lengths
+        assert len(next(quality.token_terms("x" * n, quality.Terms()))[0]) == 1
+        assert len(next(quality.token_terms("x1" * n, quality.Terms()))[0]) == -(-2 * n // quality.PIECE)
+        assert "".join(quality.pieces("aB" * n + "!")) == "aB" * n + "!"
+    assert sum(len(words) for words, _ in quality.token_terms("a1" * 500_000, quality.Terms())) == 125_000
 
 
 def test_ordinal_fit():
@@ -133,9 +138,46 @@ def test_toxicity_of_documents_with_rare_words_only(spark):
     assert sum(got[i] for i in clean) <= 0.01 * len(clean)
 
 
-def test_words_of_all_labels_are_counted(spark, monkeypatch):
-    """Two words of twelve documents, all behind the labels that weights are fitted on; labels go in several parts."""
-    monkeypatch.setattr(toxicity, "PART", 30_000, raising=False)
+def test_toxicity_by_loops_with_text_ids(spark):
+    """Features are the words that plain counts call significant; ids are texts; grades follow the thresholds."""
+    drawn = np.random.default_rng(9)
+    rows = [(f"d{i}", " ".join([f"w{chr(97 + n)}" for n in drawn.integers(0, 26, 12)] + ["vile"] * (i % 4 == 0) + ["mean"] * (i % 8 == 0))) for i in range(500)]
+    rows += [rows[4], ("d5", None), (None, "vile vile"), ("long", "vile " * 100_000)]
+    marks = [(f"d{i}", int(i % 4 == 0)) for i in range(500)] + [("d4", 0), ("d3", None), (None, 1), ("long", 1), ("gone", 1)]
+    docs, labels = spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame(marks, "doc_id string, toxic int")
+    model = toxicity.train(docs.repartition(3), labels)
+    known = {}
+    for i, label in marks:
+        if i is not None and label is not None and not held(i):
+            known[i] = max(label, known.get(i, 0))
+    own = [(known[i], set((text or "").split())) for i, text in rows if i in known]
+    n, total = [{}, {}], [0, 0]
+    for label, words in own:
+        total[label] += 1
+        for w in words:
+            n[label][w] = n[label].get(w, 0) + 1
+    tested = {w for w in n[0].keys() | n[1].keys() if n[0].get(w, 0) + n[1].get(w, 0) >= toxicity.SUPPORT}
+    clear = statistics.NormalDist().inv_cdf(1 - toxicity.ALPHA / len(tested) / 2) ** 2
+
+    def ratio(w):
+        both = [n[k].get(w, 0) for k in (0, 1)]
+        return 2 * sum(x * np.log(x / (t * sum(both) / sum(total))) for x, t in zip(both, total, strict=True) if x)
+
+    assert model.at.keys() == {w for w in tested if ratio(w) >= clear} == {"vile", "mean"}
+    strongest = max(model.at, key=ratio)
+    assert toxicity.train(docs, labels, features=1).at.keys() == {strongest}
+    assert toxicity.train(docs, labels, sample=50, drawn=100).at.keys() == model.at.keys()
+    out = toxicity.grade(docs, model).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(i) for i, _ in rows)
+    texts = {i: t or "" for i, t in rows}
+    for r in out:
+        score = sum(model.weights[model.at[w]] * np.log1p(texts[r.doc_id].split().count(w)) for w in model.at)
+        above = 1 / (1 + np.exp(-np.clip(score - model.thresholds, -40, 40)))
+        assert np.isclose(r.severity, above.sum()) and r.toxic == (above[0] >= 0.5)
+
+
+def test_words_of_all_labels_are_counted(spark):
+    """Two words of twelve documents, all behind the labels that weights are fitted on."""
     ids = spark.range(90_000).where(~quality.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
     ids = [r.id for r in ids.collect()]
     assert len(ids) > 50_100
