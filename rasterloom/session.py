@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     "spark.sql.session.timeZone": "UTC",
+    # The state of a stream lies on disk, and a batch writes only what it changes.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.python.worker.reuse": "true",
 }
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rasterloom.functions import codec
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix
 from rasterloom.operators.images import image_step, standardize_files
-from rasterloom.operators.joins import first_per
 from rasterloom.plans.work import run_counters
-from rasterloom.session import path_exists
+from rasterloom.session import path_exists, scratch, ship, stored
 from rasterloom.sinks.tables import append_dead_letters
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -21,11 +23,7 @@ _TASK_BYTES = 64 << 20
 
 
 def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> DataFrame:
-    """Names of image files as they arrive in ``folder``; contents are not read here.
-
-    Every batch is compared with the names finished so far, so batches should be large; a first
-    load of very many files is better done by a batch run.
-    """
+    """Names of image files as they arrive in ``folder``; contents are not read here."""
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -36,6 +34,19 @@ def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) ->
     return named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
 
 
+def _remember(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first path of a name in this batch, with the earlier batches in which the name came."""
+    path, size = None, 0
+    for part in parts:
+        at = part["path"].idxmin()
+        if path is None or part["path"][at] < path:
+            path, size = part["path"][at], part["bytes"][at]
+    came = state.get[0] if state.exists else ""
+    batch = TaskContext.get().getLocalProperty("streaming.sql.batchId")
+    state.update((f"{came},{batch}" if came else batch,))
+    yield pd.DataFrame({"name": [key[0]], "path": [path], "bytes": [size], "came": [came]})
+
+
 def stream_standardize(
     source: DataFrame,
     output: str,
@@ -47,20 +58,33 @@ def stream_standardize(
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop; ``output`` is a Parquet image table.
 
-    The checkpoint remembers the files seen. Each batch first settles, on names alone, what is
-    still to be done, then reads the bytes. A batch that is repeated overwrites its own folder, in
+    The checkpoint remembers the files seen and, as state by name, the batches in which each name came. A new name
+    is read without a look at earlier outputs. A name that came before is looked up in the outputs of just those
+    batches, so it is processed again if it failed there or its output was deleted. The work of a batch thus
+    follows what arrives, not what was done before. State is kept by Spark's state store (RocksDB in ``session()``);
+    of a name that comes from several paths in a batch the first path counts. A batch that is repeated overwrites its own folder, in
     ``output`` as in the tables of dead letters (``letters``) and of counts by status (``counters``).
     """
     step = step or image_step()
+    ship(source.sparkSession)
+    named = source.select("name", "path", "bytes").groupBy("name").applyInPandasWithState(
+        _remember, "name string, path string, bytes long, came string", "came string", "append", GroupStateTimeout.NoTimeout
+    )
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            settle(batch, batch_id)
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = first_per(batch, "name", [F.col("path")])
-        if path_exists(spark, output):
-            fresh = fresh.join(finished(spark, output, batch_id), "name", "left_anti")
-        total = batch.agg(F.sum("bytes")).first()[0] or 0
+        fresh = stored(batch, "arrived")
+        again = fresh.filter("came <> ''").select(F.explode(F.split("came", ",")).alias("batch")).distinct()
+        earlier = sorted(int(r["batch"]) for r in again.collect())  # numbers of batches
+        if earlier and path_exists(spark, output):
+            fresh = fresh.join(finished(spark, output, earlier), "name", "left_anti")
+        total = fresh.agg(F.sum("bytes")).first()[0] or 0
         tasks = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
-        results = standardize_files(fresh.drop("bytes").repartition(tasks), step, decode, "path")
+        results = standardize_files(fresh.drop("bytes", "came").repartition(tasks), step, decode, "path")
         sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)).cast("long"))
         where = f"{output}/batch={batch_id}"
         sized.write.mode("overwrite").parquet(where)
@@ -73,16 +97,16 @@ def stream_standardize(
             run_counters(done.select(outcome.alias("status"))).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
 
     return (
-        source.writeStream.foreachBatch(process)
+        named.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def finished(spark: SparkSession, output: str, before: int) -> DataFrame:
-    """Names with a non-empty output of an earlier batch; image bytes are not read."""
+def finished(spark: SparkSession, output: str, batches: list[int]) -> DataFrame:
+    """Names with a non-empty output in one of the batches; others are not opened, and image bytes are not read."""
     # With a schema, a first batch that broke off and left no file is no error.
     table = spark.read.schema("name string, size_bytes long, batch long").parquet(output)
-    table = table.filter(F.col("batch") < before)
+    table = table.filter(F.col("batch").isin(batches))
     return table.filter("size_bytes > 0").select("name").distinct()

@@ -1,4 +1,5 @@
 import os
+import shutil
 import zipfile
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 
 from rasterloom.functions import codec, raster
 from rasterloom.plans.run import RunOptions, run
+from rasterloom.streaming import standardize
 from rasterloom.streaming.standardize import file_stream, stream_standardize
 
 RNG = np.random.default_rng(11)
@@ -165,6 +167,42 @@ def test_a_lost_stream_state_does_not_repeat_finished_work(spark, tmp_path):
     assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["i0.bmp", "i1.bmp"]
 
 
+@pytest.mark.parametrize("provider", ["HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider"])
+def test_a_batch_opens_only_the_outputs_of_names_that_come_again(spark, tmp_path, monkeypatch, provider):
+    source, late, last, out = tmp_path / "in" / "a", tmp_path / "in" / "b", tmp_path / "in" / "c", tmp_path / "out"
+    opened, real = [], standardize.finished
+    monkeypatch.setattr(standardize, "finished", lambda s, o, batches: opened.append(batches) or real(s, o, batches))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, f"org.apache.spark.sql.execution.streaming.state.{provider}")
+
+    def once():
+        query = stream_standardize(file_stream(spark, str(tmp_path / "in" / "*")), str(out), str(tmp_path / "s"))
+        query.awaitTermination()
+        assert query.exception() is None
+        read = spark.read.parquet(str(out)).selectExpr("name", "cast(batch AS INT) AS batch", "status")
+        return query.lastProgress, sorted(map(tuple, read.collect()))
+
+    try:
+        for n in range(5):  # nothing comes again: no output is opened, however many there are
+            put(source, [f"i{n}.bmp"])
+            progress, rows = once()
+            assert progress["stateOperators"][0]["numRowsTotal"] == n + 1 and len(rows) == n + 1
+        assert opened == []
+        (source / "bad.bmp").write_bytes(b"BM")
+        once()
+        put(late, ["i1.bmp", "i3.bmp"])  # one is finished, of one the output is lost, one had failed
+        (late / "bad.bmp").write_bytes(b"BM")
+        shutil.rmtree(out / "batch=3")
+        rows = once()[1]
+        assert opened == [[1, 3, 5]]
+        assert [(n, b) for n, b, _ in rows] == [("bad.bmp", 5), ("bad.bmp", 6), ("i0.bmp", 0), ("i1.bmp", 1), ("i2.bmp", 2), ("i3.bmp", 6), ("i4.bmp", 4)]
+        put(last, ["i3.bmp"])
+        assert once()[1] == rows and opened[1:] == [[3, 6]]
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_table_output_resumes_after_a_first_write_that_broke_off(spark, tmp_path):
     put(tmp_path / "images", ["i0.bmp"])
     rest = tmp_path / "images_standardized_table" / "run=x" / "_temporary" / "0"
