@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions.names import INGEST_SUFFIXES, has_suffix, target_path
@@ -103,6 +103,12 @@ def missing_inputs(plan: DataFrame) -> DataFrame:
     )
 
 
+def outcomes() -> list[Column]:
+    """Counts of processed and failed images that come with their write, for ``DataFrame.observe``."""
+    good = F.col("status") == "ok"
+    return [F.count(F.when(good, 1)).alias("processed"), F.count(F.when(~good, 1)).alias("failed")]
+
+
 def run_counters(results: DataFrame) -> DataFrame:
     """(status, images) with status processed, skipped or failed."""
     return results.groupBy("status").agg(F.count("*").alias("images"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from rasterloom.functions import codec
 from rasterloom.functions.names import INGEST_SUFFIXES, basename, has_suffix
 from rasterloom.operators.images import image_step, standardize_files
-from rasterloom.plans.work import run_counters
+from rasterloom.plans.work import outcomes
 from rasterloom.session import path_exists, scratch, ship, stored
 from rasterloom.sinks.tables import append_dead_letters
 
@@ -63,7 +63,8 @@ def stream_standardize(
     batches, so it is processed again if it failed there or its output was deleted. The work of a batch thus
     follows what arrives, not what was done before. State is kept by Spark's state store (RocksDB in ``session()``);
     of a name that comes from several paths in a batch the first path counts. A batch that is repeated overwrites its own folder, in
-    ``output`` as in the tables of dead letters (``letters``) and of counts by status (``counters``).
+    ``output`` as in the tables of dead letters (``letters``) and of counts by status (``counters``), which come with
+    the write of the images, without a second read.
     """
     step = step or image_step()
     ship(source.sparkSession)
@@ -87,14 +88,16 @@ def stream_standardize(
         results = standardize_files(fresh.drop("bytes", "came").repartition(tasks), step, decode, "path")
         sized = results.withColumn("size_bytes", F.coalesce(F.length("image.data"), F.lit(0)).cast("long"))
         where = f"{output}/batch={batch_id}"
-        sized.write.mode("overwrite").parquet(where)
+        watch = Observation(f"batch-{batch_id}")
+        sized.observe(watch, *outcomes()).write.mode("overwrite").parquet(where)
         done = spark.read.schema("name string, status string, error string").parquet(where)
         if letters:
             lost = done.filter("status <> 'ok'").select(F.col("name").alias("image_name"), F.lit("process").alias("stage"), "error")
             append_dead_letters(lost, f"{letters}/batch={batch_id}", f"batch-{batch_id}", "overwrite")
         if counters:
-            outcome = F.when(F.col("status") == "ok", "processed").otherwise("failed")
-            run_counters(done.select(outcome.alias("status"))).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
+            held = [(status, n) for status, n in watch.get.items() if n]
+            held = spark.createDataFrame(held, "status string, images long")
+            held.write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
 
     return (
         named.writeStream.foreachBatch(process)

@@ -243,4 +243,9 @@ def test_stream_writes_dead_letters_and_counters(spark, tmp_path):
         stream_standardize(file_stream(spark, str(source)), out, str(tmp_path / state), **tables).awaitTermination()
     letters = spark.read.parquet(tables["letters"]).collect()
     assert {(r["image_name"], r["stage"]) for r in letters} == {("bad.bmp", "process")} and all(r["error"] for r in letters)
-    assert {r["status"] for r in spark.read.parquet(tables["counters"]).collect()} <= {"processed", "failed"}
+    counted = sorted((r["batch"], r["status"], r["images"]) for r in spark.read.parquet(tables["counters"]).collect())
+    assert counted == [(0, "failed", 1), (0, "processed", 1)]
+    put(source, ["i1.bmp", "i2.bmp"])
+    stream_standardize(file_stream(spark, str(source)), out, str(tmp_path / "s"), **tables).awaitTermination()
+    later = spark.read.parquet(tables["counters"]).filter("batch = 1").collect()
+    assert [(r["status"], r["images"]) for r in later] == [("processed", 2)]
