@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from rasterloom.session import ship, stored
 
-__all__ = ["blocks", "column", "emit", "lower_ascii", "ship", "stored", "table", "vocabulary"]
+__all__ = ["blocks", "column", "emit", "lower_ascii", "ship", "sifted", "stored", "table", "vocabulary"]
 
 BLOCK_BYTES = 16 << 20
 EMIT_BYTES = 4 << 20
+#: Bits of the bitmap over the hashes of wanted rows, in parts of 2 ** 15.
+SIFT_BITS = 1 << 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,21 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
+def sifted(rows: DataFrame, hash_: Column, wanted: DataFrame, bits: int = SIFT_BITS) -> DataFrame:
+    """The rows whose ``hash_`` (a long) is in the column ``hash`` of ``wanted``, and some others; no row is shuffled.
+
+    Spares an exact join the rows that cannot meet, before they are shuffled. What is broadcast are ``bits`` at most,
+    8 MB; the more rows are wanted, the more others stay: one in 16 at 4 million, most beyond 50 million.
+    """
+    split = lambda h: (F.shiftright(F.pmod(h, F.lit(bits)), 15), F.pmod(h, F.lit(1 << 15)).cast("int"))
+    part, at = split(F.col("hash"))
+    parts = wanted.select(part.alias("sift_part"), at.alias("at")).groupBy("sift_part").agg(F.bitmap_construct_agg("at").alias("sift_bits"))
+    part, at = split(hash_)
+    rows = rows.withColumns({"sift_part": part, "sift_at": at}).join(F.broadcast(parts), "sift_part")
+    byte = F.conv(F.hex(F.expr("substring(sift_bits, cast(sift_at div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    return rows.where(F.getbit(byte, F.expr("sift_at % 8")) == 1).drop("sift_part", "sift_at", "sift_bits")
+
+
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
     """Rows in blocks of about ``limit`` bytes; a larger single row is a block of its own."""
     held, size = [], 0

@@ -10,6 +10,7 @@ toxicity.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from statistics import NormalDist
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.llm.bpe import _arrow_type
-from rasterloom.llm.common import blocks, column, emit, ship, stored
+from rasterloom.llm.common import blocks, column, emit, ship, sifted, stored
 from rasterloom.llm.quality import held_out
 
 #: Labelled rows that the weights are fitted on, at most, from the documents of so many labels: those with the smallest
@@ -33,6 +34,8 @@ SUPPORT, ALPHA, POINTS = 5, 0.05, 2.0
 FEATURES = 1 << 18
 #: Pointing words from which a toxic document has grade 2 and 3.
 GRADES = (5, 12)
+#: Bytes of distinct words that a task counts at a time.
+COUNTED = 8 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -108,7 +111,8 @@ def train(
     """A model from the labels that are not held out: words are counted over all of them in one scan, weights fitted on a sample.
 
     Weights come from ``sample`` rows at most, of the documents of ``drawn`` labels. Labels reach the texts by a join on the id, of
-    any type, that broadcasts them below Spark's size threshold and else shuffles the labelled texts once. Rows without id
+    any type, that broadcasts them below Spark's size threshold and else shuffles, deflated, the distinct words of the
+    labelled texts, which a bitmap over their ids picks before. Rows without id
     or label teach nothing; of several labels of an id the largest counts; repeated documents count repeatedly.
     """
     spark = docs.sparkSession
@@ -118,17 +122,20 @@ def train(
     marked = stored(marked, "labels")
     texts = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
-        for block in blocks(batches, 4 << 20):
-            held = (Counter(), Counter())
-            for label, text in zip(block.column("label").to_pylist(), block.column("text").to_pylist(), strict=True):
-                found = set(words_of(text))
-                held[label > 0].update(found)
-                held[label > 0][""] += 1  # documents
-            yield from emit(schema, ((len(w) + 16, (w, held[0][w], held[1][w])) for w in held[0].keys() | held[1].keys()))
-
-    found = texts.join(marked, "id").select("label", "text").mapInArrow(count, "word string, clean long, toxic long")
+    kind, schema = texts.schema["id"].dataType.simpleString(), pa.schema([("id", _arrow_type(texts)), ("words", pa.binary())])
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each():
+            for block in blocks(batches):
+                for i, text in zip(block.column("id").to_pylist(), block.column("text").to_pylist(), strict=True):
+                    words = zlib.compress(" ".join(sorted(set(words_of(text)))).encode(), 1)
+                    yield len(words), (i, words)
+
+        yield from emit(schema, each())
+
+    labelled = texts.select("id").join(marked, "id").select(F.xxhash64("id").alias("hash"))
+    words = sifted(texts, F.xxhash64("id"), labelled).mapInArrow(distinct, f"id {kind}, words binary")
+    found = words.join(marked, "id").select("label", "words").mapInArrow(_count, "word string, clean long, toxic long")
     counts = found.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # One pass over the counts: what is too rare to be a feature goes before the totals are known.
     held = counts.where((F.col("clean") + F.col("toxic") >= SUPPORT) | (F.col("word") == ""))
@@ -151,6 +158,26 @@ def train(
     return _weights(rows, [w for w, _ in best], np.array([o for _, o in best]), sample)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents that hold a word, by label, from their distinct words; those of the empty word are all documents."""
+    schema = pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())])
+
+    def rows(clean: Counter, toxic: Counter):
+        return ((len(w) + 16, (w, clean[w], toxic[w])) for w in clean.keys() | toxic.keys())
+
+    held, size = (Counter(), Counter()), 0
+    for block in blocks(batches):
+        for label, words in zip(block.column("label").to_pylist(), block.column("words").to_pylist(), strict=True):
+            words = zlib.decompress(words).decode()
+            own, size = held[label > 0], size + len(words)
+            own.update(words.split())
+            own[""] += 1
+            if size >= COUNTED:
+                yield from emit(schema, rows(*held))
+                held, size = (Counter(), Counter()), 0
+    yield from emit(schema, rows(*held))
+
+
 def _weights(rows: DataFrame, words: list[str], odds: np.ndarray, sample: int) -> Ordinal:
     """``odds`` are the words' log odds ratios, which the weights decay towards."""
     spark = rows.sparkSession

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.llm import hnsw, quality, toxicity
+from rasterloom.llm import common, hnsw, quality, toxicity
 from rasterloom.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -176,6 +176,34 @@ def test_toxicity_by_loops_with_text_ids(spark):
         assert np.isclose(r.severity, above.sum()) and r.toxic == (above[0] >= 0.5)
 
 
+def test_sifting_keeps_all_wanted_rows_and_few_others(spark):
+    ids = spark.range(100_000).select((F.col("id") * 7919 - 300_000_000).alias("id"))
+    wanted = ids.where("id % 50 = 0").select(F.xxhash64("id").alias("hash"))
+    got = {r.id for r in common.sifted(ids, F.xxhash64("id"), wanted).collect()}
+    assert got >= {r.id for r in ids.where("id % 50 = 0").collect()} and len(got) < 2_100
+    assert common.sifted(ids, F.xxhash64("id"), wanted, bits=1 << 15).where("id % 50 = 0").count() == 2_000
+    assert common.sifted(ids, F.xxhash64("id"), wanted.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_toxicity_shuffles_no_text(spark, monkeypatch, kind):
+    """Where labels are too many to broadcast, distinct words of labelled texts go to them; ids may differ in type."""
+    plans = {}
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and common.stored(df, name))
+    rows = [(i, "plain words vile" if i % 3 == 0 else "plain words") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(0, 600, 2)], "doc_id long, toxic int").withColumn("doc_id", F.col("doc_id").cast(kind))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = toxicity.train(docs, labels)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert model.at.keys() == {"vile"}
+    plan = plans["word-counts"].split("== Physical Plan ==")[1]
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert "MapInArrow" in joined[: joined.index("BroadcastHashJoin")]
+
+
 def test_words_of_all_labels_are_counted(spark):
     """Two words of twelve documents, all behind the labels that weights are fitted on."""
     ids = spark.range(90_000).where(~quality.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
