@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.operators.images import IMAGE_SCHEMA, struct_type, pack
 from rasterloom.session import ship
+from rasterloom.sources.batches import emit
 
 # Fixed value: folder order of the fixture inventory.
 FOLDERS = ["images", "samples", "Samples", "base"]
@@ -106,27 +107,20 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(image_id, orientation, image): one image per embedding, of varying size and channels."""
     ship(spark)
     vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
-    struct = struct_type()
+    made = {"orientation": pa.int32(), "image": struct_type()}
+
+    def drawn(batch):
+        for i, v in zip(batch.column("image_id").to_pylist(), batch.column("embedding")):
+            image = pack(draw(i, np.asarray(v.as_py(), np.float64)), f"img_{i}")
+            yield (i % 8 + 1, image), len(image["data"])
 
     def build(batches):
         for batch in batches:
-            ids = batch.column("vec_id").to_pylist()
-            images = [
-                pack(draw(i, np.asarray(v.as_py(), np.float64)), f"img_{i}")
-                for i, v in zip(ids, batch.column("embedding"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array([i % 8 + 1 for i in ids], pa.int32()),
-                    pa.array(images, struct),
-                ],
-                names=["image_id", "orientation", "image"],
-            )
+            yield from emit(batch, ["image_id"], made, drawn(batch))
 
     # A short vector becomes a whole image to be worked on, so the rows are spread over all cores.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = vectors.select("vec_id", "embedding").repartition(tasks, "vec_id")
+    spread = vectors.select("vec_id", "embedding").repartition(tasks, "vec_id").withColumnRenamed("vec_id", "image_id")
     return spread.mapInArrow(build, f"image_id long, orientation int, {IMAGE_SCHEMA}")
 
 

@@ -1,13 +1,16 @@
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from rasterloom.checks import views
 from rasterloom.functions import codec, raster
 from rasterloom.operators import images, metrics
 from rasterloom.operators.images import pack, unpack
+from rasterloom.sources.batches import CONTENT, emit
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import the tests
 
@@ -180,3 +183,23 @@ def test_batched_model_calls(spark, held):
     got = results(images.standardize(frame, counted_model))
     assert {n: r["error"] for n, r in got.items() if r["status"] == "failed" and n != "small"} == {"a1": "black corner", "lost": "not_found"}
     assert len(got) == len(rows)
+
+
+def test_batches_of_any_size_leave_in_small_parts():
+    """A worker holds a few MB of results at a time, whatever comes in at once."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40))], names=["n"])
+    made = (((b"x" * (1 << 20), "ok", None), 1 << 20) for _ in range(40))
+    parts = list(emit(batch, ["n"], CONTENT, made))
+    assert pa.Table.from_batches(parts).column("n").to_pylist() == list(range(40))
+    assert max(p.nbytes for p in parts) < 6 << 20
+
+
+def test_drawn_rasters_leave_in_small_parts(spark, tmp_path, monkeypatch):
+    vectors = spark.createDataFrame([(i, [0.1] * 64) for i in range(8)], "vec_id long, embedding array<float>")
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    builds, before = [], type(vectors).mapInArrow
+    monkeypatch.setattr(type(vectors), "mapInArrow", lambda df, build, schema: builds.append(build) or before(df, build, schema))
+    assert {(r.image_id, r.orientation) for r in views.rasters(spark, str(tmp_path)).collect()} == {(i, i % 8 + 1) for i in range(8)}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array([[0.1] * 64] * 6000, pa.list_(pa.float32()))], names=["image_id", "embedding"])
+    parts = list(builds[0](iter([batch])))
+    assert sum(p.num_rows for p in parts) == 6000 and max(p.nbytes for p in parts) < 6 << 20
