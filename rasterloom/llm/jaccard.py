@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from rasterloom.llm.common import blocks, column, emit, ship, stored
+from rasterloom.llm.common import blocks, column, emit, ship, sifted, stored
 from rasterloom.llm.components import components
 from rasterloom.llm.hashing import Hashes, chained, mixed
 
@@ -150,12 +150,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
 def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(c, key, n, shingles, groups) of the classes whose document is ``chosen`` (key, id, text, rarity).
 
-    ``c`` numbers the classes by rarity, from 0 to 127, then in any order.
+    ``c`` numbers the classes by rarity, from 0 to 127, then in any order. A bitmap picks the documents, so no other text
+    is shuffled; the sets of some others that it lets pass find no key.
     """
     text = F.coalesce(column(text_col), F.lit(""))
-    rows = docs.select(column(id_col).alias("own_id"), text.alias("own_text"))
-    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.xxhash64("own_text") == F.col("text"))
-    rows = rows.join(chosen.select("id", "text"), same, "left_semi").select(F.col("own_text").alias("text"))
+    rows = docs.select(column(id_col).alias("id"), text.alias("text"))
+    wanted = chosen.select(F.xxhash64("id", "text").alias("hash"))
+    rows = sifted(rows, F.xxhash64("id", F.xxhash64("text")), wanted).select("text")
     schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("groups", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +173,7 @@ def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingl
 
     found = rows.mapInArrow(run, "key binary, n long, shingles array<long>, groups array<long>").dropDuplicates(["key"])
     rarity = F.shiftleft(F.coalesce("rarity", F.lit(127)).cast("long"), 54)
-    found = found.join(chosen.select("key", "rarity").dropDuplicates(["key"]), "key", "left")
+    found = found.join(chosen.select("key", "rarity"), "key")
     return stored(found.withColumn("c", rarity + F.monotonically_increasing_id()).drop("rarity"), "sets")
 
 

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.llm import jaccard
+from rasterloom.llm import common, jaccard
 
 
 def plain(docs, width=5, share=80):
@@ -113,3 +113,20 @@ def test_copies_around_a_pivot(spark):
     far = {c for c, p in at.items() if not near(c, p)}
     want = {(x, y) for x in at for y in at if x < y and at[x] == at[y] and (x in far or y in far) and near(x, y)}
     assert want and got == want
+
+
+def test_only_chosen_texts_are_shuffled(spark, monkeypatch):
+    """Sets come from the chosen documents, which are found without a join that shuffles every text."""
+    plans = {}
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and common.stored(df, name))
+    base = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*base[:-1], f"own{i}"])) for i in range(40)] + [(None, " ".join(base))]
+    docs += [(i, " ".join(f"x{i}-{k}" for k in range(60))) for i in range(100, 500)] + [(100, "alone")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = jaccard.similar(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, got), key=str) == plain(docs)
+    plan = plans["sets"].split("== Physical Plan ==")[1]
+    assert "LeftSemi" not in plan and "BroadcastHashJoin" in plan[plan.index("MapInArrow") :]
