@@ -18,6 +18,9 @@ from rasterloom.sources.batches import emit
 # Fixed value: folder order of the fixture inventory.
 FOLDERS = ["images", "samples", "Samples", "base"]
 
+#: Images, of some 2 KB each, that a task draws.
+TASK_ROWS = 1000
+
 
 def _copies(dialect: str, test: str) -> str:
     """Numbers 0 and, where ``test`` holds, 1: one output row per number."""
@@ -118,8 +121,9 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches:
             yield from emit(batch, ["image_id"], made, drawn(batch))
 
-    # A short vector becomes a whole image to be worked on, so the rows are spread over all cores.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A short vector becomes a whole image to be worked on, so the rows are spread over all cores, and over more tasks
+    # as they grow: what a task holds of them, in each of its steps, stays the same.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vectors.count() // TASK_ROWS))
     spread = vectors.select("vec_id", "embedding").repartition(tasks, "vec_id").withColumnRenamed("vec_id", "image_id")
     return spread.mapInArrow(build, f"image_id long, orientation int, {IMAGE_SCHEMA}")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from rasterloom.sources import storage
 
 #: Results that a worker holds before it hands them on; several workers of a task are alive at once.
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES = 1 << 20
 READ_AHEAD = 8
 
 CONTENT = {"content": pa.binary(), "status": pa.string(), "error": pa.string()}

@@ -20,6 +20,9 @@ from rasterloom.sinks.tables import append_dead_letters
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 _TASK_BYTES = 64 << 20
+#: Names whose rows and states a Python worker gathers at once; Spark keeps two small tables for each until then.
+STATE_ROWS = 250
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> DataFrame:
@@ -47,6 +50,17 @@ def _remember(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> I
     yield pd.DataFrame({"name": [key[0]], "path": [path], "bytes": [size], "came": [came]})
 
 
+def _arrived(batch: DataFrame) -> DataFrame:
+    """The names of a batch, stored; a worker gathers ``STATE_ROWS`` of them at most."""
+    own = batch.sparkSession  # the stream's copy of the session: the caller's is left as it is
+    rows = own.conf.get(_ROWS_KEY)
+    own.conf.set(_ROWS_KEY, min(int(rows), STATE_ROWS) if int(rows) > 0 else STATE_ROWS)
+    try:
+        return stored(batch, "arrived")
+    finally:
+        own.conf.set(_ROWS_KEY, rows)
+
+
 def stream_standardize(
     source: DataFrame,
     output: str,
@@ -78,7 +92,7 @@ def stream_standardize(
 
     def settle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = stored(batch, "arrived")
+        fresh = _arrived(batch)
         again = fresh.filter("came <> ''").select(F.explode(F.split("came", ",")).alias("batch")).distinct()
         earlier = sorted(int(r["batch"]) for r in again.collect())  # numbers of batches
         if earlier and path_exists(spark, output):

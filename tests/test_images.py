@@ -203,3 +203,13 @@ def test_drawn_rasters_leave_in_small_parts(spark, tmp_path, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array([[0.1] * 64] * 6000, pa.list_(pa.float32()))], names=["image_id", "embedding"])
     parts = list(builds[0](iter([batch])))
     assert sum(p.num_rows for p in parts) == 6000 and max(p.nbytes for p in parts) < 6 << 20
+
+
+def test_a_task_draws_a_bounded_number_of_rasters(spark, tmp_path, monkeypatch):
+    vectors = spark.createDataFrame([(i, [0.1] * 64) for i in range(400)], "vec_id long, embedding array<float>")
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setattr(views, "TASK_ROWS", 20, raising=False)
+    made = views.rasters(spark, str(tmp_path)).select("image_id", F.spark_partition_id().alias("task")).collect()
+    tasks = [r["task"] for r in made]
+    assert sorted(r["image_id"] for r in made) == list(range(400))
+    assert max(map(tasks.count, set(tasks))) <= 40

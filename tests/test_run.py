@@ -1,8 +1,10 @@
+import gc
 import os
 import shutil
 import zipfile
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from rasterloom.functions import codec, raster
@@ -211,6 +213,35 @@ def test_table_output_resumes_after_a_first_write_that_broke_off(spark, tmp_path
     assert counts(spark, tmp_path, skip_zip=True, as_table=True) == {"skipped": 1}
 
 
+def test_a_worker_gathers_a_bounded_number_of_names(spark, tmp_path, monkeypatch):
+    """The tables that Spark keeps for the names of a batch do not add up with the names of a partition."""
+    source, out, log, real = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log"), standardize._remember
+
+    def remember(key, parts, state):
+        alive = sum(isinstance(x, pd.DataFrame) for x in gc.get_objects())
+        with open(log, "a") as lines:
+            lines.write(f"{alive}\n")
+        yield from real(key, parts, state)
+
+    monkeypatch.setattr(standardize, "_remember", remember)
+    monkeypatch.setattr(standardize, "STATE_ROWS", 20)
+    source.mkdir()
+    for n in range(120):
+        (source / f"f{n}.bmp").write_bytes(b"BM")
+    rows, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.shuffle.partitions")
+    limit = spark.conf.get(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        query = stream_standardize(file_stream(spark, str(source)), out, str(tmp_path / "s"))
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert query.exception() is None and spark.conf.get(rows) == limit
+    assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == sorted(f"f{n}.bmp" for n in range(120))
+    alive = [int(x) for x in open(log).read().split()]
+    assert len(alive) == 120 and max(alive) < 60
+
+
 def test_stream_starts_again_after_a_first_batch_that_broke_off(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     put(source, ["i0.bmp"])
