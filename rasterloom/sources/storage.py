@@ -60,7 +60,7 @@ def remove(uri: str) -> None:
 def list_folder(uri: str):
     """Yield (name, size, modified seconds, whether it is a folder) of what lies directly in a folder.
 
-    Links to folders are not followed; a folder that is gone by now is empty.
+    Links to folders are not followed; a folder that is gone by now is empty, and a file that is gone is left out.
     """
     files, path = locate(uri)
     if isinstance(files, arrow_fs.LocalFileSystem):
@@ -70,7 +70,10 @@ def list_folder(uri: str):
                     if entry.is_dir(follow_symlinks=False):
                         yield entry.name, 0, 0.0, True
                     elif entry.is_file() and not entry.name.startswith(PARTIAL):
-                        info = entry.stat()
+                        try:
+                            info = entry.stat()
+                        except FileNotFoundError:
+                            continue
                         yield entry.name, info.st_size, info.st_mtime, False
         except FileNotFoundError:
             return

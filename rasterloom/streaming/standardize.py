@@ -17,16 +17,27 @@ from rasterloom.operators.images import image_step, standardize_files
 from rasterloom.plans.work import outcomes
 from rasterloom.session import path_exists, scratch, ship, stored
 from rasterloom.sinks.tables import append_dead_letters
+from rasterloom.sources.files import list_files
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 _TASK_BYTES = 64 << 20
 #: Names whose rows and states a Python worker gathers at once; Spark keeps two small tables for each until then.
 STATE_ROWS = 250
 _ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Names in a file of the log of arrivals: the driver sees these files, not the images they name.
+LOG_ROWS = 10_000
+_LOG_SCHEMA = "name string, path string, bytes long, modified timestamp"
+# Of folders below the given one Spark's file source takes those of partitions, and it passes over hidden names.
+_TAKEN = r"^([^/]*=[^/]*/)*[^/]+$"
+_HIDDEN = r"(^|/)(\.|_(?!metadata|common_metadata)[^/=]*(/|$))"
 
 
 def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> DataFrame:
-    """Names of image files as they arrive in ``folder``; contents are not read here."""
+    """Names of image files as they arrive in ``folder``; contents are not read here.
+
+    Spark's file source keeps every file that it lists or has seen on the driver. ``stream_standardize`` takes the
+    same names from a log that tasks write into its checkpoint, if ``folder`` stands for folders alone.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -34,7 +45,54 @@ def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) ->
         .load(folder)
     )
     named = files.select("path", basename(F.col("path")).alias("name"), F.col("length").alias("bytes"))
-    return named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
+    arriving = named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
+    arriving._arrives = (folder, max_files)
+    return arriving
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str] | None:
+    """The folders that ``pattern`` stands for; None if it stands for a file too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    folders = []
+    for found in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []:
+        if not found.isDirectory():
+            return None
+        folders.append(found.getPath().toString())
+    return folders
+
+
+def _logged(spark: SparkSession, folders: list[str], max_files: int, log: str) -> DataFrame:
+    """Stream of the names in ``folders``, by way of ``log``, to which those that it does not hold yet are added.
+
+    Tasks list the folders, compare the names with the log and write it; the driver sees the files of the log. The
+    names of ``max_files`` images at most come in one batch, the oldest first.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(log)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    rows = max(1, min(LOG_ROWS, max_files))
+    with scratch(spark):
+        listed = list_files(spark, {folder: folder for folder in folders}, recurse=True)
+        listed = listed.filter(F.col("name").rlike(_TAKEN) & ~F.col("name").rlike(_HIDDEN))
+        named = listed.select(basename(F.col("path")).alias("name"), "path", F.col("size_bytes").alias("bytes"), F.col("mtime").alias("modified"))
+        named = named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
+        # Paths compress so well that a large log would pass for small enough to be broadcast.
+        known = spark.read.schema(_LOG_SCHEMA).parquet(log).select("path").hint("merge")
+        fresh = stored(named.join(known, "path", "left_anti").select("name", "path", "bytes", "modified"), "fresh")
+        count = fresh.count()
+        if count:
+            before = {part.getPath().getName() for part in files.listStatus(place)}
+            age = ["modified", "path"]
+            dealt = fresh.repartitionByRange(-(-count // rows), *age).sortWithinPartitions(*age)
+            dealt.write.option("maxRecordsPerFile", rows).mode("append").parquet(log)
+        if count > max_files:  # Spark takes the files of the log by their time
+            written = {part.getPath().getName(): part for part in files.listStatus(place)}
+            made = sorted(name for name in written if name.startswith("part-") and name not in before)
+            last = max(written[name].getModificationTime() for name in made)
+            for at, name in enumerate(made):
+                files.setTimes(written[name].getPath(), last + at, -1)
+    read = spark.readStream.schema(_LOG_SCHEMA).option("maxFilesPerTrigger", max(1, max_files // rows))
+    return read.parquet(log).filter("bytes > 0")  # as Spark, which marks empty files as seen and passes over them
 
 
 def _remember(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -72,7 +130,7 @@ def stream_standardize(
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop; ``output`` is a Parquet image table.
 
-    The checkpoint remembers the files seen and, as state by name, the batches in which each name came. A new name
+    The checkpoint remembers the files seen (in ``arrivals``, for a ``file_stream``) and, as state by name, the batches in which each name came. A new name
     is read without a look at earlier outputs. A name that came before is looked up in the outputs of just those
     batches, so it is processed again if it failed there or its output was deleted. The work of a batch thus
     follows what arrives, not what was done before. State is kept by Spark's state store (RocksDB in ``session()``);
@@ -81,7 +139,12 @@ def stream_standardize(
     the write of the images, without a second read.
     """
     step = step or image_step()
-    ship(source.sparkSession)
+    spark = source.sparkSession
+    ship(spark)
+    folder, max_files = vars(source).get("_arrives", (None, 0))
+    folders = _folders(spark, folder) if folder else None
+    if folders is not None:
+        source = _logged(spark, folders, max_files, f"{checkpoint}/arrivals")
     named = source.select("name", "path", "bytes").groupBy("name").applyInPandasWithState(
         _remember, "name string, path string, bytes long, came string", "came string", "append", GroupStateTimeout.NoTimeout
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions import codec
 from rasterloom.functions.names import AUDIT_SUFFIXES
 from rasterloom.sinks.files import copy_files, write_archives, write_files
-from rasterloom.sources import archives, files
+from rasterloom.sources import archives, files, storage
 from rasterloom.sources.images import decode_images, read_content, read_orientation
 
 
@@ -247,3 +247,14 @@ def test_a_tree_is_listed_by_many_tasks(spark, tmp_path):
     assert len(rows) == 1001 and all(r["path"].endswith(f"{tmp_path.name}/{r['name']}") for r in rows)
     kept = found.inputFiles()  # what the tasks of the levels wrote
     assert len(kept) > 8
+
+
+def test_a_file_that_goes_while_its_folder_is_listed_does_not_end_the_listing(tmp_path):
+    for n in range(5):
+        (tmp_path / f"f{n}").write_bytes(b"x")
+    order = [entry.name for entry in os.scandir(tmp_path)]
+    found = storage.list_folder(str(tmp_path))
+    names = [next(found)[0]]
+    os.remove(tmp_path / order[2])
+    names += [name for name, *_ in found]
+    assert names == order[:2] + order[3:]

@@ -242,6 +242,58 @@ def test_a_worker_gathers_a_bounded_number_of_names(spark, tmp_path, monkeypatch
     assert len(alive) == 120 and max(alive) < 60
 
 
+def made(spark, out):
+    read = spark.read.parquet(str(out)).selectExpr("name", "cast(batch AS INT) AS batch")
+    return sorted((r["batch"], r["name"]) for r in read.collect())
+
+
+def test_the_driver_holds_a_log_and_not_the_files_of_a_stream(spark, tmp_path):
+    """Spark's file source lists and remembers on the driver what its checkpoint names: that may not be every image."""
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for wave in (range(150), range(150, 220)):
+        for n in wave:
+            (source / f"f{n}.bmp").write_bytes(b"BM")
+        for _ in range(2):  # nothing new: no batch
+            query = stream_standardize(file_stream(spark, str(source)), str(out), str(tmp_path / "s"))
+            query.awaitTermination()
+            assert query.exception() is None
+    assert made(spark, out) == sorted((int(n >= 150), f"f{n}.bmp") for n in range(220))
+    seen = [p.read_text().count('"path"') for p in (tmp_path / "s" / "sources" / "0").iterdir() if not p.name.startswith(".")]
+    assert seen == [1, 1]
+
+
+def test_a_stream_takes_the_oldest_files_first_in_bounded_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(standardize, "LOG_ROWS", 3, raising=False)
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for n in range(20):
+        (source / f"f{n:02}.bmp").write_bytes(b"BM")
+        os.utime(source / f"f{n:02}.bmp", (1_700_000_000 - 60 * n,) * 2)
+    stream_standardize(file_stream(spark, str(source), 6), str(out), str(tmp_path / "s")).awaitTermination()
+    rows = made(spark, out)
+    assert [name for _, name in sorted(rows, key=lambda r: (r[0], [-ord(c) for c in r[1]]))] == [f"f{n:02}.bmp" for n in range(19, -1, -1)]
+    assert max(sum(b == batch for b, _ in rows) for batch, _ in rows) <= 6
+
+
+def test_a_stream_takes_the_files_that_the_file_source_takes(spark, tmp_path):
+    """Hidden and empty files and plain folders are passed over; those of partitions, and patterns of files, are taken."""
+    plain, parts, images = tmp_path / "plain", tmp_path / "parts", list(IMAGES)
+    put(plain, images[:2])
+    put(plain / "below", images[2:3])
+    for name in ("_hidden.bmp", ".hidden.bmp", "note.txt"):
+        (plain / name).write_bytes(b"BM")
+    (plain / "empty.bmp").write_bytes(b"")
+    put(parts / "k=1", images[2:3])
+    put(parts / "k=2", images[3:4])
+    put(parts / "_k", images[4:5])
+    for n, (pattern, want) in enumerate([(plain, images[:2]), (parts, images[2:4]), (tmp_path / "p[k-m]a*", images[:2]), (plain / "*0.bmp", images[:1])]):
+        query = stream_standardize(file_stream(spark, str(pattern)), str(tmp_path / f"out{n}"), str(tmp_path / f"s{n}"))
+        query.awaitTermination()
+        assert query.exception() is None
+        assert made(spark, tmp_path / f"out{n}") == [(0, name) for name in want]
+
+
 def test_stream_starts_again_after_a_first_batch_that_broke_off(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     put(source, ["i0.bmp"])
