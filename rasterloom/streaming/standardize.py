@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import pandas as pd
 from pyspark import TaskContext
@@ -32,31 +33,50 @@ _TAKEN = r"^([^/]*=[^/]*/)*[^/]+$"
 _HIDDEN = r"(^|/)(\.|_(?!metadata|common_metadata)[^/=]*(/|$))"
 
 
-def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> DataFrame:
-    """Names of image files as they arrive in ``folder``; contents are not read here.
+class FileStream:
+    """Names of image files as they arrive in a folder; contents are not read here.
 
     Spark's file source keeps every file that it lists or has seen on the driver. ``stream_standardize`` takes the
-    same names from a log that tasks write into its checkpoint, if ``folder`` stands for folders alone.
+    same names from a log that tasks write into its checkpoint, if ``folder`` stands for folders alone. Used as a
+    DataFrame, or with a pattern of files, this is Spark's source.
     """
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(FILE_SCHEMA)
-        .option("maxFilesPerTrigger", max_files)
-        .load(folder)
-    )
-    named = files.select("path", basename(F.col("path")).alias("name"), F.col("length").alias("bytes"))
-    arriving = named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
-    arriving._arrives = (folder, max_files)
-    return arriving
+
+    def __init__(self, spark: SparkSession, folder: str, max_files: int) -> None:
+        self.sparkSession, self.folder, self.max_files = spark, folder, max_files
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """Lists the folder on the driver as soon as it is made."""
+        files = (
+            self.sparkSession.readStream.format("binaryFile")
+            .schema(FILE_SCHEMA)
+            .option("maxFilesPerTrigger", self.max_files)
+            .load(self.folder)
+        )
+        named = files.select("path", basename(F.col("path")).alias("name"), F.col("length").alias("bytes"))
+        return named.filter(has_suffix(F.col("name"), INGEST_SUFFIXES))
+
+    def __getattr__(self, name: str):
+        if name.startswith("__"):
+            raise AttributeError(name)
+        return getattr(self.table, name)
+
+    def __getitem__(self, item):
+        return self.table[item]
+
+
+def file_stream(spark: SparkSession, folder: str, max_files: int = 1_000_000) -> FileStream:
+    """Names of image files as they arrive in ``folder``, of ``max_files`` files at most in a batch."""
+    return FileStream(spark, folder, max_files)
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str] | None:
-    """The folders that ``pattern`` stands for; None if it stands for a file too."""
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that ``pattern`` stands for; none if it stands for a file too."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     folders = []
     for found in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []:
         if not found.isDirectory():
-            return None
+            return []
         folders.append(found.getPath().toString())
     return folders
 
@@ -120,7 +140,7 @@ def _arrived(batch: DataFrame) -> DataFrame:
 
 
 def stream_standardize(
-    source: DataFrame,
+    source: DataFrame | FileStream,
     output: str,
     checkpoint: str,
     step: Callable | None = None,
@@ -141,10 +161,8 @@ def stream_standardize(
     step = step or image_step()
     spark = source.sparkSession
     ship(spark)
-    folder, max_files = vars(source).get("_arrives", (None, 0))
-    folders = _folders(spark, folder) if folder else None
-    if folders is not None:
-        source = _logged(spark, folders, max_files, f"{checkpoint}/arrivals")
+    if isinstance(source, FileStream) and (folders := _folders(spark, source.folder)):
+        source = _logged(spark, folders, source.max_files, f"{checkpoint}/arrivals")
     named = source.select("name", "path", "bytes").groupBy("name").applyInPandasWithState(
         _remember, "name string, path string, bytes long, came string", "came string", "append", GroupStateTimeout.NoTimeout
     )
