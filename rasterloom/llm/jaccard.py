@@ -151,29 +151,31 @@ def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingl
     """(c, key, n, shingles, groups) of the classes whose document is ``chosen`` (key, id, text, rarity).
 
     ``c`` numbers the classes by rarity, from 0 to 127, then in any order. A bitmap picks the documents, so no other text
-    is shuffled; the sets of some others that it lets pass find no key.
+    is shuffled; some others that it lets pass are no document of the join.
     """
     text = F.coalesce(column(text_col), F.lit(""))
     rows = docs.select(column(id_col).alias("id"), text.alias("text"))
-    wanted = chosen.select(F.xxhash64("id", "text").alias("hash"))
-    rows = sifted(rows, F.xxhash64("id", F.xxhash64("text")), wanted).select("text")
-    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("groups", pa.list_(pa.int64()))])
+    own = ["own", "own_text"]  # 64 bits of hash each
+    wanted = chosen.select(F.xxhash64("id", "text").alias("own"), F.col("text").alias("own_text"), "rarity")
+    rows = rows.select("text", F.xxhash64("id", F.xxhash64("text")).alias("own"), F.xxhash64("text").alias("own_text"))
+    rows = sifted(rows, F.col("own"), wanted.select(F.col("own").alias("hash")))
+    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("groups", pa.list_(pa.int64())), *((c, pa.int64()) for c in own)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
 
         def each():
             for block in blocks(batches):
-                for text in block.column("text").to_pylist():
-                    own = shingle_set(text, hashes, shingle)
-                    least = [int(mixed(own ^ np.uint64(i + 1)).min().view(np.int64)) for i in range(GROUPS)]
-                    yield 8 * len(own), (xxhash.xxh3_128_digest(own.tobytes()), len(own), own.view(np.int64), least)
+                for text, *row in zip(*(block.column(c).to_pylist() for c in ["text", *own]), strict=True):
+                    held = shingle_set(text, hashes, shingle)
+                    least = [int(mixed(held ^ np.uint64(i + 1)).min().view(np.int64)) for i in range(GROUPS)]
+                    yield 8 * len(held), (xxhash.xxh3_128_digest(held.tobytes()), len(held), held.view(np.int64), least, *row)
 
         yield from emit(schema, each())
 
-    found = rows.mapInArrow(run, "key binary, n long, shingles array<long>, groups array<long>").dropDuplicates(["key"])
+    found = rows.mapInArrow(run, "key binary, n long, shingles array<long>, groups array<long>, own long, own_text long").dropDuplicates(own)
     rarity = F.shiftleft(F.coalesce("rarity", F.lit(127)).cast("long"), 54)
-    found = found.join(chosen.select("key", "rarity"), "key")
+    found = found.join(wanted, own).drop(*own)
     return stored(found.withColumn("c", rarity + F.monotonically_increasing_id()).drop("rarity"), "sets")
 
 
